@@ -1,6 +1,6 @@
 """The registry behind ``__spark_entry__``: every query key and its oracle SQL."""
 
-from worklens.catalog import reports  # noqa: F401  (registers keys)
+from worklens.catalog import reports, trends  # noqa: F401  (register keys)
 from worklens.catalog.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

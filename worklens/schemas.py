@@ -81,7 +81,7 @@ REQ_DOC = T.StructType([
     ]))),
 ])
 
-# Archive of backlog snapshots (one table, partitioned by date and status).
+# Archive of backlog snapshots (one table, partitioned by archive_time and status).
 ARCHIVE_BACKLOG = T.StructType([
     T.StructField("requisition_id", T.StringType()),
     T.StructField("hold", T.StringType()),
@@ -93,17 +93,18 @@ ARCHIVE_BACKLOG = T.StructType([
     T.StructField("category", T.StringType()),
     T.StructField("archive_time", T.DateType()),
     T.StructField("status", T.StringType()),
-    T.StructField("archive_date", T.DateType()),
 ])
 
 # Archive of prepared worklist snapshots.
+TOTAL_MONEY = T.DecimalType(38, 2)
 ARCHIVE_WORKLIST = T.StructType([
     T.StructField("po_no", T.StringType()),
     T.StructField("date_time", T.TimestampNTZType()),
-    T.StructField("sum_of_po_amt", MONEY),
+    T.StructField("tie1", T.LongType()),
+    T.StructField("tie2", T.LongType()),
+    T.StructField("sum_of_po_amt", TOTAL_MONEY),
     T.StructField("age", T.IntegerType()),
     T.StructField("archive_time", T.DateType()),
-    T.StructField("archive_date", T.DateType()),
 ])
 
 

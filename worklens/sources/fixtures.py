@@ -44,8 +44,9 @@ def buyers_cat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_nations.unionByName(idle)
 
 
-def _orders_with_buyer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+def _orders_with_buyer(spark: SparkSession, sf_dir: str,
+                       orders: DataFrame | None = None) -> DataFrame:
+    o = orders if orders is not None else table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (o.join(c, o.o_custkey == c.c_custkey)
@@ -54,10 +55,11 @@ def _orders_with_buyer(spark: SparkSession, sf_dir: str) -> DataFrame:
              .withColumn("buyer_login", buyer_name(F.col("n_nationkey"), F.col("n_name"))))
 
 
-def backlog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S-01 view: one open requisition per order."""
+def backlog_raw(spark: SparkSession, sf_dir: str,
+                orders: DataFrame | None = None) -> DataFrame:
+    """S-01 view: one open requisition per order (``orders`` may be a stream)."""
     k = F.col("o_orderkey")
-    return _orders_with_buyer(spark, sf_dir).select(
+    return _orders_with_buyer(spark, sf_dir, orders).select(
         k.cast("string").alias("requisition_id"),
         F.when(F.col("o_orderstatus") == "P", "Y").otherwise("N").alias("hold"),
         F.when(F.col("o_orderpriority") == "1-URGENT", "Requested")
@@ -72,9 +74,10 @@ def backlog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def approver_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def approver_raw(spark: SparkSession, sf_dir: str,
+                 lineitem: DataFrame | None = None) -> DataFrame:
     """S-02 view: one worklist row per line item (repeated (po_no, line) pairs exist)."""
-    li = table(spark, sf_dir, "lineitem")
+    li = lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_orderkey").cast("string").alias("po_no"),
         F.col("l_linenumber").alias("line"),
@@ -86,7 +89,7 @@ def approver_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def po_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+def po_data(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """S-04 view: PO header with its line count (normalised form of the nested ``lines``).
 
     Line counts come from a grouped count over line items: partial aggregation
@@ -97,7 +100,7 @@ def po_data(spark: SparkSession, sf_dir: str) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("n_lines")))
     status = (F.when(F.col("o_orderstatus") == "O", "A")
                .when(F.col("o_orderstatus") == "F", "D").otherwise("X"))
-    o = _orders_with_buyer(spark, sf_dir)
+    o = _orders_with_buyer(spark, sf_dir, orders)
     return (o.join(counts, o.o_orderkey == counts.l_orderkey, "left")
              .select(F.col("o_orderkey").cast("string").alias("po_no"),
                      F.col("o_orderdate").alias("po_date"),
