@@ -75,8 +75,11 @@ def trim(col: Column | str) -> Column:
 
 
 def sorted_list_text(col: Column | str, sep: str = ", ") -> Column:
-    """D-13 (aggregate): the sorted values of a group joined into one text."""
-    return F.array_join(F.array_sort(F.collect_set(_c(col))), sep)
+    """D-13 (aggregate): the sorted values of a group joined into one text.
+
+    Only for groups of bounded size (e.g. buyers of the dimension).
+    """
+    return F.array_join(F.array_sort(F.collect_list(_c(col))), sep)
 
 
 def usd(col: Column | str) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # (session id, plan hash) -> (rows, distinct keys) of dimensions already checked.
@@ -110,3 +110,38 @@ def unpivot_counts(df: DataFrame, ids: Sequence[str], values: Mapping[str, str],
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """U-01: stack by column name; missing columns become null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def attach_group_total(df: DataFrame, keys: Sequence[str], col: str, name: str,
+                       strict: bool = True) -> DataFrame:
+    """W-01: the group's total attached to every row of the group.
+
+    Written as aggregate-then-join rather than ``sum().over(partitionBy(keys))``:
+    a window needs every row of a group in one task, so one hot key would load
+    one task with a third of the data; the aggregation combines map-side and
+    the join back is split by AQE's skew-join handling.  ``strict`` gives the
+    reference's null-if-any-null sum.
+    """
+    total = sum_strict(col) if strict else F.sum(col)
+    totals = df.groupBy(*keys).agg(total.alias(name))
+    return df.join(totals, list(keys), "left")
+
+
+def zip_single_rows(frames: Sequence[DataFrame]) -> DataFrame:
+    """J-07: glue one-row frames side by side (column names must be disjoint).
+
+    A union of the rows followed by a global ``max`` per column: no join, and
+    each frame keeps its own plan.  Empty frames contribute nulls.
+    """
+    cols = [c for f in frames for c in f.columns]
+    return union_all(frames).agg(*[F.max(c).alias(c) for c in cols])
+
+
+def running_total(df: DataFrame, order_col: str, col: str, name: str) -> DataFrame:
+    """W-02: cumulative sum in ``order_col`` order.
+
+    Only for small, already aggregated inputs (here: one row per category);
+    an unpartitioned window moves all rows to one task.
+    """
+    w = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumn(name, F.sum(col).over(w))

@@ -117,3 +117,15 @@ def publish_datasets(datasets: Mapping[str, DataFrame], out_dir: str,
         df.write.mode("overwrite").format(fmt).option("header", "true").save(p)
         paths[name] = p
     return paths
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Shape ``df`` to ``schema``: fields in order, cast, absent ones as typed nulls.
+
+    Used to land a derived table in an extract's exact layout (CSV readers map
+    columns by position).
+    """
+    have = set(df.columns)
+    return df.select(*[
+        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema.fields])
