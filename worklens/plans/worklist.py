@@ -34,12 +34,14 @@ def prepared_worklist(approver: DataFrame, ctx: RunContext,
     """
     firsts = keep_first(approver, ["po_no", "line"], list(line_order))
     attrs = [c for c in firsts.columns if c not in ("po_no", "line", "merch_amt")]
+    # ``line`` is unique within a PO after step 1, so one scalar ``min_by`` per
+    # attribute picks the same row for all of them; scalar buffers keep this a
+    # hash aggregation (a struct buffer would force a sort-based one).
     per_po = (firsts.groupBy("po_no")
               .agg(sum_strict("merch_amt").cast(TOTAL_MONEY).alias("sum_of_po_amt"),
-                   F.min_by(F.struct(*attrs), F.col("line")).alias("_head")))
+                   *[F.min_by(c, "line").alias(c) for c in attrs]))
     return per_po.select(
-        "po_no", *[F.col(f"_head.{c}").alias(c) for c in attrs], "sum_of_po_amt",
-        age_days("_head.date_time", ctx.as_of).alias("age"))
+        "po_no", *attrs, "sum_of_po_amt", age_days("date_time", ctx.as_of).alias("age"))
 
 
 def approver_overview(prepared: DataFrame) -> DataFrame:
