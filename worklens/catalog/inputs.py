@@ -19,8 +19,23 @@ class Inputs:
     whole.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, ctx: RunContext = DEFAULT):
-        self.spark, self.sf_dir, self.ctx = spark, sf_dir, ctx
+    def __new__(cls, spark: SparkSession, sf_dir: str, ctx: RunContext = DEFAULT):
+        # One instance (hence one set of logical plans) per session, folder and
+        # run context: repeated queries skip rebuilding identical plans.  No
+        # data is cached; every action re-reads its inputs.
+        memo = spark.__dict__.setdefault("_worklens_inputs", {})
+        key = (sf_dir.rstrip("/"), ctx)
+        if key not in memo:
+            inst = super().__new__(cls)
+            inst.spark, inst.sf_dir, inst.ctx = spark, sf_dir, ctx
+            memo[key] = inst
+        return memo[key]
+
+    @classmethod
+    def forget(cls, spark: SparkSession) -> None:
+        """Drop the memoised plans (e.g. after the input files changed)."""
+        spark.__dict__.pop("_worklens_inputs", None)
+        spark.__dict__.pop("_worklens_tables", None)
 
     def table(self, name: str) -> DataFrame:
         return fixtures.table(self.spark, self.sf_dir, name)

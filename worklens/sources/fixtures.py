@@ -17,7 +17,15 @@ from worklens.schemas import MONEY
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; the relation (file listing + footer schema) is built once per session.
+
+    Only the logical plan object is reused; every query still scans the files.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    memo = spark.__dict__.setdefault("_worklens_tables", {})
+    if path not in memo:
+        memo[path] = spark.read.parquet(path)
+    return memo[path]
 
 
 def buyer_name(nationkey: Column, name: Column) -> Column:
@@ -40,7 +48,11 @@ def buyers_cat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from_nations = (n.where(F.col("n_regionkey") < 4)
                      .select(cat.alias("category"),
                              buyer_name(F.col("n_nationkey"), F.col("n_name")).alias("buyer")))
-    idle = spark.createDataFrame(list(IDLE_BUYERS), "category string, buyer string")
+    # A literal relation built on the JVM side (no Python-side rows), so the
+    # dimension's plan is identical on every call.
+    rows = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(b).alias("buyer"))
+                     for c, b in IDLE_BUYERS])
+    idle = n.limit(1).select(F.inline(rows))
     return from_nations.unionByName(idle)
 
 
