@@ -124,6 +124,31 @@ def c20_throughput_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return throughput.throughput_groups(i.po_data, i.buyers, i.ctx)
 
 
+def _wide_sql(agg_sql: str) -> str:
+    return with_ctes(f"""
+        select c.category, {THROUGHPUT_RANK.format(c='c.category')} as category_rank,
+               left(p.buyer, 2) as buyer_abbr, p.* rename (buyer as buyer_full)
+        from (pivot (select buyer, 'w_' || strftime(week_start, '%Y_%m_%d') as wk, n_lines
+                     from po_weeks)
+              on wk using coalesce(cast({agg_sql} as bigint), 0) group by buyer) p
+        join buyers_cat c on p.buyer = c.buyer
+        where c.category <> 'IGNORE'""", "po_weeks", "buyers_cat")
+
+
+@register("c18_po_throughput_wide", _wide_sql("count(*)"))
+def c18_po_throughput_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = Inputs(spark, sf_dir)
+    w = throughput.po_throughput_wide(i.po_data, i.buyers, i.ctx)
+    return w.withColumnRenamed("buyer", "buyer_abbr")
+
+
+@register("c19_line_throughput_wide", _wide_sql("sum(n_lines)"))
+def c19_line_throughput_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = Inputs(spark, sf_dir)
+    w = throughput.line_throughput_wide(i.po_data, i.buyers, i.ctx)
+    return w.withColumnRenamed("buyer", "buyer_abbr")
+
+
 # --- T-01 .. T-03 ---------------------------------------------------------
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

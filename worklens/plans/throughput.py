@@ -58,22 +58,50 @@ def line_throughput(po: DataFrame, buyers: DataFrame, ctx: RunContext) -> DataFr
     return _display(weekly(po, buyers, ctx), "line_cnt")
 
 
-def week_columns(first: dt.date, last: dt.date) -> list[dt.date]:
-    """Sundays from the week of ``first`` through the week of ``last``."""
-    start = first - dt.timedelta(days=(first.weekday() + 1) % 7)
-    return [start + dt.timedelta(days=7 * i)
-            for i in range((last - start).days // 7 + 1)]
+MAX_WEEK_COLUMNS = 10_000
+
+
+def report_weeks(po: DataFrame, ctx: RunContext) -> list[dt.date]:
+    """The week columns of the wide report: every week with a kept PO, any buyer.
+
+    A distinct over one date column: the result is bounded by the calendar
+    span of the report (52 values a year), not by the number of POs.
+    """
+    weeks = (read_po_frame(po, ctx, ["po_date"])
+             .select(week_start_sunday("po_date").alias("w")).distinct())
+    got = sorted(r.w for r in weeks.limit(MAX_WEEK_COLUMNS + 1).collect())
+    if len(got) > MAX_WEEK_COLUMNS:
+        raise ValueError(f"more than {MAX_WEEK_COLUMNS} week columns; use the long form")
+    return got
+
+
+def week_column(w: dt.date) -> str:
+    return f"w_{w:%Y_%m_%d}"
 
 
 def wide(long: DataFrame, measure: str, weeks: Sequence[dt.date]) -> DataFrame:
-    """R-01 + D-15: one column per week (``w_yyyy_MM_dd``), missing weeks as 0."""
-    names = {w: f"w_{w:%Y_%m_%d}" for w in weeks}
+    """R-01 + D-15: one column per week (``w_yyyy_MM_dd``), missing weeks as 0.
+
+    Columns are keyed by the full week date, not the ``MM/dd`` label, so weeks
+    of different years never merge (Q10).
+    """
+    names = {str(w): week_column(w) for w in weeks}
     p = (long.groupBy("category", "category_rank", "buyer", "buyer_full")
-             .pivot("week_start", list(weeks)).agg(F.sum(measure)))
-    p = p.withColumnsRenamed({str(w): n for w, n in names.items()})
+             .pivot("week_start", list(weeks)).agg(F.sum(measure).cast("bigint")))
+    p = p.withColumnsRenamed(names)
     return p.fillna(0, subset=list(names.values()))
 
 
+def po_throughput_wide(po: DataFrame, buyers: DataFrame, ctx: RunContext) -> DataFrame:
+    """C-18 wide: the PO count table as displayed, one column per week."""
+    return wide(po_throughput(po, buyers, ctx), "po_cnt", report_weeks(po, ctx))
+
+
+def line_throughput_wide(po: DataFrame, buyers: DataFrame, ctx: RunContext) -> DataFrame:
+    """C-19 wide: the PO line count table as displayed, one column per week."""
+    return wide(line_throughput(po, buyers, ctx), "line_cnt", report_weeks(po, ctx))
+
+
 def throughput_groups(po: DataFrame, buyers: DataFrame, ctx: RunContext) -> DataFrame:
     """C-20: buyers with POs per displayed category (A-14 distinct, J-03, F-09, A-07)."""
     active = read_po_frame(po, ctx, ["buyer"]).distinct()
