@@ -20,6 +20,20 @@ def to_date(col: Column | str) -> Column:
     return F.to_date(_c(col))
 
 
+def wall_clock_as_utc(col: Column | str) -> Column:
+    """D-01 (streaming): a ``timestamp_ntz`` wall-clock -> the instant it names in UTC.
+
+    Watermarks need a zone-aware timestamp; a plain cast would read the wall
+    clock in the session zone and move window boundaries with it.  Built from
+    zone-free parts (epoch day and time of day), so the result does not depend
+    on ``spark.sql.session.timeZone``.  Whole seconds.
+    """
+    c = _c(col)
+    secs = (F.unix_date(F.to_date(c)).cast("long") * 86400
+            + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c))
+    return F.timestamp_seconds(secs)
+
+
 def age_days(col: Column | str, as_of: dt.date | Column) -> Column:
     """D-02: whole days from ``col`` to the run date; negative when in the future."""
     end = as_of if isinstance(as_of, Column) else F.lit(as_of)

@@ -48,7 +48,9 @@ def read_buyers(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 
 def po_predicate(ctx: RunContext) -> F.Column:
     """F-10: strict lower bound on the PO date and the kept statuses."""
-    lower = F.lit(dt.datetime.combine(ctx.po_date_after, dt.time())).cast("timestamp_ntz")
+    # date -> timestamp_ntz is midnight with no zone involved (a Python datetime
+    # literal would be read in the session zone).
+    lower = F.lit(ctx.po_date_after).cast("timestamp_ntz")
     return (F.col("po_date") > lower) & F.col("status").isin(*ctx.po_statuses)
 
 

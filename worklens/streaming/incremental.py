@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from worklens import schemas
 from worklens.context import IGNORE_CATEGORY, RunContext
+from worklens.functions.columns import wall_clock_as_utc
 from worklens.operators.core import checked_dimension
 from worklens.plans import archive, backlog
 from worklens.session import scratch_path
@@ -85,13 +86,15 @@ def weekly_po_stream(spark: SparkSession, po_stream: DataFrame, buyers: DataFram
     events = (po_stream.where(po_predicate(ctx))
                        .join(dim, "buyer", "inner")
                        .where(F.col("category") != IGNORE_CATEGORY)
-                       .withColumn("po_ts", F.col("po_date").cast("timestamp"))
+                       .withColumn("po_ts", wall_clock_as_utc("po_date"))
                        .withWatermark("po_ts", delay))
     counts = (events.groupBy(F.window("po_ts", "7 days", "7 days", "3 days").alias("w"),
                              "category", "buyer")
                     .agg(F.count(F.lit(1)).alias("po_cnt")))
-    flat = counts.select("category", "buyer",
-                         F.to_date(F.col("w.start")).alias("week_start"), "po_cnt")
+    # Epoch seconds -> epoch day: zone-free, unlike to_date on a timestamp.
+    week_start = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / 86400)
+                                       .cast("int"))
+    flat = counts.select("category", "buyer", week_start.alias("week_start"), "po_cnt")
     _run(flat.writeStream.outputMode("append").format("parquet")
              .option("path", out).option("checkpointLocation", ckpt))
     return spark.read.schema(flat.schema).parquet(out)
@@ -107,7 +110,7 @@ def dedupe_stream(spark: SparkSession, worklist_stream: DataFrame,
     """
     root = root or scratch_path(spark, "t03")
     out, ckpt = f"{root}/lines", f"{root}/_checkpoint"
-    keyed = (worklist_stream.withColumn("ts", F.col("date_time").cast("timestamp"))
+    keyed = (worklist_stream.withColumn("ts", wall_clock_as_utc("date_time"))
                             .withWatermark("ts", delay)
                             .dropDuplicatesWithinWatermark(["po_no", "line"])
                             .select("po_no", "line"))
