@@ -412,7 +412,8 @@ def a03_count_by_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("a04_sum_by_po", with_ctes("""
     select po_no, case when count(*) = count(merch_amt)
-                       then cast(sum(merch_amt) as decimal(38,2)) end as sum_of_po_amt
+                       then cast(sum(cast(merch_amt as decimal(18,2))) as double) end
+                       as sum_of_po_amt
     from firsts group by po_no""", "approver_raw", extra={"firsts": FIRSTS_SQL}))
 def a04_sum_by_po(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (_firsts(_i(spark, sf_dir)).groupBy("po_no")
@@ -502,7 +503,9 @@ def a14_distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("w01_partition_sum", with_ctes("""
     select f.*, s.sum_of_po_amt from firsts f join (
-      select po_no, case when count(*) = count(merch_amt) then sum(merch_amt) end as sum_of_po_amt
+      select po_no, case when count(*) = count(merch_amt)
+                         then cast(sum(cast(merch_amt as decimal(18,2))) as double) end
+                         as sum_of_po_amt
       from firsts group by po_no) s on f.po_no = s.po_no""",
     "approver_raw", extra={"firsts": FIRSTS_SQL}))
 def w01_partition_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -730,7 +733,8 @@ def d13_concat_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("d14_usd_format", with_ctes(
-    "select po_no, '$' || format('{:,}', cast(round_even(sum_of_po_amt, 0) as bigint)) as amount "
+    "select po_no, '$' || format('{:,}', cast(round_even(cast(sum_of_po_amt as decimal(38,2)), 0) "
+    "as bigint)) as amount "
     "from prepared where sum_of_po_amt is not null", "prepared"))
 def d14_usd_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _i(spark, sf_dir).prepared.where(F.col("sum_of_po_amt").isNotNull())

@@ -53,13 +53,13 @@ def ctes(ctx: RunContext = DEFAULT) -> dict[str, tuple[str, tuple[str, ...]]]:
                         as date_of_approval,
                    case when o_orderkey % 97 = 0 then null else buyer_login end as buyer,
                    case when o_orderkey % 101 = 0 then null
-                        else cast(o_totalprice * 2 as decimal(18,2)) end as req_total
+                        else cast(cast(o_totalprice * 2 as decimal(18,2)) as double) end as req_total
             from orders_b""", ("orders_b",)),
         "approver_raw": ("""
             select cast(l_orderkey as varchar) as po_no, l_linenumber as line,
                    l_shipdate as date_time,
                    case when l_partkey % 499 = 0 then null
-                        else cast(l_extendedprice as decimal(18,2)) end as merch_amt,
+                        else cast(cast(l_extendedprice as decimal(18,2)) as double) end as merch_amt,
                    l_partkey as tie1, l_suppkey as tie2
             from lineitem""", ()),
         "po_data": ("""
@@ -155,7 +155,8 @@ def ctes(ctx: RunContext = DEFAULT) -> dict[str, tuple[str, tuple[str, ...]]]:
                 from approver_raw) where rn = 1),
             sums as (
               select po_no, case when count(*) = count(merch_amt)
-                                 then cast(sum(merch_amt) as decimal(38,2)) end as sum_of_po_amt
+                                 then cast(sum(cast(merch_amt as decimal(18,2))) as double) end
+                                 as sum_of_po_amt
               from firsts group by po_no),
             heads as (
               select * from (

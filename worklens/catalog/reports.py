@@ -184,7 +184,8 @@ DETAIL_SQL = """
                                                as date), DATE '2001-07-01') as integer) end
              as overall_age,
            po_no,
-           '$' || format('{:,}', cast(round_even(sum_of_po_amt, 0) as bigint)) as amount,
+           '$' || format('{:,}', cast(round_even(cast(sum_of_po_amt as decimal(38,2)), 0)
+                                      as bigint)) as amount,
            worklist_age,
            case when matched is null then ''
                 when length(more_info) > 53 then substr(more_info, 1, 50) || '...'
