@@ -259,3 +259,15 @@ def test_streaming_archive_rerun_does_not_replay(spark, sf_small):
 
     first = run()
     assert first > 0 and run() == first
+
+
+def test_quirk_options_default_off(spark, edge_backlog, buyers):
+    split = backlog.status_split(backlog.clean_backlog(edge_backlog, buyers, CTX))
+    shown_total = [r.total for r in backlog.age_report(split, total_displayed_only=True).collect()
+                   if r.row_kind == "total"][0]
+    all_total = [r.total for r in backlog.age_report(split).collect() if r.row_kind == "total"][0]
+    assert all_total == shown_total + 1       # the IGNORE buyer's one row
+    h = archive.backlog_history(split, CTX.history_dates)
+    strict = archive.old_trend_sum(h, CTX).where(F.col("cnt").isNull()).count()
+    filled = archive.old_trend_sum(h, CTX, zero_fill=True).where(F.col("cnt").isNull()).count()
+    assert strict > 0 and filled == 0

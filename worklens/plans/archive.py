@@ -89,19 +89,24 @@ def status_trend(archive: DataFrame, ctx: RunContext) -> DataFrame:
     return long.where(F.col("cnt") > 0)
 
 
-def old_trend_sum(archive: DataFrame, ctx: RunContext) -> DataFrame:
+def old_trend_sum(archive: DataFrame, ctx: RunContext, zero_fill: bool = False) -> DataFrame:
     """C-17: 90+ total per (archive time, category) over the three statuses.
 
     One conditional aggregation replaces the null-safe full outer join chain:
     ``nullif(.., 0)`` restores "group absent" for plain and out-to-bid, hold is
     zero-filled, so the total is null exactly where the reference's is (Q5).
+    ``zero_fill=True`` treats every absent status as 0 instead.
     """
     s = F.col("status")
+
+    def absent_as_null(c):
+        return c if zero_fill else F.nullif(c, F.lit(0))
+
     g = (archive.where(F.col("age") >= ctx.min_age_days)
                 .groupBy("archive_time", "category")
-                .agg(F.nullif(F.count_if(s == PLAIN), F.lit(0)).alias("plain_cnt"),
+                .agg(absent_as_null(F.count_if(s == PLAIN)).alias("plain_cnt"),
                      F.count_if(s == HOLD).alias("hold_cnt"),
-                     F.nullif(F.count_if(s == OUT_TO_BID), F.lit(0)).alias("out_to_bid_cnt")))
+                     absent_as_null(F.count_if(s == OUT_TO_BID)).alias("out_to_bid_cnt")))
     return g.withColumn("cnt", F.col("plain_cnt") + F.col("hold_cnt") + F.col("out_to_bid_cnt"))
 
 

@@ -98,13 +98,18 @@ def amount_table(split: DataFrame, ctx: RunContext) -> DataFrame:
     return _bucketed_table(old, fixed_bins("req_total", BACKLOG_AMOUNT_EDGES), AMOUNT_BUCKETS)
 
 
-def report_rows(table: DataFrame, measures: list[str]) -> DataFrame:
+def report_rows(table: DataFrame, measures: list[str],
+                total_displayed_only: bool = False) -> DataFrame:
     """C-04 / C-09: detail rows, category subtotals and the grand total in display form.
 
     The total is taken over every category, IGNORE included, and IGNORE rows
-    are dropped afterwards (Q3).  ``row_kind`` and ``category_rank`` give the
-    display order NINV, SE, INV, Total.
+    are dropped afterwards (Q3, the reference's behaviour).
+    ``total_displayed_only=True`` restricts the total to the displayed
+    categories instead.  ``row_kind`` and ``category_rank`` give the display
+    order NINV, SE, INV, Total.
     """
+    if total_displayed_only:
+        table = table.where(F.col("category").isin(*BACKLOG_LEVELS))
     t = with_totals(table, "category", "buyer", measures)
     lvl = F.col("row_level")
     shown = t.where((lvl == 3) | F.col("category").isin(*BACKLOG_LEVELS))
@@ -121,16 +126,17 @@ def report_rows(table: DataFrame, measures: list[str]) -> DataFrame:
     )
 
 
-def age_report(split: DataFrame) -> DataFrame:
+def age_report(split: DataFrame, total_displayed_only: bool = False) -> DataFrame:
     """C-04: the age table with subtotals and total, as displayed."""
     measures = [name for _, name in AGE_BUCKETS] + ["total"]
-    return report_rows(age_table(split), measures)
+    return report_rows(age_table(split), measures, total_displayed_only)
 
 
-def amount_report(split: DataFrame, ctx: RunContext) -> DataFrame:
+def amount_report(split: DataFrame, ctx: RunContext,
+                  total_displayed_only: bool = False) -> DataFrame:
     """C-09: the 90+ amount table with subtotals and total, as displayed."""
     measures = [name for _, name in AMOUNT_BUCKETS] + ["total"]
-    return report_rows(amount_table(split, ctx), measures)
+    return report_rows(amount_table(split, ctx), measures, total_displayed_only)
 
 
 def report_groups(table: DataFrame) -> DataFrame:
