@@ -57,21 +57,35 @@ def approver_overview(prepared: DataFrame) -> DataFrame:
     return prepared.agg(*aggs).withColumn("total", row_sum(AGE_COLS))
 
 
-def requisition_lookup(po_docs: DataFrame, req_docs: DataFrame) -> DataFrame:
-    """J-08: PO -> first line's requisition id -> requisition fields.
-
-    Returns (po_no, req_id, matched, req_approval_date, req_description,
-    req_buyer) for every PO document; unmatched rows carry nulls here and get
-    the reference's default row in :func:`approver_detail`.
-    """
-    po_req = po_docs.select(
+def _po_requisition(po_docs: DataFrame) -> DataFrame:
+    """O-05 + D-12 + D-23: the trimmed requisition id of each PO's first line."""
+    return po_docs.select(
         "po_no", trim(F.get(F.col("lines"), 0)["requisition"]["req_id"]).alias("req_id"))
-    req = req_docs.select(
+
+
+def _requisition_fields(req_docs: DataFrame) -> DataFrame:
+    """D-04 + D-11: requisition fields as shown; the description is cut before any join."""
+    return req_docs.select(
         "req_id", F.lit(True).alias("matched"),
         parse_date("approved_on").alias("req_approval_date"),
         truncate_ellipsis(F.get(F.col("lines"), 0)["more_info"]).alias("req_description"),
         F.col("buyer").alias("req_buyer"))
-    return po_req.join(req, "req_id", "left")
+
+
+def requisition_lookup(po_docs: DataFrame, req_docs: DataFrame,
+                       pos: DataFrame | None = None) -> DataFrame:
+    """J-08: PO -> first line's requisition id -> requisition fields.
+
+    Returns (po_no, req_id, matched, req_approval_date, req_description,
+    req_buyer) for every PO of ``pos`` (default: every PO document); unmatched
+    rows carry nulls here and get the reference's default row in
+    :func:`approver_detail`.  Outer joins are not reordered by the optimizer,
+    so the selective side goes first: the POs to look up, then their
+    documents, then the requisitions.
+    """
+    po_req = _po_requisition(po_docs)
+    left = po_req if pos is None else pos.join(po_req, "po_no", "left")
+    return left.join(_requisition_fields(req_docs), "req_id", "left")
 
 
 def approver_detail(prepared: DataFrame, po_docs: DataFrame, req_docs: DataFrame,
@@ -84,7 +98,7 @@ def approver_detail(prepared: DataFrame, po_docs: DataFrame, req_docs: DataFrame
     big = (prepared.where(F.col("sum_of_po_amt") >= F.lit(ctx.min_po_amount))
                    .select("po_no", "sum_of_po_amt", F.col("age").alias("worklist_age")))
     found = F.col("matched").isNotNull()
-    d = big.join(requisition_lookup(po_docs, req_docs), "po_no", "left")
+    d = requisition_lookup(po_docs, req_docs, pos=big)
     approval = F.when(found, F.col("req_approval_date"))
     return d.select(
         age_days(approval, ctx.as_of).alias("overall_age"),
