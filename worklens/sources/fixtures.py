@@ -52,7 +52,7 @@ def buyers_cat(spark: SparkSession, sf_dir: str) -> DataFrame:
     # dimension's plan is identical on every call.
     rows = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(b).alias("buyer"))
                      for c, b in IDLE_BUYERS])
-    idle = n.limit(1).select(F.inline(rows))
+    idle = spark.range(1).select(F.inline(rows))
     return from_nations.unionByName(idle)
 
 

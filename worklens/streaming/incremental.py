@@ -36,12 +36,21 @@ def file_stream(spark: SparkSession, folder: str, name: str,
                  .parquet(folder))
 
 
-def _run(writer, timeout_s: int = 600) -> None:
+def _run(writer, timeout_s: float | None = None) -> None:
+    """Process everything available, then stop.
+
+    An ``availableNow`` query ends by itself once the input present at start
+    is consumed, so by default there is no time limit.  With ``timeout_s`` a
+    query still running is stopped and reported as an error, never returned as
+    if complete (its sink would hold only part of the input).
+    """
     q = writer.trigger(availableNow=True).start()
     try:
-        q.awaitTermination(timeout_s)
+        finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
+        if timeout_s and not finished:
+            raise TimeoutError(f"streaming query did not finish within {timeout_s} s")
     finally:
         if q.isActive:
             q.stop()
