@@ -271,3 +271,15 @@ def test_quirk_options_default_off(spark, edge_backlog, buyers):
     strict = archive.old_trend_sum(h, CTX).where(F.col("cnt").isNull()).count()
     filled = archive.old_trend_sum(h, CTX, zero_fill=True).where(F.col("cnt").isNull()).count()
     assert strict > 0 and filled == 0
+
+
+def test_archive_write_with_salted_file_count(spark, sf_small):
+    from worklens import schemas
+    from worklens.session import scratch_path
+    from worklens.sources import io
+    i = Inputs(spark, sf_small)
+    path = scratch_path(spark, "salted")
+    snap = archive.backlog_snapshot(i.split, i.ctx)
+    io.write_archive(snap, path, files_per_partition=3)
+    back = io.read_archive(spark, path, schemas.ARCHIVE_BACKLOG)
+    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in snap.collect())

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from worklens.context import DEFAULT, RunContext
 from worklens.plans import backlog, worklist
+from worklens.session import forget_plans, plan_memo
 from worklens.sources import fixtures
 
 
@@ -23,7 +24,7 @@ class Inputs:
         # One instance (hence one set of logical plans) per session, folder and
         # run context: repeated queries skip rebuilding identical plans.  No
         # data is cached; every action re-reads its inputs.
-        memo = spark.__dict__.setdefault("_worklens_inputs", {})
+        memo = plan_memo(spark, "inputs")
         key = (sf_dir.rstrip("/"), ctx)
         if key not in memo:
             inst = super().__new__(cls)
@@ -34,8 +35,7 @@ class Inputs:
     @classmethod
     def forget(cls, spark: SparkSession) -> None:
         """Drop the memoised plans (e.g. after the input files changed)."""
-        spark.__dict__.pop("_worklens_inputs", None)
-        spark.__dict__.pop("_worklens_tables", None)
+        forget_plans(spark)
 
     def table(self, name: str) -> DataFrame:
         return fixtures.table(self.spark, self.sf_dir, name)

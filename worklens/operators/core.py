@@ -12,18 +12,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# (session id, plan hash) -> (rows, distinct keys) of dimensions already checked.
-_DIM_STATS: dict[tuple[int, int, str], tuple[int, int]] = {}
-
+from worklens.session import plan_memo
 
 def dimension_stats(df: DataFrame, key: str) -> tuple[int, int]:
-    """Row count and distinct-key count of a dimension, one small job, memoised."""
-    memo = (id(df.sparkSession), df.semanticHash(), key)
-    if memo not in _DIM_STATS:
+    """Row count and distinct-key count of a dimension: one small job per plan and session.
+
+    Memoised by the plan's semantic hash for the life of the session (a
+    dimension is assumed not to change under a running session; see
+    ``session.forget_plans``).
+    """
+    memo = plan_memo(df.sparkSession, "dimension_stats")
+    k = (df.semanticHash(), key)
+    if k not in memo:
         row = df.agg(F.count(F.lit(1)).alias("n"),
                      F.count_distinct(F.col(key)).alias("k")).first()
-        _DIM_STATS[memo] = (int(row["n"]), int(row["k"]))
-    return _DIM_STATS[memo]
+        memo[k] = (int(row["n"]), int(row["k"]))
+    return memo[k]
 
 
 def checked_dimension(df: DataFrame, key: str, max_rows: int,

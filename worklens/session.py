@@ -10,11 +10,28 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import SparkSession
 
 _LOCAL_FALLBACK: str | None = None
 
+# Per-session memo of logical plans (relations, fixture views); dropped with the session.
+_PLAN_MEMO: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def plan_memo(spark: SparkSession, name: str) -> dict:
+    """A named dictionary that lives as long as ``spark``.
+
+    Holds logical plans only (DataFrame objects), never data.
+    """
+    return _PLAN_MEMO.setdefault(spark, {}).setdefault(name, {})
+
+
+def forget_plans(spark: SparkSession) -> None:
+    """Drop every memoised plan of ``spark`` (e.g. after its input files changed)."""
+    _PLAN_MEMO.pop(spark, None)
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "worklens") -> SparkSession:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from worklens.context import DEFAULT
 from worklens.operators.core import checked_dimension
 from worklens.schemas import MONEY
+from worklens.session import plan_memo
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     Only the logical plan object is reused; every query still scans the files.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    memo = spark.__dict__.setdefault("_worklens_tables", {})
+    memo = plan_memo(spark, "tables")
     if path not in memo:
         memo[path] = spark.read.parquet(path)
     return memo[path]
