@@ -49,13 +49,17 @@ def checked_dimension(df: DataFrame, key: str, max_rows: int,
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """A-13: the first row per key, all columns kept.
 
-    "First" is the smallest ``order`` tuple.  ``min_by`` over a struct is a
-    declarative aggregate, so Spark aggregates partially before the shuffle and
-    a hot key is reduced map-side instead of being sorted in one task.
+    "First" is the smallest ``order`` tuple; remaining ties are broken by the
+    other columns, so the choice is deterministic.  One ``min`` over a struct
+    whose leading fields are the order key: a declarative aggregate, so Spark
+    aggregates partially before the shuffle and a hot key is reduced map-side
+    instead of being sorted whole in one task.  (A struct buffer makes it a
+    sort-based aggregate, which spills instead of failing under memory pressure.)
     """
     rest = [c for c in df.columns if c not in keys]
+    fields = list(order) + [c for c in rest if c not in order]
     return (df.groupBy(*keys)
-              .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_first"))
+              .agg(F.min(F.struct(*fields)).alias("_first"))
               .select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest]))
 
 
