@@ -283,3 +283,67 @@ def test_archive_write_with_salted_file_count(spark, sf_small):
     io.write_archive(snap, path, files_per_partition=3)
     back = io.read_archive(spark, path, schemas.ARCHIVE_BACKLOG)
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in snap.collect())
+
+
+def test_buyer_with_only_null_amounts_gets_zero_row(spark):
+    buyers = spark.createDataFrame([("NINV", "n3")], "category string, buyer string")
+    rows = [("a", "N", "Not Requested", days_ago(100), "n3", None),
+            ("b", "N", "Not Requested", days_ago(120), "n3", None)]
+    split = backlog.status_split(backlog.clean_backlog(
+        spark.createDataFrame(rows, BACKLOG_SCHEMA), buyers, CTX))
+    t = backlog.amount_table(split, CTX).collect()
+    assert len(t) == 1
+    r = t[0]
+    assert (r.amt_lt_250k, r.amt_250k_500k, r.amt_500k_plus, r.hold_cnt, r.out_to_bid_cnt,
+            r.total) == (0, 0, 0, 0, 0, 0)
+
+
+def test_shared_prefix_buyers_stay_separate(spark):
+    buyers = spark.createDataFrame([("SE", "ab_one"), ("SE", "ab_two")],
+                                   "category string, buyer string")
+    rows = [("a", "N", "Not Requested", days_ago(1), "ab_one", Decimal("1")),
+            ("b", "N", "Not Requested", days_ago(1), "ab_two", Decimal("1"))]
+    split = backlog.status_split(backlog.clean_backlog(
+        spark.createDataFrame(rows, BACKLOG_SCHEMA), buyers, CTX))
+    rep = [r for r in backlog.age_report(split).collect() if r.row_kind == "buyer"]
+    assert sorted((r.buyer, r.buyer_full) for r in rep) == [("ab", "ab_one"), ("ab", "ab_two")]
+
+
+def test_throughput_edges(spark):
+    from worklens.plans import throughput
+    buyers = spark.createDataFrame([("INV", "b1"), ("IGNORE", "b9")],
+                                   "category string, buyer string")
+    ts = lambda d: dt.datetime.combine(d, dt.time())
+    rows = [
+        ("p0", ts(dt.date(2001, 1, 1)), "b1", "A", 1),      # exactly at the bound: excluded
+        ("p1", ts(dt.date(2001, 7, 1)), "b1", "A", 2),      # Sunday
+        ("p2", ts(dt.date(2001, 7, 7)), "b1", "C", 0),      # Saturday, no lines: still a PO
+        ("p3", ts(dt.date(2001, 7, 8)), "b1", "X", 5),      # status not kept
+        ("p4", ts(dt.date(2001, 7, 2)), "b9", "A", 1),      # IGNORE buyer
+        ("p5", ts(dt.date(2001, 7, 2)), "zz", "D", 1),      # unknown buyer
+    ]
+    po = spark.createDataFrame(rows, "po_no string, po_date timestamp_ntz, buyer string, "
+                                     "status string, n_lines long")
+    got = [(r.buyer_full, r.week_start, r.po_cnt)
+           for r in throughput.po_throughput(po, buyers, CTX).collect()]
+    assert got == [("b1", dt.date(2001, 7, 1), 2)]
+    lines = throughput.line_throughput(po, buyers, CTX).first()
+    assert lines.line_cnt == 2
+    groups = {r.category: r.n_buyers for r in throughput.throughput_groups(po, buyers, CTX).collect()}
+    assert groups == {"INV": 1}
+
+
+def test_null_line_amount_keeps_po_out_of_detail(spark):
+    rows = [("A", 1, _ts(days_ago(3)), Decimal("60000.00"), 1, 1),
+            ("A", 2, _ts(days_ago(3)), None, 1, 1)]
+    prepared = worklist.prepared_worklist(spark.createDataFrame(rows, WORKLIST_SCHEMA), CTX)
+    empty_docs = spark.createDataFrame(
+        [], "po_no string, lines array<struct<line_no:int, requisition:struct<req_id:string, "
+            "req_line:int>>>")
+    empty_reqs = spark.createDataFrame(
+        [], "req_id string, approved_on string, buyer string, "
+            "lines array<struct<more_info:string>>")
+    assert worklist.approver_detail(prepared, empty_docs, empty_reqs, CTX).count() == 0
+    ov = worklist.approver_overview(prepared).first()
+    assert (ov.amt_lt_50k + ov.amt_50k_250k + ov.amt_250k_500k + ov.amt_500k_plus, ov.total) \
+        == (0, 1)
