@@ -347,3 +347,35 @@ def test_null_line_amount_keeps_po_out_of_detail(spark):
     ov = worklist.approver_overview(prepared).first()
     assert (ov.amt_lt_50k + ov.amt_50k_250k + ov.amt_250k_500k + ov.amt_500k_plus, ov.total) \
         == (0, 1)
+
+
+def test_command_line_run_from_landed_extracts(spark, sf_small):
+    from worklens import schemas
+    from worklens.__main__ import main
+    from worklens.session import scratch_path
+    from worklens.sources import io
+    i = Inputs(spark, sf_small)
+    land = scratch_path(spark, "landing")
+    io.conform(i.backlog_raw, schemas.BACKLOG).write.option("header", "true").csv(
+        f"{land}/backlog.csv")
+    io.conform(i.approver_raw, schemas.WORKLIST).write.parquet(f"{land}/worklist")
+    i.buyers.write.option("header", "true").csv(f"{land}/buyers.csv")
+    i.po_docs.write.json(f"{land}/po_docs.json")
+    i.req_docs.write.json(f"{land}/req_docs.json")
+    io.conform(i.po_data, schemas.PO).write.parquet(f"{land}/po")
+    out = scratch_path(spark, "cli-out")
+    assert main(["--as-of", "2001-07-01", "--date-from", "1996-01-01", "--date-to", "2001-07-15",
+                 "--po-after", "2001-01-01", "--out", out,
+                 "--backlog", f"{land}/backlog.csv", "--worklist", f"{land}/worklist",
+                 "--buyers", f"{land}/buyers.csv", "--po-docs", f"{land}/po_docs.json",
+                 "--req-docs", f"{land}/req_docs.json", "--po", f"{land}/po",
+                 "--archive", f"{land}/archive"]) == 0
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{out}/backlog/age_report").collect())
+    want = sorted(tuple(r) for r in QUERIES["c04_age_report"](spark, sf_small).collect())
+    assert got == want
+    detail = spark.read.parquet(f"{out}/backlog/approver_detail")
+    assert sorted((tuple(r) for r in detail.collect()), key=str) == \
+        sorted((tuple(r) for r in QUERIES["c12_approver_detail"](spark, sf_small).collect()),
+               key=str)
+    assert spark.read.parquet(f"{out}/throughput/po_throughput").count() == \
+        QUERIES["c18_po_throughput"](spark, sf_small).count()

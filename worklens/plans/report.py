@@ -3,10 +3,10 @@
 The reference renders two reports per run.  Here a run publishes each report
 dataset as a table under an output folder.  The two intermediates that many
 datasets start from (the classified backlog and the prepared worklist) are
-materialised once with a reliable ``checkpoint()`` into the shared checkpoint
-folder: later datasets read them instead of re-scanning and re-shuffling the
-extracts, their lineage is cut, and a lost executor costs a re-read of
-checkpoint files rather than a recomputation from the extracts.
+written once as Parquet into the shared checkpoint folder and read back
+(``io.materialize``): later datasets read them instead of re-scanning and
+re-shuffling the extracts, their lineage is cut, and a lost executor costs a
+re-read of those files rather than a recomputation from the extracts.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from worklens import schemas
 from worklens.context import RunContext
 from worklens.plans import archive, backlog, throughput, worklist
 from worklens.session import ensure_checkpoint_dir
-from worklens.sources.io import publish_datasets
+from worklens.sources.io import materialize, publish_datasets
 
 
 def backlog_datasets(split: DataFrame, prepared: DataFrame, buyers: DataFrame,
@@ -53,8 +53,9 @@ def run_backlog_report(spark: SparkSession, backlog_raw: DataFrame, approver_raw
     this run (the reference's order).
     """
     ensure_checkpoint_dir(spark)
-    split = backlog.status_split(backlog.clean_backlog(backlog_raw, buyers, ctx)).checkpoint()
-    prepared = worklist.prepared_worklist(approver_raw, ctx).checkpoint()
+    split = materialize(backlog.status_split(backlog.clean_backlog(backlog_raw, buyers, ctx)),
+                        "run-split")
+    prepared = materialize(worklist.prepared_worklist(approver_raw, ctx), "run-prepared")
     datasets = backlog_datasets(split, prepared, buyers, po_docs, req_docs, ctx)
     if archive_root is not None:
         b_path, w_path = f"{archive_root}/backlog", f"{archive_root}/worklist"

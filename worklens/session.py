@@ -57,17 +57,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a local one only if unset."""
     global _LOCAL_FALLBACK
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # some deployments hide core settings from the SQL conf
+        configured = None
     if configured:
         return configured
     if _LOCAL_FALLBACK is not None:
         return _LOCAL_FALLBACK
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext reachable (e.g. a remote session)
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="worklens-ckpt-")
-    sc.setCheckpointDir(_LOCAL_FALLBACK)
+    if sc is not None:
+        sc.setCheckpointDir(_LOCAL_FALLBACK)
     return _LOCAL_FALLBACK
 
 

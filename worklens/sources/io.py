@@ -131,6 +131,21 @@ def publish_datasets(datasets: Mapping[str, DataFrame], out_dir: str,
     return paths
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage like ``checkpoint()`` but computes the plan once (a reliable
+    RDD checkpoint recomputes an unpersisted plan to write it), keeps the data
+    columnar and compressed, and gives later plans file statistics.  Losing an
+    executor afterwards costs a re-read, not a recomputation.
+    """
+    from worklens.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Shape ``df`` to ``schema``: fields in order, cast, absent ones as typed nulls.
 
