@@ -379,3 +379,27 @@ def test_command_line_run_from_landed_extracts(spark, sf_small):
                key=str)
     assert spark.read.parquet(f"{out}/throughput/po_throughput").count() == \
         QUERIES["c18_po_throughput"](spark, sf_small).count()
+
+
+def test_stream_dedupe_across_extracts_keeps_relisted_old_entries(spark):
+    import time as _time
+    from worklens.session import scratch_path
+    from worklens.streaming import incremental
+    folder, root = scratch_path(spark, "extracts"), scratch_path(spark, "t03-multi")
+    schema = "po_no string, line int, date_time timestamp_ntz"
+    old = _ts(dt.date(1999, 1, 1))
+    spark.createDataFrame([("A", 1, old), ("A", 1, old), ("B", 1, old)], schema) \
+        .coalesce(1).write.parquet(f"{folder}/x1")
+
+    def run():
+        s = incremental.with_ingest_time(
+            spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+                 .parquet(folder))
+        return sorted(tuple(r) for r in incremental.dedupe_stream(spark, s, root=root).collect())
+
+    assert run() == [("A", 1), ("B", 1)]
+    _time.sleep(1.1)
+    # a later extract re-lists A/1 and B/1 (old entry dates) and adds C/1
+    spark.createDataFrame([("A", 1, old), ("B", 1, old), ("C", 1, old)], schema) \
+        .coalesce(1).write.parquet(f"{folder}/x2")
+    assert run() == [("A", 1), ("B", 1), ("C", 1)]

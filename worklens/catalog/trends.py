@@ -183,5 +183,6 @@ def t02_weekly_throughput_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("t03_streaming_dedupe", with_ctes("select distinct po_no, line from approver_raw",
                                             "approver_raw"))
 def t03_streaming_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = fixtures.approver_raw(spark, sf_dir, lineitem=_stream(spark, sf_dir, "lineitem"))
+    lines = incremental.with_ingest_time(_stream(spark, sf_dir, "lineitem"))
+    stream = fixtures.approver_raw(spark, sf_dir, lineitem=lines, keep=("ingest_ts",))
     return incremental.dedupe_stream(spark, stream)

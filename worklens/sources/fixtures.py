@@ -87,11 +87,15 @@ def backlog_raw(spark: SparkSession, sf_dir: str,
     )
 
 
-def approver_raw(spark: SparkSession, sf_dir: str,
-                 lineitem: DataFrame | None = None) -> DataFrame:
-    """S-02 view: one worklist row per line item (repeated (po_no, line) pairs exist)."""
+def approver_raw(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """S-02 view: one worklist row per line item (repeated (po_no, line) pairs exist).
+
+    ``keep`` carries extra columns of ``lineitem`` through (e.g. an ingest time).
+    """
     li = lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")
     return li.select(
+        *keep,
         F.col("l_orderkey").cast("string").alias("po_no"),
         F.col("l_linenumber").alias("line"),
         F.col("l_shipdate").alias("date_time"),

@@ -6,7 +6,7 @@ incremental are offered as streams over a file source:
 * T-01  new backlog extracts -> archive partitions (``foreachBatch``, idempotent
         per micro-batch, so a replayed batch after a failure rewrites only itself);
 * T-02  PO count per buyer and Sunday week with an event-time watermark;
-* T-03  (po_no, line) de-duplication of repeated worklist extracts.
+* T-03  (po_no, line) de-duplication of repeated worklist extracts, by arrival time.
 
 Each function starts the query with ``trigger(availableNow=True)``, waits for
 it, and returns a batch DataFrame over what the sink wrote.  Checkpoints and
@@ -109,18 +109,27 @@ def weekly_po_stream(spark: SparkSession, po_stream: DataFrame, buyers: DataFram
     return spark.read.schema(flat.schema).parquet(out)
 
 
+def with_ingest_time(file_stream_df: DataFrame, name: str = "ingest_ts") -> DataFrame:
+    """Add the arrival time of each row's file (the file source's modification time)."""
+    return file_stream_df.withColumn(name, F.col("_metadata.file_modification_time"))
+
+
 def dedupe_stream(spark: SparkSession, worklist_stream: DataFrame,
-                  delay: str = "3650 days", root: str | None = None) -> DataFrame:
+                  event_time: str = "ingest_ts", delay: str = "2 days",
+                  root: str | None = None) -> DataFrame:
     """T-03: one row per (po_no, line) across repeated extracts.
 
-    ``dropDuplicatesWithinWatermark`` keeps a key's state until the watermark
-    passes its first event time plus ``delay``; which repeat survives is not
-    defined, so only the keys are returned.
+    The event time is when an extract arrived, not the worklist entry date: a
+    later extract legitimately re-lists old entries, which an entry-date
+    watermark would treat as late and drop.  ``dropDuplicatesWithinWatermark``
+    keeps a key's state until the watermark passes its first arrival plus
+    ``delay``, so state holds about ``delay`` worth of keys however long the
+    stream runs.  Which repeat survives is not defined, so only the keys are
+    returned.
     """
     root = root or scratch_path(spark, "t03")
     out, ckpt = f"{root}/lines", f"{root}/_checkpoint"
-    keyed = (worklist_stream.withColumn("ts", wall_clock_as_utc("date_time"))
-                            .withWatermark("ts", delay)
+    keyed = (worklist_stream.withWatermark(event_time, delay)
                             .dropDuplicatesWithinWatermark(["po_no", "line"])
                             .select("po_no", "line"))
     _run(keyed.writeStream.outputMode("append").format("parquet")
