@@ -107,8 +107,3 @@ ARCHIVE_WORKLIST = T.StructType([
     T.StructField("archive_time", T.DateType()),
 ])
 
-
-def project(schema: T.StructType, names: list[str]) -> T.StructType:
-    """Sub-schema with the given fields, in the given order."""
-    by_name = {f.name: f for f in schema.fields}
-    return T.StructType([by_name[n] for n in names])
