@@ -93,3 +93,12 @@ def test_checked_dimension_broadcasts_only_under_limit(spark):
         assert big.count() == 10
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_cluster_settings_scale_with_input():
+    from worklens.session import cluster_settings
+    small = cluster_settings(1 << 30, 8)
+    big = cluster_settings(100 * (1 << 40), 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16          # two waves of tasks
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000       # capped
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

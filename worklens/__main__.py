@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from worklens import schemas
 from worklens.context import RunContext
 from worklens.plans import report
+from worklens.session import apply_settings, cluster_settings
 from worklens.sources import io
 
 
@@ -49,12 +50,17 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--req-docs", required=True)
     ap.add_argument("--po")
     ap.add_argument("--archive")
+    ap.add_argument("--tune-for-bytes", type=int,
+                    help="size shuffle partitions for this many input bytes")
     a = ap.parse_args(argv)
 
     overrides = {k: v for k, v in (("date_from", a.date_from), ("date_to", a.date_to),
                                    ("po_date_after", a.po_after)) if v is not None}
     ctx = RunContext(as_of=a.as_of, **overrides)
     spark = SparkSession.builder.appName("worklens").getOrCreate()
+    if a.tune_for_bytes:
+        cores = spark.sparkContext.defaultParallelism
+        apply_settings(spark, cluster_settings(a.tune_for_bytes, cores))
     out = a.out.rstrip("/")
     paths = report.run_backlog_report(
         spark,

@@ -54,6 +54,35 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_settings(input_bytes: int, total_cores: int,
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Runtime SQL settings for a run over ``input_bytes`` on ``total_cores`` cores.
+
+    Initial shuffle partitions are sized so that a lineitem-scale shuffle
+    (the worklist keep-first) writes about ``target_partition_bytes`` per
+    partition, never fewer than two waves of tasks; AQE then coalesces the
+    small report stages and splits skewed join partitions.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    parts = min(parts, 200_000)
+    size = f"{target_partition_bytes >> 20}m"
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a local one only if unset."""
     global _LOCAL_FALLBACK
