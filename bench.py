@@ -41,11 +41,15 @@ def main() -> None:
     if only:
         keys = [k for k in keys if any(k.startswith(p) for p in only)]
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for key in keys:
         fn = QUERIES[key]
-        run_once(fn, spark, sf_dir)  # warm-up
-        times[key] = round(statistics.median(run_once(fn, spark, sf_dir)
-                                             for _ in range(repeat)), 3)
+        try:
+            run_once(fn, spark, sf_dir)  # warm-up
+            times[key] = round(statistics.median(run_once(fn, spark, sf_dir)
+                                                 for _ in range(repeat)), 3)
+        except Exception as exc:  # record and keep timing the others
+            errors[key] = repr(exc)[:300]
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
@@ -53,6 +57,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
+        "errors": errors,
         "config": {"master": f"local[{cpus}]", "repeat": repeat, "warmup": 1,
                    "shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"),
                    "aqe": spark.conf.get("spark.sql.adaptive.enabled")},
