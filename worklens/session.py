@@ -84,7 +84,12 @@ def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only if unset."""
+    """Return the session's shared checkpoint folder.
+
+    Taken from ``spark.checkpoint.dir`` (or the context's checkpoint folder).
+    Only a local-mode session without one gets a fresh temporary folder; on a
+    cluster a missing setting is an error, never a machine-local fallback.
+    """
     global _LOCAL_FALLBACK
     try:
         configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -101,6 +106,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
+    try:
+        master = spark.conf.get("spark.master", "")
+    except Exception:
+        master = ""
+    if not master.startswith("local"):
+        # Executors on other machines cannot see a driver-local temp folder.
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="worklens-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(_LOCAL_FALLBACK)
