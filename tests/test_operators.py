@@ -102,3 +102,10 @@ def test_cluster_settings_scale_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 16          # two waves of tasks
     assert int(big["spark.sql.shuffle.partitions"]) == 200_000       # capped
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_keep_first_with_map_payload(spark):
+    df = spark.createDataFrame([("p", 2, {"a": 1}), ("p", 1, {"b": 2})],
+                               "k string, t int, m map<string,int>")
+    r = O.keep_first(df, ["k"], ["t"]).first()
+    assert (r.t, r.m) == (1, {"b": 2})

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from worklens.session import plan_memo
 
@@ -58,11 +59,25 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     """
     rest = [c for c in df.columns if c not in keys]
     fields = list(order) + [c for c in rest if c not in order]
-    return (df.groupBy(*keys)
-              .agg(F.min(F.struct(*fields)).alias("_first"))
+    if any(_unorderable(df.schema[c].dataType) for c in fields):
+        # Map-typed payloads cannot be compared: order by the key only.
+        first = F.min_by(F.struct(*rest), F.struct(*order))
+    else:
+        first = F.min(F.struct(*fields))
+    return (df.groupBy(*keys).agg(first.alias("_first"))
               .select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest]))
 
 
+def _unorderable(t: T.DataType) -> bool:
+    if isinstance(t, T.MapType):
+        return True
+    if isinstance(t, T.ArrayType):
+        return _unorderable(t.elementType)
+    if isinstance(t, T.StructType):
+        return any(_unorderable(f.dataType) for f in t.fields)
+    return False
+
+
 def sum_strict(col: Column | str) -> Column:
     """A-04: group sum that is null when any input is null (R ``sum`` without na.rm)."""
     c = F.col(col) if isinstance(col, str) else col
