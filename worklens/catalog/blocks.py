@@ -15,7 +15,7 @@ from worklens import schemas
 from worklens.catalog.inputs import Inputs
 from worklens.catalog.oracle import with_ctes
 from worklens.catalog.registry import ORACLE, factor_sql, rank_sql, register
-from worklens.catalog.reports import _OLD_EXTRA, AGE_M, DETAIL_SQL, _bins_sql, _report_sql
+from worklens.catalog.reports import AGE_M, DETAIL_SQL, OLD_EXTRA, bins_sql, report_sql
 from worklens.context import (
     APPROVER_AGE_EDGES, APPROVER_AMOUNT_EDGES, BACKLOG_AGE_EDGES, BACKLOG_AMOUNT_EDGES,
     BACKLOG_LEVELS,
@@ -49,7 +49,7 @@ def _firsts(i: Inputs) -> DataFrame:
 
 def _status_wide(i: Inputs) -> DataFrame:
     """Every dimension buyer with its status counts (null for idle buyers)."""
-    counts = backlog._status_counts(i.split, ["buyer"])
+    counts = backlog.status_counts(i.split, ["buyer"])
     return i.buyers.join(counts, "buyer", "left")
 
 
@@ -139,7 +139,7 @@ def s08_write_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.read_json_documents(spark, path, schemas.ARCHIVE_WORKLIST)
 
 
-@register("s09_publish_datasets", _report_sql("age_table", AGE_M))
+@register("s09_publish_datasets", report_sql("age_table", AGE_M))
 def s09_publish_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = _i(spark, sf_dir)
     out = scratch_path(spark, "s09")
@@ -324,14 +324,14 @@ def j02_full_outer_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def j03_dim_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = _i(spark, sf_dir)
     dim = O.checked_dimension(i.buyers, "buyer", i.ctx.broadcast_max_rows)
-    return backlog._status_counts(i.split, ["buyer"]).join(dim, "buyer", "left")
+    return backlog.status_counts(i.split, ["buyer"]).join(dim, "buyer", "left")
 
 
 @register("j04_dim_full_keep_idle", with_ctes("select * from wide", "split", "buyers_cat",
                                               extra=_WIDE_EXTRA))
 def j04_dim_full_keep_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = _i(spark, sf_dir)
-    counts = backlog._status_counts(i.split, ["buyer"])
+    counts = backlog.status_counts(i.split, ["buyer"])
     return i.buyers.join(counts, "buyer", "full")
 
 
@@ -346,8 +346,8 @@ def j05_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("j07_positional_zip", with_ctes(f"""
-    select {_bins_sql('age', [0, 7, 14, 30], worklist.AGE_COLS)},
-           {_bins_sql('sum_of_po_amt', [0, 50000, 250000, 500000], worklist.AMOUNT_COLS)}
+    select {bins_sql('age', [0, 7, 14, 30], worklist.AGE_COLS)},
+           {bins_sql('sum_of_po_amt', [0, 50000, 250000, 500000], worklist.AMOUNT_COLS)}
     from prepared""", "prepared"))
 def j07_positional_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Age-bin row and amount-bin row computed separately, then glued side by side."""
@@ -534,7 +534,7 @@ def o01_sort_category_alpha(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("o02_sort_category_rank", with_ctes("select * from old_table", "clean", "buyers_cat",
-                                              extra=_OLD_EXTRA))
+                                              extra=OLD_EXTRA))
 def o02_sort_category_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = _i(spark, sf_dir)
     t = backlog.old_table(i.split, i.ctx)
@@ -564,7 +564,7 @@ def o05_first_element(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- U / R: set ops and reshaping -----------------------------------------
 
-@register("u01_union_all", _report_sql("age_table", AGE_M))
+@register("u01_union_all", report_sql("age_table", AGE_M))
 def u01_union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report stacked the reference's way: detail, subtotal and total frames unioned."""
     t = backlog.age_table(_i(spark, sf_dir).split)

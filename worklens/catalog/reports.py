@@ -15,7 +15,7 @@ AMT_M = ["amt_lt_250k", "amt_250k_500k", "amt_500k_plus", "hold_cnt",
          "out_to_bid_cnt", "total"]
 
 
-def _report_sql(table: str, measures: list[str]) -> str:
+def report_sql(table: str, measures: list[str]) -> str:
     plain = ", ".join(measures)
     summed = ", ".join(f"cast(sum({m}) as bigint) as {m}" for m in measures)
     return with_ctes(f"""
@@ -29,7 +29,7 @@ def _report_sql(table: str, measures: list[str]) -> str:
         select 'Total', ' ', null, 'total', 4, {summed} from {table}""", table)
 
 
-def _groups_sql(table: str) -> str:
+def groups_sql(table: str) -> str:
     return with_ctes(f"""
         select {factor_sql('category')} as category, {rank_sql('category')} as category_rank,
                count(*) as n_rows
@@ -37,7 +37,7 @@ def _groups_sql(table: str) -> str:
 
 
 # Literal shape of the chart data: three count tables, full outer joins, NA -> 0.
-_CHART_COUNTS = """
+CHART_COUNTS = """
     select coalesce(o.buyer, a.buyer, h.buyer) as buyer,
            coalesce(a.n, 0) as actionable_cnt, coalesce(h.n, 0) as on_hold_cnt,
            coalesce(o.n, 0) as out_to_bid_cnt
@@ -51,7 +51,7 @@ _CHART_COUNTS = """
          on coalesce(o.buyer, a.buyer) = h.buyer"""
 
 
-def _unpivot_sql(src: str, ids: str) -> str:
+def unpivot_sql(src: str, ids: str) -> str:
     parts = [f"""select {ids}, '{label}' as type, {col} as "count" from {src}"""
              for col, label in backlog.CHART_TYPES.items()]
     return "\nunion all\n".join(parts)
@@ -78,22 +78,22 @@ def c03_age_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backlog.age_table(Inputs(spark, sf_dir).split)
 
 
-@register("c04_age_report", _report_sql("age_table", AGE_M))
+@register("c04_age_report", report_sql("age_table", AGE_M))
 def c04_age_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backlog.age_report(Inputs(spark, sf_dir).split)
 
 
-@register("c05_age_report_groups", _groups_sql("age_table"))
+@register("c05_age_report_groups", groups_sql("age_table"))
 def c05_age_report_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backlog.report_groups(backlog.age_table(Inputs(spark, sf_dir).split))
 
 
 @register("c06_status_chart", with_ctes(
-    _unpivot_sql("wide", f"left(buyer, 2) as buyer, buyer as buyer_full, "
+    unpivot_sql("wide", f"left(buyer, 2) as buyer, buyer as buyer_full, "
                          f"{factor_sql('category')} as category, "
                          f"{rank_sql('category')} as category_rank"),
     "clean", "buyers_cat",
-    extra={"counts": _CHART_COUNTS.format(src="clean", cond=""),
+    extra={"counts": CHART_COUNTS.format(src="clean", cond=""),
            "wide": """select coalesce(d.buyer, c.buyer) as buyer, d.category,
                              c.actionable_cnt, c.on_hold_cnt, c.out_to_bid_cnt
                       from buyers_cat d full join counts c on d.buyer = c.buyer"""}))
@@ -111,8 +111,8 @@ def c07_hidden_buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backlog.hidden_buyers(backlog.age_table(i.split), i.buyers)
 
 
-_OLD_EXTRA = {
-    "old_cnt": _CHART_COUNTS.format(src="clean", cond="and age >= 90"),
+OLD_EXTRA = {
+    "old_cnt": CHART_COUNTS.format(src="clean", cond="and age >= 90"),
     "old_table": f"""select {factor_sql('d.category')} as category, c.buyer,
                             c.actionable_cnt, c.on_hold_cnt, c.out_to_bid_cnt,
                             {rank_sql('d.category')} as category_rank
@@ -121,16 +121,16 @@ _OLD_EXTRA = {
 
 
 @register("c08_old_table", with_ctes("select * from old_table", "clean", "buyers_cat",
-                                     extra=_OLD_EXTRA))
+                                     extra=OLD_EXTRA))
 def c08_old_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = Inputs(spark, sf_dir)
     return backlog.old_table(i.split, i.ctx)
 
 
 @register("c08_old_chart", with_ctes(
-    _unpivot_sql("old_table", "left(buyer, 2) as buyer, buyer as buyer_full, category, "
+    unpivot_sql("old_table", "left(buyer, 2) as buyer, buyer as buyer_full, category, "
                               "category_rank"),
-    "clean", "buyers_cat", extra=_OLD_EXTRA))
+    "clean", "buyers_cat", extra=OLD_EXTRA))
 def c08_old_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = Inputs(spark, sf_dir)
     return backlog.old_chart(i.split, i.ctx)
@@ -142,13 +142,13 @@ def c09_amount_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backlog.amount_table(i.split, i.ctx)
 
 
-@register("c09_amount_report", _report_sql("amount_table", AMT_M))
+@register("c09_amount_report", report_sql("amount_table", AMT_M))
 def c09_amount_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = Inputs(spark, sf_dir)
     return backlog.amount_report(i.split, i.ctx)
 
 
-@register("c09_amount_report_groups", _groups_sql("amount_table"))
+@register("c09_amount_report_groups", groups_sql("amount_table"))
 def c09_amount_report_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = Inputs(spark, sf_dir)
     return backlog.report_groups(backlog.amount_table(i.split, i.ctx))
@@ -161,7 +161,7 @@ def c10_prepared_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Inputs(spark, sf_dir).prepared
 
 
-def _bins_sql(col: str, edges: list[int], names: list[str]) -> str:
+def bins_sql(col: str, edges: list[int], names: list[str]) -> str:
     parts = [f"count(*) filter (where {col} >= {lo} and {col} < {hi}) as {n}"
              for lo, hi, n in zip(edges[:-1], edges[1:], names[:-1])]
     parts.append(f"count(*) filter (where not ({col} >= {edges[0]} and {col} < {edges[-1]}))"
@@ -171,8 +171,8 @@ def _bins_sql(col: str, edges: list[int], names: list[str]) -> str:
 
 @register("c11_approver_overview", with_ctes(f"""
     select *, age_0_7 + age_7_14 + age_14_30 + age_30_plus as total from (
-      select {_bins_sql('age', [0, 7, 14, 30], worklist.AGE_COLS)},
-             {_bins_sql('sum_of_po_amt', [0, 50000, 250000, 500000], worklist.AMOUNT_COLS)}
+      select {bins_sql('age', [0, 7, 14, 30], worklist.AGE_COLS)},
+             {bins_sql('sum_of_po_amt', [0, 50000, 250000, 500000], worklist.AMOUNT_COLS)}
       from prepared)""", "prepared"))
 def c11_approver_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worklist.approver_overview(Inputs(spark, sf_dir).prepared)

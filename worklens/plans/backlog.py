@@ -147,7 +147,8 @@ def report_groups(table: DataFrame) -> DataFrame:
                          "n_rows"))
 
 
-def _status_counts(rows: DataFrame, group_cols: list[str]) -> DataFrame:
+def status_counts(rows: DataFrame, group_cols: list[str]) -> DataFrame:
+    """A-01: classified rows per group and status, one conditional aggregation."""
     s = F.col("status")
     return (rows.where(s.isNotNull()).groupBy(*group_cols)
                 .agg(F.count_if(s == PLAIN).alias("actionable_cnt"),
@@ -161,7 +162,7 @@ def status_chart(split: DataFrame, buyers: DataFrame) -> DataFrame:
     Counts are zero-filled among buyers with work, then every dimension buyer
     is added; idle buyers keep null counts (Q4).
     """
-    counts = _status_counts(split, ["buyer"])
+    counts = status_counts(split, ["buyer"])
     wide = buyers.join(counts, "buyer", "left")
     long = unpivot_counts(wide, ["buyer", "category"], CHART_TYPES, "type", "count")
     return long.select(
@@ -182,7 +183,7 @@ def hidden_buyers(table: DataFrame, buyers: DataFrame) -> DataFrame:
 def old_table(split: DataFrame, ctx: RunContext) -> DataFrame:
     """C-08: 90+ counts per buyer by status (no Total); only buyers with such rows."""
     old = split.where(F.col("age") >= ctx.min_age_days)
-    return (_status_counts(old, ["category", "buyer"])
+    return (status_counts(old, ["category", "buyer"])
             .withColumn("category_rank", category_rank("category", BACKLOG_LEVELS)))
 
 
