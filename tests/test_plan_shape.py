@@ -64,3 +64,22 @@ def test_no_python_in_plans(spark, sf_small, key):
     for op in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                "PythonUDF"):
         assert op not in p, (key, op)
+
+
+def test_landed_backlog_window_reaches_the_scan(spark, sf_small):
+    i = Inputs(spark, sf_small)
+    path = scratch_path(spark, "shape-backlog")
+    io.conform(i.backlog_raw, schemas.BACKLOG).write.parquet(path)
+    landed = io.read_backlog(spark, path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        p = plan(backlog.age_table(backlog.status_split(backlog.clean_backlog(landed, i.buyers,
+                                                                              i.ctx))))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(date_of_approval,1996-01-01)" in p
+    assert "LessThanOrEqual(date_of_approval,2001-07-15)" in p
+    assert "IsNotNull(buyer)" in p
+    # only the columns the table needs are read
+    assert "ReadSchema: struct<hold:string,date_of_approval:date,buyer:string," \
+           "out_to_bid:string>" in p
