@@ -43,9 +43,10 @@ IDLE_BUYERS = (("SE", "90_IDLE"), ("IGNORE", "91_IDLE"))
 def buyers_cat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-03: buyer dimension (category, buyer): nations of regions 0-3 plus two idle buyers."""
     n = table(spark, sf_dir, "nation")
-    cat = F.when(F.col("n_regionkey") == 0, "NINV")
-    for key, name in list(REGION_CATEGORY.items())[1:]:
-        cat = cat.when(F.col("n_regionkey") == key, name)
+    region = F.col("n_regionkey")
+    cat = F  # F.when(...) starts the CASE chain, Column.when(...) extends it
+    for key, name in REGION_CATEGORY.items():
+        cat = cat.when(region == key, name)
     from_nations = (n.where(F.col("n_regionkey") < 4)
                      .select(cat.alias("category"),
                              buyer_name(F.col("n_nationkey"), F.col("n_name")).alias("buyer")))
