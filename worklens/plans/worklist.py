@@ -25,13 +25,23 @@ AMOUNT_COLS = ["amt_lt_50k", "amt_50k_250k", "amt_250k_500k", "amt_500k_plus"]
 
 
 def prepared_worklist(approver: DataFrame, ctx: RunContext,
-                      line_order: tuple[str, ...] = ("date_time", "tie1", "tie2")) -> DataFrame:
+                      line_order: tuple[str, ...] = ("date_time", "tie1", "tie2"),
+                      one_shuffle: bool = False) -> DataFrame:
     """C-10: one row per PO: first row's attributes, strict amount sum, worklist age.
 
     1. first row per (po_no, line) by ``line_order`` (the extract's repeats);
     2. per PO, the sum of those rows' amounts, null when any is null (Q8),
        and the attributes of the row with the lowest line.
+
+    Default plan: two shuffles, each after map-side partial aggregation, so a
+    PO holding a large share of all rows is spread over its lines and then
+    reduced to one row per task.  ``one_shuffle=True`` hash-partitions the
+    rows by ``po_no`` once and runs both levels inside those partitions: half
+    the shuffle volume, but every row of a PO goes to one task, so use it only
+    where no PO is hot.
     """
+    if one_shuffle:
+        approver = approver.repartition("po_no")
     firsts = keep_first(approver, ["po_no", "line"], list(line_order))
     attrs = [c for c in firsts.columns if c not in ("po_no", "line", "merch_amt")]
     # ``line`` is unique within a PO after step 1, so one scalar ``min_by`` per
