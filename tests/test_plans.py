@@ -417,3 +417,21 @@ def test_prepared_worklist_one_shuffle_option_is_equivalent(spark, sf_small):
     assert (exchanges(a), exchanges(b)) == (2, 1)
     assert sorted((tuple(r) for r in a.collect()), key=str) == \
         sorted((tuple(r) for r in b.collect()), key=str)
+
+
+def test_dimension_over_the_broadcast_limit_gives_same_result(spark, sf_small):
+    import dataclasses
+    i = Inputs(spark, sf_small)
+    no_bcast = dataclasses.replace(i.ctx, broadcast_max_rows=0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = backlog.status_split(backlog.clean_backlog(i.backlog_raw, i.buyers, no_bcast))
+        t = backlog.age_table(split)
+        p = t._jdf.queryExecution().executedPlan().toString()
+        got = sorted(tuple(r) for r in t.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in p
+    assert got == sorted(tuple(r) for r in backlog.age_table(i.split).collect())
