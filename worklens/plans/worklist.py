@@ -1,10 +1,11 @@
 """Approver worklist datasets (C-10 .. C-13).
 
-Keep-first and the strict PO sum are two declarative aggregations
-(``min_by`` and ``sum``), each with map-side partial aggregation, so a PO
-with a huge number of repeated lines never lands whole in one task.  The
-per-PO document lookup of the reference (two HTTP calls per PO) becomes two
-equi-joins whose strategy AQE picks from runtime sizes.
+Keep-first and the strict PO sum are two declarative aggregations (``min``
+over an order-led struct per (PO, line), then ``sum`` / ``min_by`` per PO),
+each with map-side partial aggregation, so a PO with a huge number of repeated
+lines never lands whole in one task.  The per-PO document lookup of the
+reference (two HTTP calls per PO) becomes two equi-joins, selective side
+first, whose strategy AQE picks from runtime sizes.
 """
 
 from __future__ import annotations
