@@ -435,3 +435,13 @@ def test_dimension_over_the_broadcast_limit_gives_same_result(spark, sf_small):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in p
     assert got == sorted(tuple(r) for r in backlog.age_table(i.split).collect())
+
+
+def test_sql_views(spark, sf_small):
+    from worklens.catalog.views import register_views
+    names = register_views(spark, sf_small)
+    assert "age_report" in names
+    via_sql = spark.sql("select sum(total) as t from age_table").first().t
+    total = [r.total for r in QUERIES["c04_age_report"](spark, sf_small).collect()
+             if r.row_kind == "total"][0]
+    assert via_sql == total
