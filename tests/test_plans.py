@@ -445,3 +445,23 @@ def test_sql_views(spark, sf_small):
     total = [r.total for r in QUERIES["c04_age_report"](spark, sf_small).collect()
              if r.row_kind == "total"][0]
     assert via_sql == total
+
+
+def test_prepared_worklist_with_a_hot_po(spark, sf_small):
+    """A third of all worklist rows belong to one PO: same answer as pandas."""
+    import pandas as pd
+    i = Inputs(spark, sf_small)
+    hot = i.approver_raw.withColumn(
+        "po_no", F.when(F.col("tie1") % 3 == 0, F.lit("HOT")).otherwise(F.col("po_no")))
+    got = {r.po_no: (r.sum_of_po_amt, r.tie1, r.tie2)
+           for r in worklist.prepared_worklist(hot, i.ctx).collect()}
+    pdf = hot.toPandas()
+    firsts = (pdf.sort_values(["date_time", "tie1", "tie2", "merch_amt"], na_position="first")
+                 .groupby(["po_no", "line"], as_index=False).head(1))  # whole first rows
+    want = {}
+    for po, g in firsts.groupby("po_no"):
+        amt = None if g["merch_amt"].isna().any() else sum(g["merch_amt"])
+        head = g.sort_values("line").iloc[0]
+        want[po] = (amt, int(head["tie1"]), int(head["tie2"]))
+    assert sum(1 for _ in pdf.itertuples() if _.po_no == "HOT") > len(pdf) / 4
+    assert got == want
