@@ -4,7 +4,8 @@ Runs every report dataset (C-*), plus the streaming variants (T-*), on
 ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with ``local[$BENCH_CPUS]``.
 Each query is executed in full through the ``noop`` sink (no driver collect),
 once to warm up and then ``$BENCH_REPEAT`` times (default 3); the median is
-reported.  Prints one JSON line.
+reported.  The Spark jobs and stages of one timed run per query are recorded
+too (``plan_shape``; stage counts include stages skipped by shuffle reuse).  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -41,13 +42,22 @@ def main() -> None:
     if only:
         keys = [k for k in keys if any(k.startswith(p) for p in only)]
     times: dict[str, float] = {}
+    shape: dict[str, dict[str, int]] = {}
     errors: dict[str, str] = {}
+    sc = spark.sparkContext
     for key in keys:
         fn = QUERIES[key]
         try:
-            run_once(fn, spark, sf_dir)  # warm-up
-            times[key] = round(statistics.median(run_once(fn, spark, sf_dir)
-                                                 for _ in range(repeat)), 3)
+            run_once(fn, spark, sf_dir)  # warm-up (one-time dimension checks, codegen)
+            runs = []
+            for n in range(repeat):
+                sc.setJobGroup(f"timed-{key}-{n}", key)
+                runs.append(run_once(fn, spark, sf_dir))
+            jobs = sc.statusTracker().getJobIdsForGroup(f"timed-{key}-0")
+            stages = sum(len(info.stageIds) for j in jobs
+                         if (info := sc.statusTracker().getJobInfo(j)) is not None)
+            shape[key] = {"jobs": len(jobs), "stages": stages}
+            times[key] = round(statistics.median(runs), 3)
         except Exception as exc:  # record and keep timing the others
             errors[key] = repr(exc)[:300]
     sf = os.path.basename(sf_dir).removeprefix("sf")
@@ -58,6 +68,7 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "errors": errors,
+        "plan_shape": shape,
         "config": {"master": f"local[{cpus}]", "repeat": repeat, "warmup": 1,
                    "shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"),
                    "aqe": spark.conf.get("spark.sql.adaptive.enabled")},
