@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from worklens.session import plan_memo
 
+
 def dimension_stats(df: DataFrame, key: str) -> tuple[int, int]:
     """Row count and distinct-key count of a dimension: one small job per plan and session.
 
