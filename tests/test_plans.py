@@ -465,3 +465,17 @@ def test_prepared_worklist_with_a_hot_po(spark, sf_small):
         want[po] = (amt, int(head["tie1"]), int(head["tie2"]))
     assert sum(1 for _ in pdf.itertuples() if _.po_no == "HOT") > len(pdf) / 4
     assert got == want
+
+
+def test_snapshot_rerun_replaces_the_whole_snapshot(spark, sf_small):
+    from worklens import schemas
+    from worklens.session import scratch_path
+    from worklens.sources import io
+    i = Inputs(spark, sf_small)
+    path = scratch_path(spark, "rerun-status")
+    snap = archive.backlog_snapshot(i.split, i.ctx)
+    io.write_archive(snap, path)
+    io.write_archive(snap.where(F.col("status") != "hold"), path)   # corrected: no hold rows
+    back = io.read_archive(spark, path, schemas.ARCHIVE_BACKLOG)
+    assert back.where(F.col("status") == "hold").count() == 0
+    assert back.count() == snap.where(F.col("status") != "hold").count()

@@ -2,8 +2,9 @@
 
 The reference appends to four document collections and then exports every
 collection in full on every run.  Here the archive is one Parquet table per
-kind, partitioned by ``archive_time`` (and ``status`` for the backlog), written
-with dynamic partition overwrite; trends are single grouped passes.
+kind, partitioned by ``archive_time``, written with dynamic partition
+overwrite (a rerun replaces its snapshot whole); trends are single grouped
+passes.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ def worklist_snapshot(prepared: DataFrame, ctx: RunContext) -> DataFrame:
 def archive_snapshot(split: DataFrame, prepared: DataFrame, ctx: RunContext,
                      backlog_path: str, worklist_path: str) -> None:
     """C-14 + S-07: write this run's snapshot (idempotent per snapshot)."""
-    write_archive(backlog_snapshot(split, ctx), backlog_path, ("archive_time", "status"))
+    write_archive(backlog_snapshot(split, ctx), backlog_path, ("archive_time",))
     write_archive(worklist_snapshot(prepared, ctx), worklist_path, ("archive_time",))
 
 

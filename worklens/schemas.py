@@ -81,7 +81,7 @@ REQ_DOC = T.StructType([
     ]))),
 ])
 
-# Archive of backlog snapshots (one table, partitioned by archive_time and status).
+# Archive of backlog snapshots (one table, partitioned by archive_time).
 ARCHIVE_BACKLOG = T.StructType([
     T.StructField("requisition_id", T.StringType()),
     T.StructField("hold", T.StringType()),

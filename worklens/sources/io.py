@@ -2,8 +2,8 @@
 
 Every reader takes an explicit schema, so nothing is inferred and the plan's
 output schema is fixed.  Parquet readers get predicate pushdown and column
-pruning from Catalyst; the archive is partitioned by snapshot and status so
-trend queries prune whole folders.
+pruning from Catalyst; the archive is partitioned by snapshot so trend
+queries over a date range prune whole folders.
 """
 
 from __future__ import annotations
@@ -71,8 +71,11 @@ def read_po_frame(po: DataFrame, ctx: RunContext,
 
 def read_archive(spark: SparkSession, path: str, schema: T.StructType,
                  since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
-    """S-05: the archive, optionally restricted to a snapshot range (partition pruning)."""
-    df = spark.read.schema(schema).parquet(path)
+    """S-05: the archive, optionally restricted to a snapshot range (partition pruning).
+
+    Columns come back in ``schema`` order (Spark appends partition columns last).
+    """
+    df = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     if since is not None:
         df = df.where(F.col("archive_time") >= F.lit(since))
     if until is not None:
@@ -92,13 +95,17 @@ def parse_json_column(df: DataFrame, col: str, schema: T.StructType,
 
 
 def write_archive(df: DataFrame, path: str,
-                  partition_by: Sequence[str] = ("archive_time", "status"),
+                  partition_by: Sequence[str] = ("archive_time",),
                   files_per_partition: int | None = None) -> None:
     """S-07: add a snapshot to the archive.
 
     Dynamic partition overwrite: only the partitions present in ``df`` are
     replaced, so re-running the same snapshot leaves one copy (Q12) and older
-    snapshots are untouched.
+    snapshots are untouched.  The default partitioning is the snapshot alone:
+    a rerun then replaces the whole snapshot, even when a status present in
+    the first run is absent from the corrected one (with ``status`` as a
+    partition column its stale folder would survive).  No trend filters on
+    status, so nothing is lost in pruning.
 
     By default every task writes its own file per partition it holds (no extra
     shuffle).  ``files_per_partition=n`` instead shuffles once on the partition
