@@ -61,9 +61,10 @@ def incremental_archive(spark: SparkSession, backlog_stream: DataFrame,
                         root: str | None = None) -> DataFrame:
     """T-01: classify each micro-batch of backlog rows and add it to the archive.
 
-    Partitioned by (archive_time, status, batch_id) with dynamic overwrite: a
-    batch replayed after a failure replaces exactly its own files, and two
-    batches of one snapshot never overwrite each other.
+    Partitioned by (archive_time, batch_id) with dynamic overwrite: a batch
+    replayed after a failure replaces exactly its own files, and two batches
+    of one snapshot (an extract spread over several files) never overwrite
+    each other.
     """
     root = root or scratch_path(spark, "t01")
     out, ckpt = f"{root}/archive_backlog", f"{root}/_checkpoint"
@@ -72,7 +73,7 @@ def incremental_archive(spark: SparkSession, backlog_stream: DataFrame,
     def sink(batch: DataFrame, batch_id: int) -> None:
         split = backlog.status_split(backlog.clean_backlog(batch, dim, ctx))
         rows = archive.backlog_snapshot(split, ctx).withColumn("batch_id", F.lit(batch_id))
-        write_archive(rows, out, ("archive_time", "status", "batch_id"))
+        write_archive(rows, out, ("archive_time", "batch_id"))
 
     _run(backlog_stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt))
     schema = T.StructType(schemas.ARCHIVE_BACKLOG.fields
