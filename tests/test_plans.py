@@ -479,3 +479,20 @@ def test_snapshot_rerun_replaces_the_whole_snapshot(spark, sf_small):
     back = io.read_archive(spark, path, schemas.ARCHIVE_BACKLOG)
     assert back.where(F.col("status") == "hold").count() == 0
     assert back.count() == snap.where(F.col("status") != "hold").count()
+
+
+def test_streams_under_cluster_settings_rocksdb_state(spark, sf_small):
+    from worklens.session import apply_settings, cluster_settings
+    want = sorted(tuple(r) for r in QUERIES["t03_streaming_dedupe"](spark, sf_small).collect())
+    settings = cluster_settings(1 << 30, 8)
+    before = {k: spark.conf.get(k, None) for k in settings}
+    apply_settings(spark, settings)
+    try:
+        got = sorted(tuple(r) for r in QUERIES["t03_streaming_dedupe"](spark, sf_small).collect())
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == want

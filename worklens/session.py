@@ -75,6 +75,11 @@ def cluster_settings(input_bytes: int, total_cores: int,
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
         "spark.sql.files.maxPartitionBytes": size,
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        # Streaming state (dedupe keys, open weeks) off the JVM heap, with
+        # incremental checkpoints; must be set before a query's first run.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
 
 
