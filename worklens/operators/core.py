@@ -48,6 +48,18 @@ def checked_dimension(df: DataFrame, key: str, max_rows: int,
     return F.broadcast(df) if n <= max_rows else df
 
 
+def bounded_by_dimension(df: DataFrame, dimension: DataFrame, key: str,
+                         max_rows: int) -> DataFrame:
+    """Broadcast ``df`` whose rows are at most one per dimension key.
+
+    For per-key results of facts that passed an inner join with the
+    dimension: their size is bounded by the dimension's checked row count, so
+    they may be broadcast exactly when the dimension may.
+    """
+    n, _ = dimension_stats(dimension, key)
+    return F.broadcast(df) if n <= max_rows else df
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """A-13: the first row per key, all columns kept.
 

@@ -14,14 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from worklens.context import (
-    BACKLOG_AGE_EDGES, BACKLOG_AMOUNT_EDGES, BACKLOG_LEVELS, HOLD_NO, HOLD_YES,
+    BACKLOG_AGE_EDGES, BACKLOG_AMOUNT_EDGES, BACKLOG_LEVELS, DEFAULT, HOLD_NO, HOLD_YES,
     OTB_NOT_REQUESTED, OTB_REQUESTED, RunContext,
 )
 from worklens.functions.columns import (
     abbreviate, age_days, category_in, category_rank, fixed_bins, row_sum,
 )
 from worklens.operators.core import (
-    bucket_counts, checked_dimension, unpivot_counts, with_totals,
+    bounded_by_dimension, bucket_counts, checked_dimension, unpivot_counts, with_totals,
 )
 
 PLAIN, HOLD, OUT_TO_BID = "plain", "hold", "out_to_bid"
@@ -156,13 +156,15 @@ def status_counts(rows: DataFrame, group_cols: list[str]) -> DataFrame:
                      F.count_if(s == OUT_TO_BID).alias("out_to_bid_cnt")))
 
 
-def status_chart(split: DataFrame, buyers: DataFrame) -> DataFrame:
+def status_chart(split: DataFrame, buyers: DataFrame,
+                 max_rows: int = DEFAULT.broadcast_max_rows) -> DataFrame:
     """C-06: (buyer, category, type, count) for the stacked bar chart.
 
     Counts are zero-filled among buyers with work, then every dimension buyer
-    is added; idle buyers keep null counts (Q4).
+    is added; idle buyers keep null counts (Q4).  The counts have one row per
+    dimension buyer at most, so they are broadcast when the dimension may be.
     """
-    counts = status_counts(split, ["buyer"])
+    counts = bounded_by_dimension(status_counts(split, ["buyer"]), buyers, "buyer", max_rows)
     wide = buyers.join(counts, "buyer", "left")
     long = unpivot_counts(wide, ["buyer", "category"], CHART_TYPES, "type", "count")
     return long.select(
@@ -173,9 +175,10 @@ def status_chart(split: DataFrame, buyers: DataFrame) -> DataFrame:
         "type", "count")
 
 
-def hidden_buyers(table: DataFrame, buyers: DataFrame) -> DataFrame:
+def hidden_buyers(table: DataFrame, buyers: DataFrame,
+                  max_rows: int = DEFAULT.broadcast_max_rows) -> DataFrame:
     """C-07: dimension buyers with no row in the age table (J-05 anti join)."""
-    active = table.select("buyer")
+    active = bounded_by_dimension(table.select("buyer"), buyers, "buyer", max_rows)
     return (buyers.join(active, "buyer", "left_anti")
                   .select(abbreviate("buyer").alias("buyer"), F.col("buyer").alias("buyer_full")))
 
