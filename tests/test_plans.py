@@ -496,3 +496,14 @@ def test_streams_under_cluster_settings_rocksdb_state(spark, sf_small):
             else:
                 spark.conf.set(k, v)
     assert got == want
+
+
+def test_publish_datasets_as_csv(spark, sf_small):
+    from worklens.session import scratch_path
+    from worklens.sources import io
+    i = Inputs(spark, sf_small)
+    rep = backlog.age_report(i.split)
+    paths = io.publish_datasets({"age_report": rep}, scratch_path(spark, "csv-out"), fmt="csv")
+    back = io.read_table(spark, paths["age_report"], rep.schema, fmt="csv")
+    assert sorted((tuple(r) for r in back.collect()), key=str) == \
+        sorted((tuple(r) for r in rep.collect()), key=str)

@@ -133,7 +133,12 @@ def publish_datasets(datasets: Mapping[str, DataFrame], out_dir: str,
     paths = {}
     for name, df in datasets.items():
         p = f"{out_dir.rstrip('/')}/{name}"
-        df.write.mode("overwrite").format(fmt).option("header", "true").save(p)
+        w = df.write.mode("overwrite").format(fmt)
+        if fmt == "csv":
+            # keep labels such as the total row's " " intact (the writer trims by default)
+            w = (w.option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+                  .option("ignoreTrailingWhiteSpace", "false"))
+        w.save(p)
         paths[name] = p
     return paths
 
