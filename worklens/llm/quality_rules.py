@@ -22,8 +22,6 @@ empty result; doc_id may be null; other columns are not read.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +30,7 @@ from worklens.llm.common import materialize, word_array
 #: Characters counted as symbols.
 SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-ITERATIONS, KEEP_AT = 20, 0.5
+ITERATIONS, KEEP_AT = 25, 0.5
 #: Probability of "good" before any vote, and the range of estimated accuracies.
 PRIOR, LEAST, MOST = 0.5, 0.05, 0.99
 
@@ -91,49 +89,47 @@ def count_features(docs: DataFrame) -> DataFrame:
         F.regexp_count("text", F.lit("!!")).cast("long").alias("n_shouts"))
 
 
-def _product(terms: list[Column]) -> Column:
-    return reduce(lambda a, b: a * b, terms)
-
+def posterior(accuracies: list[float]) -> Column:
+    """P(good | votes) for the array column ``votes``, in the order of the rules."""
+    given = F.array(*[F.lit(a) for a in accuracies])
 
-def posterior(accuracy: dict[str, float]) -> Column:
-    """P(good | votes) for columns of votes."""
     def likelihood(label: int) -> Column:
-        return _product([F.when(F.col(r).isNull(), 1.0).when(F.col(r) == label, a)
-                          .otherwise(1 - a) for r, a in accuracy.items()])
+        terms = F.zip_with("votes", given, lambda v, a: F.when(v.isNull(), 1.0)
+                           .when(v == label, a).otherwise(1.0 - a))
+        return F.aggregate(terms, F.lit(1.0), lambda x, y: x * y)
     good, bad = likelihood(1) * PRIOR, likelihood(0) * (1 - PRIOR)
     return good / (good + bad)
 
 
-def fit_accuracies(patterns: DataFrame, names: list[str], iterations: int) -> dict[str, float]:
-    """EM over the bounded table of vote patterns (columns of the rules, n)."""
-    accuracy = dict.fromkeys(names, 0.8)
+def fit_accuracies(patterns: DataFrame, n_rules: int, iterations: int) -> list[float]:
+    """EM over the bounded table of vote patterns (votes, n); a rule's accuracy per step."""
+    accuracy = [0.8] * n_rules
     for _ in range(iterations):
-        rated, p = patterns.withColumn("p", posterior(accuracy)), F.col("p")
-        right = [F.sum(F.col("n") * F.when(F.col(r) == 1, p).when(F.col(r) == 0, 1 - p)).alias(r)
-                 for r in names]
-        cast = [F.sum(F.when(F.col(r).isNotNull(), F.col("n"))).alias(f"{r}_n") for r in names]
-        got = rated.agg(*right, *cast).first()
-        new = {}
-        for r in names:  # one made-up right and one wrong vote; rules that never voted stay
-            n = got[f"{r}_n"]
-            new[r] = min(max((got[r] + 1) / (n + 2), LEAST), MOST) if n else accuracy[r]
-        if max(abs(new[r] - accuracy[r]) for r in names) < 1e-6:
-            break
+        rated = patterns.select("n", posterior(accuracy).alias("p"),
+                                F.posexplode("votes").alias("rule", "vote"))
+        right = F.when(F.col("vote") == 1, F.col("p")).otherwise(1 - F.col("p"))
+        got = rated.where("vote is not null").groupBy("rule").agg(
+            F.sum(F.col("n") * right).alias("right"), F.sum("n").alias("cast")).collect()
+        new = list(accuracy)  # one made-up right and one wrong vote; silent rules stay
+        for r in got:
+            new[r["rule"]] = min(max((r["right"] + 1) / (r["cast"] + 2), LEAST), MOST)
+        moved = max(abs(a - b) for a, b in zip(new, accuracy, strict=True))
         accuracy = new
+        if moved < 1e-4:
+            break
     return accuracy
 
 
 def judge(docs: DataFrame, keep_at: float = KEEP_AT, iterations: int = ITERATIONS) -> DataFrame:
     """Counts, base_failed, kept and p_good (the posterior) per document."""
     votes = rules()
-    names = list(votes)
-    rows = materialize(count_features(docs).select("*", *[v.alias(r) for r, v in votes.items()]),
-                       "quality-votes")
+    rows = materialize(
+        count_features(docs).select("*", F.array(*votes.values()).alias("votes")), "quality-votes")
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    patterns = materialize(rows.groupBy(*names).agg(F.count("*").alias("n")), "vote-patterns")
-    fitted = fit_accuracies(patterns, names, iterations)
+    patterns = materialize(rows.groupBy("votes").agg(F.count("*").alias("n")), "vote-patterns")
+    fitted = fit_accuracies(patterns, len(votes), iterations)
     return rows.withColumn("p_good", posterior(fitted)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & (F.col("p_good") >= keep_at)).alias("kept"),
-        "p_good", *names)
+        "p_good", *[F.element_at("votes", i + 1).alias(r) for i, r in enumerate(votes)])
