@@ -7,6 +7,9 @@ is split without a regular expression.
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -16,6 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import worklens
 from worklens.sources.io import materialize  # noqa: F401  (re-used by the operators)
 
 #: Java regular expression of the characters between words.
@@ -24,7 +28,19 @@ BLANKS = r"[\x20\x09-\x0D]+"
 MEMO_WORDS = 400_000
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand the package to the Python workers, unless they find it as this process does."""
+    root = os.path.dirname(os.path.dirname(worklens.__path__[0] + "/"))
+    sc = spark.sparkContext
+    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(":")]
+    if root in map(os.path.realpath, filter(None, found)) or getattr(sc, "_worklens_shipped", False):
+        return
+    sc.addPyFile(shutil.make_archive(tempfile.mkdtemp() + "/worklens", "zip", root, "worklens"))
+    sc._worklens_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -7,7 +7,7 @@ from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
 
-from worklens.llm import packing, quality_rules, sharding
+from worklens.llm import ann, packing, quality_rules, quoting, sharding, toxicity, viterbi
 from worklens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,11 +28,85 @@ def tokenizer_file(name: str) -> str:
     return str(resources.files("public_tokenizers") / name)
 
 
+@register("op1_noisy_or_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op2_balanced_posting_lists")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @register("op3_cost_balanced_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+OP4_SQL = r"""
+with recursive m as (
+  select conv_id, turn::bigint as turn, min({'text': text, 'role': role}) as m
+  from conversations where conv_id is not null and turn is not null group by all
+  union all
+  select conv_id, turn::bigint, {'text': text, 'role': role}
+  from conversations where conv_id is null or turn is null
+), p as (
+  select conv_id, turn, m.role as role, list_transform(
+    string_split(coalesce(m.text, ''), chr(10)), lambda x: {
+      'level': length(regexp_replace(regexp_extract(x, '^[ \t]*((?:>[ \t]*)+)', 1), '[^>]', '', 'g')),
+      'body': regexp_replace(x, '^[ \t]*((?:>[ \t]*)+)', '')}) as lines
+  from m
+), l as (
+  select conv_id, turn, u.level as level,
+         trim(regexp_replace(lower(u.body), '\s+', ' ', 'g')) as h
+  from (select conv_id, turn, unnest(lines) as u from p
+        where conv_id is not null and turn is not null)
+), own as (select * from l where level = 0 and h <> ''),
+q as (select * from l where level > 0 and h <> ''),
+here as (select conv_id, h, min(turn) as here_turn from own group by all),
+firsts as (select h, min({'c': conv_id, 't': turn}) as f from own group by h),
+near as (
+  select q.conv_id, q.turn, q.level, q.h,
+         case when here_turn < q.turn then here_turn end as here_turn
+  from q left join here using (conv_id, h)
+), links as (
+  select conv_id, turn, level, to_conv, to_turn, count(*) as n from (
+    select conv_id, turn, level, conv_id as to_conv, here_turn as to_turn
+    from near where here_turn is not null
+    union all
+    select conv_id, turn, level, f.c, f.t from near join firsts using (h)
+    where here_turn is null and f.c <> conv_id
+  ) group by all
+), counted as (
+  select conv_id, turn, sum(n)::bigint as n_linked from links group by all
+), parents as (
+  select conv_id, turn, max({'a': -level, 'b': n, 't': to_turn}).t as parent_turn
+  from links where to_conv = conv_id group by all
+), tree as (
+  select conv_id, turn, parent_turn as up, 1::bigint as depth from parents
+  union all
+  select t.conv_id, t.turn, x.parent_turn, t.depth + 1
+  from tree t join parents x on x.conv_id = t.conv_id and x.turn = t.up
+), roots as (
+  select conv_id, turn, max({'d': depth, 'r': up}) as top from tree group by all
+)
+select p.conv_id, p.turn, p.role, parents.parent_turn,
+       coalesce(roots.top.r, p.turn) as root_turn, coalesce(roots.top.d, 0) as depth,
+       len(list_filter(lines, lambda x: x.level > 0)) as n_quoted,
+       coalesce(n_linked, 0) as n_linked,
+       coalesce(list_max(list_transform(lines, lambda x: x.level)), 0) as max_level,
+       trim(array_to_string(list_transform(list_filter(lines, lambda x: x.level = 0),
+                                           lambda x: x.body), chr(10)), ' ') as text
+from p left join counted using (conv_id, turn) left join parents using (conv_id, turn)
+left join roots using (conv_id, turn)
+"""
+
+
+@register("op4_quotation_linking", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quoting.conversations(table(spark, sf_dir, "conversations"))
+
+
 @register("op6_weak_supervision")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
@@ -63,3 +137,8 @@ select doc_id, n_bytes, shard, depth, shard_bytes, shard_docs, fits from best wh
 @register("op7_extendible_hashing", OP7_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
+@register("op8_streaming_viterbi")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi.digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
