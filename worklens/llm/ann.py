@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from worklens.llm.common import materialize
 
 MAX_LISTS, LIST_SIZE, SAMPLE_PER_LIST, KMEANS_ROUNDS = 8192, 256, 24, 8
-REPLICATE, PROBE, SUBLIST = 0.05, 0.16, 2048
+REPLICATE, PROBE, SUBLIST = 0.05, 0.19, 2048
 DEGREE, BEAM = 24, 64
 
 

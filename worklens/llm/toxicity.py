@@ -33,8 +33,11 @@ from worklens.llm.common import Memo, utf8_column
 
 BITS = 18
 MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_BYTES = 3000, 6000, 20_000
-MIN_DOCS = 4
-EPOCHS, RATE, L2, BIAS = 120, 0.3, 1e-4, -7.0
+#: A word needs so many documents, standard errors between the two kinds, and ratio of rates.
+MIN_DOCS, MIN_Z, MIN_LIFT = 25, 4.0, 3.0
+#: The bias is fixed: a sentence without telling words counts next to nothing, so that the
+#: noisy-or of a long clean text stays low.
+EPOCHS, RATE, L2, BIAS = 300, 0.5, 1e-4, -8.0
 
 #: What a sentence is: a run without sentence ends.
 SENTENCE = re.compile(rb"[^.!?\n]+")
@@ -76,8 +79,20 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             b.column(0), pa.array(bags, pa.list_(pa.list_(pa.int32())))], names=["label", "bags"])
 
 
+def telling(doc: np.ndarray, col: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which words occur in toxic and other documents at rates that differ beyond chance."""
+    pairs = np.unique(np.stack([doc, col]), axis=1)
+    inside = np.bincount(pairs[1], weights=y[pairs[0]], minlength=1 << BITS)
+    docs = np.bincount(pairs[1], minlength=1 << BITS)
+    n1, n0 = y.sum(), len(y) - y.sum()
+    rate = (docs + 1) / (len(y) + 2)
+    z = (inside / n1 - (docs - inside) / n0) / np.sqrt(rate * (1 - rate) * (1 / n1 + 1 / n0))
+    lift = np.log((inside + 0.5) / (n1 + 1)) - np.log((docs - inside + 0.5) / (n0 + 1))
+    return (docs >= MIN_DOCS) & (np.abs(z) >= MIN_Z) & (np.abs(lift) >= math.log(MIN_LIFT))
+
+
 def fit(labels: list[int], bags: list[list[list[int]]]) -> tuple[np.ndarray, float]:
-    """Weights and bias that maximise the noisy-or likelihood of the labels (Adagrad)."""
+    """Weights that maximise the noisy-or likelihood of the labels (Adagrad)."""
     weights = np.zeros(1 << BITS)
     keep = [i for i, b in enumerate(bags) if b]
     y = np.array([labels[i] for i in keep], float)
@@ -87,28 +102,22 @@ def fit(labels: list[int], bags: list[list[list[int]]]) -> tuple[np.ndarray, flo
     doc = np.array([d for d, _ in sentences])
     row = np.repeat(np.arange(len(sentences)), [len(s) for _, s in sentences])
     col = np.concatenate([np.array(s) for _, s in sentences])
-    # words of too few documents tell nothing
-    pairs = np.unique(np.stack([doc[row], col]), axis=1)
-    often = np.bincount(pairs[1], minlength=1 << BITS) >= MIN_DOCS
+    often = telling(doc[row], col, y)
     row, col = row[often[col]], col[often[col]]
-    balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-    bias, seen_w, seen_b = BIAS, np.full(1 << BITS, 1e-6), 1e-6
+    seen = np.full(1 << BITS, 1e-6)
     for _ in range(EPOCHS):
-        z = bias + np.bincount(row, weights[col], minlength=len(doc))
+        z = BIAS + np.bincount(row, weights[col], minlength=len(doc))
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
         log_none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y))
         any_p = np.clip(-np.expm1(log_none), 1e-9, 1)
         # d log-likelihood / d z of a sentence: p * (1 - P) / P if toxic, -p if not
-        slope = np.where(y == 1, (1 - any_p) / any_p, -1.0) * balance / len(y)
+        slope = np.where(y == 1, (1 - any_p) / any_p, -1.0) / len(y)
         g = p * slope[doc]
         gw = np.bincount(col, g[row], minlength=1 << BITS) - L2 * weights / len(y)
-        gb = g.sum()
-        seen_w += gw * gw
-        seen_b += gb * gb
-        weights += RATE * gw / np.sqrt(seen_w)
-        bias += RATE * gb / math.sqrt(seen_b)
+        seen += gw * gw
+        weights += RATE * gw / np.sqrt(seen)
     weights[~often] = 0.0
-    return weights, float(bias)
+    return weights, BIAS
 
 
 def train(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> tuple[np.ndarray, float]:
