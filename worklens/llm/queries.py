@@ -7,7 +7,7 @@ from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
 
-from worklens.llm import ann, packing, quality_rules, quoting, sharding, toxicity, viterbi
+from worklens.llm import ann, debruijn, packing, quality_rules, quoting, sharding, toxicity, viterbi
 from worklens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,35 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_streaming_viterbi")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viterbi.digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+#: A window is identified by its first word's position and its words joined by a space.
+OP5_SQL = r"""
+with w as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                             lambda x: x <> '') as words
+  from documents
+), d as (
+  select doc_id, words, row_number() over () as r from w
+), n as (
+  select r, doc_id, p, md5(array_to_string(words[p:p + 49], ' ')) as h
+  from (select r, doc_id, words, unnest(range(1, len(words) - 48)) as p from d
+        where len(words) >= 50)
+), f as (
+  select h, min(doc_id) as first from n group by h
+), gone as (
+  select distinct r, p + o as pos
+  from (select n.r, n.p from n join f using (h) where f.first < n.doc_id), range(0, 50) t(o)
+), kept as (
+  select d.r, d.doc_id, len(words)::bigint as n_words,
+         list_filter(words, lambda x, i: not list_contains(coalesce(g.pos, []), i)) as words,
+         len(coalesce(g.pos, []))::bigint as n_removed
+  from d left join (select r, list(pos) as pos from gone group by r) g using (r)
+)
+select doc_id, n_words, n_removed, sha256(array_to_string(words, ' ')) as kept_sha256 from kept
+"""
+
+
+@register("op5_de_bruijn_compaction", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.removed(table(spark, sf_dir, "documents"))
