@@ -7,7 +7,7 @@ from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
 
-from worklens.llm import ann, debruijn, packing, quality_rules, quoting, sharding, toxicity, viterbi
+from worklens.llm import ann, debruijn, kneser_ney, packing, quality_rules, quoting, sharding, toxicity, viterbi
 from worklens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,8 @@ select doc_id, n_words, n_removed, sha256(array_to_string(words, ' ')) as kept_s
 @register("op5_de_bruijn_compaction", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.removed(table(spark, sf_dir, "documents"))
+
+
+@register("op10_kneser_ney_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
