@@ -1,11 +1,89 @@
-"""A training-data pipeline over ``documents``."""
+"""A training-data pipeline over ``documents``.
+
+quality -> toxicity -> near duplicates -> repeated passages -> packing
+
+``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
+returns the rows that go on.  All but the last return the columns of
+``documents``.  ``run`` writes each stage's rows as Parquet in the shared
+scratch folder and reads them back as the next one's input, so a lost executor
+costs one stage at most.
+
+Labels (table ``labels``) train the quality and toxicity models; the models
+then judge every document a stage is given.  Rows with a null doc_id have no
+label and no copies: they are judged, kept by the duplicate stages, and packed.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from worklens.llm import debruijn, jaccard, kneser_ney, packing, toxicity
+from worklens.llm.common import materialize, table
+from worklens.llm.queries import tokenizer_file
+
+#: Near duplicates: words per shingle and least similarity in percent.
+SHINGLE_WORDS, SIMILARITY = 5, 80
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` but for the ids in ``rejected``, in the same columns and order."""
+    ids = rejected.select(F.col("doc_id").alias("__id")).where("__id is not null").distinct()
+    return docs.join(ids, F.col("doc_id") == F.col("__id"), "left_anti").select(*docs.columns)
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents whose perplexity is above their language's threshold."""
+    judged = materialize(kneser_ney.classify(docs, table(spark, sf_dir, "labels")), "stage-quality")
+    return _without(docs, judged.where("not kept"))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents whose noisy-or score reaches one half."""
+    judged = materialize(toxicity.classify(docs, table(spark, sf_dir, "labels"))
+                         .select("doc_id", "predicted"), "stage-toxicity")
+    return _without(docs, judged.where("predicted = 1"))
+
+
+def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the smallest id of each component of near duplicates, and one row of it."""
+    linked = materialize(jaccard.link_components(docs, SHINGLE_WORDS, SIMILARITY), "stage-near")
+    kept = _without(docs, linked.where("doc_id <> component_id"))
+    twice = linked.groupBy("doc_id").agg(F.count("*").alias("n")).where(
+        "n > 1 and doc_id is not null").select(F.col("doc_id").alias("__id"))
+    again = kept.join(twice, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(twice, F.col("doc_id") == F.col("__id"), "left_anti").unionByName(again)
+
+
+def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut every passage of 50 words or more that an earlier document holds too."""
+    cut = debruijn.cut_repeats(docs)
+    text = F.col("cut.kept_text")
+    new = {"text": text, "n_chars": F.coalesce(F.length(text), F.lit(0)).cast("long")}
+    return cut.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 4096 tokens."""
+    return packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", one_per_group),
+    ("substring dedup", cut_passages),
+    ("packing", pack),
+]
+
+#: The models are not expressible in SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    from worklens.llm.common import table
-    return table(spark, sf_dir, "documents")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = materialize(docs, f"pipeline-{i}")
+    return docs

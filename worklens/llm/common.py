@@ -105,3 +105,41 @@ def signed(x: np.ndarray) -> np.ndarray:
 def record_batches(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+#: Ids (8 bytes each) up to which a semi-join broadcasts them instead of moving the texts.
+BROADCAST_IDS = 2_000_000
+
+
+def restrict(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` whose key is among ``ids``; the ids are counted before a broadcast."""
+    small = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if small else ids, key, "left_semi")
+
+
+def components(edges: DataFrame, name: str) -> DataFrame:
+    """(node, component): the smallest node reachable, for edges (a, b) between different nodes.
+
+    Alternates two star contractions until the edges stop changing; each is a
+    map-side minimum per node and an equi-join, so a node with very many edges
+    is one row per task before the shuffle.
+    """
+    def contract(e: DataFrame, larger: bool) -> DataFrame:
+        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        side = both if larger else both.where("b < a")
+        least = side.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+        if larger:
+            moved = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), "m")
+        else:
+            moved = side.join(least, "a").select(F.col("b").alias("a"), "m").unionByName(
+                least.select("a", "m"))
+        return moved.where("a <> m").select("a", F.col("m").alias("b")).distinct()
+
+    mark = None
+    while True:
+        edges = materialize(contract(contract(edges, True), False), name)
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if tuple(now) == mark:
+            return edges.groupBy("a").agg(F.min("b").alias("component")).select(
+                F.col("a").alias("node"), "component")
+        mark = tuple(now)

@@ -7,7 +7,7 @@ from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
 
-from worklens.llm import ann, debruijn, kneser_ney, packing, quality_rules, quoting, sharding, toxicity, viterbi
+from worklens.llm import ann, debruijn, jaccard, kneser_ney, packing, quality_rules, quoting, sharding, toxicity, viterbi
 from worklens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +179,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_kneser_ney_quality")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op9_jaccard_metric_join")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(table(spark, sf_dir, "documents"), k=3, percent=90)
