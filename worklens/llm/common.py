@@ -11,11 +11,9 @@ import os
 import shutil
 import tempfile
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,14 +78,72 @@ class Memo(dict):
         return value
 
 
-@lru_cache(maxsize=1)
-def _word_hashes() -> Memo:
-    return Memo(lambda w: xxhash.xxh3_64_intdigest(w, 7))
+_BASE = 0x9E3779B97F4A7C15
+_UNBASE = pow(_BASE, -1, 2**64)
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def hash_words(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of the words."""
-    return np.fromiter(map(_word_hashes().__getitem__, words), np.uint64, len(words))
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse, modulo 2**64."""
+    if len(_powers[0]) < n:
+        for i, b in enumerate((_BASE, _UNBASE)):
+            steps = np.full(n + n // 4, b, np.uint64)
+            steps[0] = 1
+            _powers[i] = np.cumprod(steps)
+    return _powers[0][:n], _powers[1][:n]
+
+
+class RangeHash:
+    """Polynomial hashes of any range of a sequence of 64-bit values."""
+
+    def __init__(self, values: np.ndarray):
+        self.up, down = powers(len(values) + 1)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * down[:-1])])
+
+    def __call__(self, start: np.ndarray, length) -> np.ndarray:
+        return (self.sums[start + length] - self.sums[start]) * self.up[start]
+
+
+def hash_words(data: np.ndarray, at: np.ndarray, lower: bool = False):
+    """64-bit hashes of the words of several texts, and where each text's words begin.
+
+    ``data`` holds the texts' bytes one after the other, ``at`` where each
+    begins and the end; no word reaches from one text into the next.
+    """
+    at = at - at[0]
+    if lower:
+        data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+    word = (data != 32) & ((data < 9) | (data > 13))
+    before, after = np.roll(word, 1), np.roll(word, -1)
+    inner = at[at < len(data)]
+    before[inner] = False
+    after[inner - 1] = False  # at 0 this is the last byte, after which nothing follows
+    start, end = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
+    size = (end - start).astype(np.uint64)
+    h = RangeHash(data.astype(np.uint64) + np.uint64(1))(start, end - start) if len(start) else \
+        np.zeros(0, np.uint64)
+    return mix(h + size * np.uint64(0xD6E8FEB86659FD93), 7), np.searchsorted(start, at)
+
+
+def hash_text(text: bytes, lower: bool = False) -> np.ndarray:
+    """The hashes of the words of one text."""
+    return hash_words(np.frombuffer(text, np.uint8), np.array([0, len(text)]), lower)[0]
+
+
+def hashed_texts(batch: pa.RecordBatch, name: str, lower: bool = False,
+                 chunk: int = 1 << 20) -> Iterator[np.ndarray]:
+    """The word hashes of each text of a column (null: none), about ``chunk`` bytes at a time."""
+    col = batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary()).fill_null(b"")
+    at = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
+    data = np.frombuffer(col.buffers()[2] or b"", np.uint8)
+    i = 0
+    while i < len(col):
+        j = max(i + 1, int(np.searchsorted(at, at[i] + chunk)))
+        j = min(j, len(col))
+        h, begin = hash_words(data[at[i]:at[j]], at[i:j + 1], lower)
+        for x, y in zip(begin[:-1], begin[1:]):
+            yield h[x:y]
+        i = j
 
 
 def mix(x: np.ndarray, seed: int) -> np.ndarray:

@@ -39,43 +39,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from worklens.llm.common import hash_words, materialize, mix, signed, utf8_column, words_of
+from worklens.llm.common import (BROADCAST_IDS, RangeHash, hash_text, hashed_texts, materialize,
+                                 mix, restrict, signed, utf8_column)
 
 SPAN, K = 50, 12
-_BASE = 0x9E3779B97F4A7C15
-_UNBASE = pow(_BASE, -1, 2**64)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse, modulo 2**64."""
-    if len(_powers[0]) < n:
-        for i, b in enumerate((_BASE, _UNBASE)):
-            steps = np.full(2 * n, b, np.uint64)
-            steps[0] = 1
-            _powers[i] = np.cumprod(steps)
-    return _powers[0][:n], _powers[1][:n]
-
-
-class RangeHash:
-    """Polynomial hashes of any range of a sequence of 64-bit values."""
-
-    def __init__(self, values: np.ndarray):
-        self.up, down = powers(len(values) + 1)
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * down[:-1])])
-
-    def __call__(self, start: np.ndarray, length) -> np.ndarray:
-        return (self.sums[start + length] - self.sums[start]) * self.up[start]
-
-
-def paths(words: list[bytes], span: int, k: int):
-    """Arrays (edge, hash 1, hash 2, first window, windows) of the compacted paths of a text."""
-    n = len(words) - span + 1
+def paths(h: np.ndarray, span: int, k: int):
+    """Arrays (edge, hash 1, hash 2, first window, windows) of a text's compacted paths."""
+    n = len(h) - span + 1
     if n < 1:
         return None
-    h = hash_words(words)
     first, second = RangeHash(h), RangeHash(mix(h, 11))
-    edges = mix(first(np.arange(len(words) - k + 1), k), 13)
+    edges = mix(first(np.arange(len(h) - k + 1), k), 13)
     view = np.lib.stride_tricks.sliding_window_view(edges, span - k + 1)
     at = np.arange(n) + view.argmin(axis=1)
     start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
@@ -90,8 +66,8 @@ def path_rows(docs: DataFrame, span: int, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols = [[] for _ in range(6)]
-            for doc_id, text in zip(b.column(0).to_pylist(), utf8_column(b, "text"), strict=True):
-                got = paths(words_of(text), span, k)
+            for doc_id, h in zip(b.column(0).to_pylist(), hashed_texts(b, "text"), strict=True):
+                got = paths(h, span, k)
                 if got is None:
                     continue
                 e, p1, p2, start, count = got
@@ -126,7 +102,8 @@ def spell_windows(docs: DataFrame, distinct: DataFrame, span: int) -> DataFrame:
     wanted = distinct.groupBy("first").agg(
         F.collect_list(F.struct("p1", "p2", "start", "windows")).alias("wanted"))
     # one text per source document, as rows may be repeated
-    source = docs.join(wanted, docs["doc_id"] == wanted["first"]).select(
+    source = restrict(docs, distinct.select(F.col("first").alias("doc_id")).distinct()).join(
+        wanted, F.col("doc_id") == F.col("first")).select(
         "first", "text", "wanted").dropDuplicates(["first"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +113,7 @@ def spell_windows(docs: DataFrame, distinct: DataFrame, span: int) -> DataFrame:
             wanted_rows = b.column(2)
             for i, (first, text) in enumerate(zip(
                     b.column(0).to_pylist(), utf8_column(b, "text"), strict=True)):
-                h = hash_words(words_of(text))
+                h = hash_text(text)
                 one, two = RangeHash(h), RangeHash(mix(h, 11))
                 part = wanted_rows.slice(i, 1).flatten()
                 p1, p2, start, n = (part.field(j).to_numpy(zero_copy_only=False)
@@ -218,9 +195,20 @@ def cut_repeats(docs: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
         return pd.DataFrame([cut_text(*x) for x in zip(text, starts, sizes, strict=True)],
                             columns=[c.split()[0] for c in CUT.split(", ")])
 
-    joined = docs.join(spans, F.col("doc_id").cast("long") == F.col("__id"), "left")
-    return joined.select(*[docs[c] for c in docs.columns],
-                         cut(F.col("text").cast("string"), "__starts", "__sizes").alias("cut"))
+    def result(rows: DataFrame) -> DataFrame:
+        return rows.select(*docs.columns, cut(
+            F.col("text").cast("string"), "__starts", "__sizes").alias("cut"))
+
+    # only the texts that lose words meet their ranges in a shuffle; the others stay in place
+    spans = materialize(spans, "repeat-spans")
+    ids = spans.select(F.col("__id").alias("__hit"))
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    same = F.col("doc_id").cast("long") == F.col("__hit")
+    whole = docs.join(ids, same, "left_anti").withColumns(
+        {c: F.lit(None).cast("array<int>") for c in ("__starts", "__sizes")})
+    touched = docs.join(ids, same, "left_semi").join(
+        spans, F.col("doc_id").cast("long") == F.col("__id"))
+    return result(whole).unionByName(result(touched))
 
 
 def removed(docs: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:

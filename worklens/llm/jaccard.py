@@ -11,11 +11,11 @@ the README).  The first level therefore splits the shingle space instead: by a
 hash into more cells than the largest difference T of linked sets in a size
 band, so that linked sets agree in whole cells.  A region is all documents of
 a band with equal content of one cell; a document whose size reaches into the
-next band is replicated there.  Cells without a rare shingle are weak: a band
-has enough spare cells that linked sets also agree in a strong one, and a
-document with too many weak cells emits those as well.  Which shingles are not
-rare is read off a bounded sample of distinct sets (``SAMPLE`` documents, the
-``COMMON`` most frequent shingles); the choice moves work, never a result.
+next band is replicated there.  Linked sets agree in all but T of a band's
+cells, so it is enough to emit the first T + 1 cells in an order that depends
+on a cell's content alone: those with a rare shingle first, empty ones last.
+Frequencies are read off a bounded sample of distinct sets (``SAMPLE``
+documents, the ``COMMON`` most frequent shingles); they move work, not results.
 
 Inside the regions:
 
@@ -43,30 +43,26 @@ other columns are not read.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from worklens.llm.common import (components, hash_words, materialize, mix, restrict, signed,
-                                 utf8_column, words_of)
-from worklens.llm.debruijn import powers
+from worklens.llm.common import (components, hashed_texts, materialize, mix, powers, restrict,
+                                 signed)
 
 BAND_RATIO, COUNTS, BLOCK, LEAF = 1.25, 64, 2000, 256
-SAMPLE, COMMON, RARE_SHARE = 20_000, 1 << 20, 0.6
+#: SPARE: cells beyond T + 1, as a part of T, among which the order chooses.
+SAMPLE, COMMON, SPARE = 20_000, 1 << 20, 0.3
 
 
-def shingles(text: bytes, k: int) -> np.ndarray:
-    """Sorted distinct hashes of the k-word shingles (A-Z lower-cased)."""
-    words = words_of(text, lower=True)
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = hash_words(words)
+def shingles(h: np.ndarray, k: int) -> np.ndarray:
+    """Sorted distinct hashes of the k-word shingles of a text, given its words' hashes."""
+    if not len(h):
+        return h
     n = max(1, len(h) - k + 1)
     k = min(k, len(h))
     up = powers(k + 1)[0]
@@ -88,14 +84,7 @@ class Bands:
             low = self.low[-1]
             high = max(low, int(low * BAND_RATIO))
             reach = 2 * high * (100 - self.percent) // (100 + self.percent)
-            cells = reach + 1
-            smallest = max(1, low * self.percent // 100)  # replicated from the band below
-            for _ in range(60):  # spare cells for those without a rare shingle
-                weak = cells * math.exp(-RARE_SHARE * smallest / cells)
-                need = reach + 1 + math.ceil(weak + 2 * math.sqrt(weak))
-                if need <= cells or need > 2 * reach + 2:
-                    break
-                cells = need
+            cells = reach + 1 + int(SPARE * reach)
             self.cells.append(cells)
             self.reach.append(reach)
             self.low.append(high + 1)
@@ -116,22 +105,24 @@ def bands(percent: int) -> Bands:
     return Bands(percent)
 
 
-def cell_keys(s: np.ndarray, percent: int, common: np.ndarray) -> np.ndarray:
-    """Keys of the regions of a set: its strong cells, and the weak ones if they are too many."""
-    keys, scrambled = [], mix(s, 41)
-    rare = np.ones(len(s), bool)
-    if len(common):
-        rare = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] != s
+def cell_keys(s: np.ndarray, percent: int, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Keys of the regions of a set; ``common``: sorted frequent shingles, their frequencies."""
+    keys, scrambled, parts = [], mix(s, 41), mix(s, 43)
+    often = np.zeros(len(s), np.int64)
+    if len(common[0]):
+        i = np.minimum(np.searchsorted(common[0], s), len(common[0]) - 1)
+        often = np.where(common[0][i] == s, common[1][i], 0)
     for band, cells, reach in bands(percent).of(len(s)):
-        part = (mix(s, 43) % np.uint64(cells)).astype(np.int64)
+        part = (parts % np.uint64(cells)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         size = np.bincount(part, minlength=cells)
-        content = np.zeros(cells, np.uint64)
         full = np.flatnonzero(size)
-        content[full] = np.add.reduceat(scrambled[order], (np.cumsum(size) - size)[full])
-        weak = np.bincount(part[rare], minlength=cells) == 0
-        use = np.arange(cells) if weak.sum() > cells - reach - 1 else np.flatnonzero(~weak)
-        keys.append(mix(content[use] + mix(use.astype(np.uint64), 47 + band), 53))
+        begin = (np.cumsum(size) - size)[full]
+        content, rarest = np.zeros(cells, np.uint64), np.full(cells, 2**62)
+        content[full] = np.add.reduceat(scrambled[order], begin)
+        rarest[full] = np.minimum.reduceat(often[order], begin)
+        key = mix(content + mix(np.arange(cells).astype(np.uint64), 47 + band), 53)
+        keys.append(key[np.lexsort((key, rarest))[:reach + 1]])
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
@@ -143,7 +134,7 @@ def _scan(docs: DataFrame, schema: str, make) -> DataFrame:
         for b in batches:
             for i in range(0, b.num_rows, 2000):  # bounds the sets held at once
                 part = b.slice(i, 2000)
-                cols = make(part.column(0).to_pylist(), utf8_column(part, "text"))
+                cols = make(part.column(0).to_pylist(), hashed_texts(part, "text", lower=True))
                 if len(cols[0]):
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
     return docs.mapInArrow(run, schema)
@@ -165,18 +156,21 @@ def describe(docs: DataFrame, k: int) -> DataFrame:
     return _scan(docs, "doc_id long, n long, f1 long, f2 long, counts binary", make)
 
 
-def common_shingles(docs: DataFrame, k: int) -> np.ndarray:
-    """The most frequent shingles that two or more of the documents share; at most COMMON."""
+def common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles that two or more documents share, at most COMMON; how often."""
     def make(ids, texts):
         sets = [shingles(t, k) for t in texts]
         keys, n = np.unique(np.concatenate(sets), return_counts=True)
         return signed(keys), n.astype(np.int64)
     often = _scan(docs, "s long, n long", make).groupBy("s").agg(F.sum("n").alias("n")).where(
         "n > 1").orderBy(F.desc("n"), "s").limit(COMMON)
-    return np.sort(np.array(often.select("s").toArrow()["s"].to_numpy()).view(np.uint64))
+    got = often.toArrow()
+    keys, n = (np.array(got[c].to_numpy()) for c in ("s", "n"))
+    order = np.argsort(keys.view(np.uint64))
+    return keys.view(np.uint64)[order], n[order]
 
 
-def regions(docs: DataFrame, k: int, percent: int, common: np.ndarray) -> DataFrame:
+def regions(docs: DataFrame, k: int, percent: int, common) -> DataFrame:
     """(key, doc_id): the regions of each document; equal sets of a batch give one row each."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
@@ -264,20 +258,28 @@ def region_pairs(members: DataFrame, percent: int) -> DataFrame:
     rows = rows.withColumn("lo", F.least("block", "other")).withColumn(
         "hi", F.greatest("block", "other"))
 
-    def join(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("doc_id", ignore_index=True)
-        c = np.stack([np.frombuffer(x, "<u2" if len(x) == 2 * COUNTS else "<u4")
-                      for x in rows["counts"]]).astype(np.int64)
-        ids = rows["doc_id"].to_numpy()
-        found = [(ids[i], ids[j]) for i, j in _near(
-            c, rows["n"].to_numpy(), rows["component"].to_numpy(), rows["block"].to_numpy(),
-            int(rows["lo"][0]), int(rows["hi"][0]), percent)]
-        a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
-        b = np.concatenate([y for _, y in found]) if found else np.zeros(0, np.int64)
-        return pd.DataFrame({"a": a, "b": b})
-
-    return rows.select("key", "lo", "hi", "doc_id", "n", "counts", "component", "block").groupBy(
-        "key", "lo", "hi").applyInPandas(join, "a long, b long").distinct()
+    # at most two blocks of BLOCK documents (about, by hash) meet in a row
+    groups = rows.groupBy("key", "lo", "hi").agg(F.collect_list(F.struct(
+        "doc_id", "n", "component", "block", "counts")).alias("m")).select("lo", "hi", "m")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for r, (lo, hi) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(),
+                                             strict=True)):
+                m = b.column(2).slice(r, 1).flatten()
+                ids, n, comp, block = (m.field(i).to_numpy(zero_copy_only=False)
+                                       for i in range(4))
+                c = np.stack([np.frombuffer(x, "<u2" if len(x) == 2 * COUNTS else "<u4")
+                              for x in m.field(4).to_pylist()]).astype(np.int64)
+                found += [(np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]))
+                          for i, j in _near(c, n, comp, block, lo, hi, percent)]
+            if found:
+                pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*found)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])],
+                                                 names=["a", "b"])
+
+    return groups.mapInArrow(run, "a long, b long").distinct()
 
 
 def link_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
