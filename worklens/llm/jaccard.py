@@ -177,7 +177,7 @@ def regions(docs: DataFrame, k: int, percent: int, common) -> DataFrame:
     def make(ids, texts):
         common = shared.value
         seen, keys, owner = set(), [], []
-        for doc_id, t in sorted(zip(ids, texts, strict=True)):
+        for doc_id, t in sorted(zip(ids, texts, strict=True), key=lambda x: x[0]):
             s = shingles(t, k)
             if (print_ := s.tobytes()) in seen:
                 continue
