@@ -20,6 +20,7 @@ sorts first; other columns are not read.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,38 +31,42 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from worklens.llm.common import Memo, record_batches, utf8_column
+from worklens.llm.common import record_batches, utf8_column
 
 SEQUENCE = 4096
 GROUP_TOKENS = 1 << 22
+#: Parts remembered per Python worker before its memo starts anew.
+MEMO_PARTS = 1_000_000
 
 SCHEMA = pa.schema([(c, pa.int64()) for c in (
     "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
 
 class WordTokenizer:
-    """Ids of a text by a ``tokenizers`` file whose pre-tokenizer drops white space.
+    """Ids of texts by a ``tokenizers`` file whose pre-tokenizer drops white space.
 
     No pre-token spans a space or line feed, so the ids of a text are those of
-    its parts between them, and parts are remembered.  ``encode`` meets each
-    remembered part once.
+    its parts between them.  Parts are remembered, up to ``MEMO_PARTS``; those
+    not met before are encoded a batch at a time.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is all it has
         from tokenizers import Tokenizer
-        tok = Tokenizer.from_file(path)
-
-        def encode(part: bytes) -> bytes:
-            if not part:
-                return b""
-            ids = tok.encode(part.decode("utf-8", "replace"), add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes()
-
-        self.memo = Memo(encode)
-
-    def ids(self, text: bytes) -> np.ndarray:
-        parts = text.replace(b"\n", b" ").split(b" ")
-        return np.frombuffer(b"".join(map(self.memo.__getitem__, parts)), "<u4")
+        self.tok = Tokenizer.from_file(path)
+        self.memo: dict[bytes, bytes] = {b"": b""}
+
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        split = [t.replace(b"\n", b" ").split(b" ") for t in texts]
+        memo, parts = self.memo, set().union(*split)
+        new = list(parts - memo.keys())
+        if len(memo) + len(new) > MEMO_PARTS:
+            memo.clear()
+            new = list(parts)
+        got = self.tok.encode_batch_fast([p.decode("utf-8", "replace") for p in new],
+                                         add_special_tokens=False)
+        memo.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, got, strict=True))
+        return [np.frombuffer(b"".join(map(memo.__getitem__, s)), "<u4") for s in split]
 
 
 @lru_cache(maxsize=2)
@@ -130,15 +135,16 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, sequence: int =
         nxt = TaskContext.get().partitionId() << 32  # sequence ids of this task
         group, size = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), utf8_column(batch, "text"),
-                                    strict=True):
-                ids = np.concatenate([tok.ids(text), end])
-                group.append((doc_id, ids))
-                size += len(ids)
-                if size >= group_tokens:
-                    out, nxt = pack_group(group, nxt, sequence, linear, quadratic)
-                    yield out
-                    group, size = [], 0
+            for i in range(0, batch.num_rows, 256):  # bounds the parts held at once
+                part = batch.slice(i, 256)
+                texts = tok.ids(list(utf8_column(part, "text")))
+                for doc_id, ids in zip(part.column(0).to_pylist(), texts, strict=True):
+                    group.append((doc_id, np.concatenate([ids, end])))
+                    size += len(ids) + 1
+                    if size >= group_tokens:
+                        out, nxt = pack_group(group, nxt, sequence, linear, quadratic)
+                        yield out
+                        group, size = [], 0
         if group:
             yield pack_group(group, nxt, sequence, linear, quadratic)[0]
 
