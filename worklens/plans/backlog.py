@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from worklens.context import (
-    BACKLOG_AGE_EDGES, BACKLOG_AMOUNT_EDGES, BACKLOG_LEVELS, DEFAULT, HOLD_NO, HOLD_YES,
+    BACKLOG_AGE_EDGES, BACKLOG_AMOUNT_EDGES, BACKLOG_LEVELS, BROADCAST_MAX_ROWS, HOLD_NO, HOLD_YES,
     OTB_NOT_REQUESTED, OTB_REQUESTED, RunContext,
 )
 from worklens.functions.columns import (
@@ -48,6 +48,16 @@ def status_of(hold: Column, out_to_bid: Column) -> Column:
              .when((hold == HOLD_NO) & (out_to_bid == OTB_NOT_REQUESTED), F.lit(PLAIN)))
 
 
+def in_window(approved: F.Column, ctx: RunContext) -> F.Column:
+    """F-02: approval date inside the run's window; an end that is not given is open."""
+    inside = approved.isNotNull()
+    if ctx.date_from is not None:
+        inside = inside & (approved >= F.lit(ctx.date_from))
+    if ctx.date_to is not None:
+        inside = inside & (approved <= F.lit(ctx.date_to))
+    return inside
+
+
 def clean_backlog(backlog: DataFrame, buyers: DataFrame, ctx: RunContext) -> DataFrame:
     """C-01: backlog rows of known buyers inside the approval window, with age and category.
 
@@ -62,7 +72,7 @@ def clean_backlog(backlog: DataFrame, buyers: DataFrame, ctx: RunContext) -> Dat
         "buyer", ctx.broadcast_max_rows)
     return (backlog
             .join(dim, "buyer", "inner")
-            .where(F.col("date_of_approval").between(F.lit(ctx.date_from), F.lit(ctx.date_to)))
+            .where(in_window(F.col("date_of_approval"), ctx))
             .withColumn("age", age_days("date_of_approval", ctx.as_of))
             .withColumn("category", category_in("category_dim", BACKLOG_LEVELS)))
 
@@ -157,7 +167,7 @@ def status_counts(rows: DataFrame, group_cols: list[str]) -> DataFrame:
 
 
 def status_chart(split: DataFrame, buyers: DataFrame,
-                 max_rows: int = DEFAULT.broadcast_max_rows) -> DataFrame:
+                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """C-06: (buyer, category, type, count) for the stacked bar chart.
 
     Counts are zero-filled among buyers with work, then every dimension buyer
@@ -176,7 +186,7 @@ def status_chart(split: DataFrame, buyers: DataFrame,
 
 
 def hidden_buyers(table: DataFrame, buyers: DataFrame,
-                  max_rows: int = DEFAULT.broadcast_max_rows) -> DataFrame:
+                  max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """C-07: dimension buyers with no row in the age table (J-05 anti join)."""
     active = bounded_by_dimension(table.select("buyer"), buyers, "buyer", max_rows)
     return (buyers.join(active, "buyer", "left_anti")

@@ -73,7 +73,7 @@ def run_backlog_report(spark: SparkSession, backlog_raw: DataFrame, approver_raw
 def run_throughput_report(po: DataFrame, buyers: DataFrame, ctx: RunContext,
                           out_dir: str) -> dict[str, str]:
     """Publish the throughput report (C-18 .. C-20), long and wide forms."""
-    weeks = throughput.report_weeks(po, ctx)
+    weeks = ctx.report_weeks
     counts = throughput.po_throughput(po, buyers, ctx)
     lines = throughput.line_throughput(po, buyers, ctx)
     return publish_datasets({

@@ -58,26 +58,6 @@ def line_throughput(po: DataFrame, buyers: DataFrame, ctx: RunContext) -> DataFr
     return _display(weekly(po, buyers, ctx), "line_cnt")
 
 
-MAX_WEEK_COLUMNS = 10_000
-
-
-def report_weeks(po: DataFrame, ctx: RunContext) -> list[dt.date]:
-    """The week columns of the wide report: every week with a kept PO, any buyer.
-
-    The list is bounded by the calendar span of the kept POs (52 weeks a
-    year), not by their number: the span is checked first (one row), then the
-    distinct weeks are fetched.
-    """
-    weeks = (read_po_frame(po, ctx, ["po_date"])
-             .select(week_start_sunday("po_date").alias("w")))
-    lo, hi = weeks.agg(F.min("w"), F.max("w")).first()
-    if lo is None:
-        return []
-    if (hi - lo).days // 7 + 1 > MAX_WEEK_COLUMNS:
-        raise ValueError(f"more than {MAX_WEEK_COLUMNS} week columns; use the long form")
-    return sorted(r.w for r in weeks.distinct().collect())
-
-
 def week_column(w: dt.date) -> str:
     return f"w_{w:%Y_%m_%d}"
 
@@ -86,7 +66,8 @@ def wide(long: DataFrame, measure: str, weeks: Sequence[dt.date]) -> DataFrame:
     """R-01 + D-15: one column per week (``w_yyyy_MM_dd``), missing weeks as 0.
 
     Columns are keyed by the full week date, not the ``MM/dd`` label, so weeks
-    of different years never merge (Q10).
+    of different years never merge (Q10).  The weeks are the run's fixed range:
+    a week without POs is a column of zeros, POs outside it are in the long form only.
     """
     names = {str(w): week_column(w) for w in weeks}
     p = (long.groupBy("category", "category_rank", "buyer", "buyer_full")
@@ -97,12 +78,12 @@ def wide(long: DataFrame, measure: str, weeks: Sequence[dt.date]) -> DataFrame:
 
 def po_throughput_wide(po: DataFrame, buyers: DataFrame, ctx: RunContext) -> DataFrame:
     """C-18 wide: the PO count table as displayed, one column per week."""
-    return wide(po_throughput(po, buyers, ctx), "po_cnt", report_weeks(po, ctx))
+    return wide(po_throughput(po, buyers, ctx), "po_cnt", ctx.report_weeks)
 
 
 def line_throughput_wide(po: DataFrame, buyers: DataFrame, ctx: RunContext) -> DataFrame:
     """C-19 wide: the PO line count table as displayed, one column per week."""
-    return wide(line_throughput(po, buyers, ctx), "line_cnt", report_weeks(po, ctx))
+    return wide(line_throughput(po, buyers, ctx), "line_cnt", ctx.report_weeks)
 
 
 def throughput_groups(po: DataFrame, buyers: DataFrame, ctx: RunContext) -> DataFrame:

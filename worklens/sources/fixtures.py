@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from worklens.context import DEFAULT
+from worklens.context import BROADCAST_MAX_ROWS
 from worklens.operators.core import checked_dimension
 from worklens.schemas import MONEY
 from worklens.session import plan_memo
@@ -64,7 +64,7 @@ def _orders_with_buyer(spark: SparkSession, sf_dir: str,
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (o.join(c, o.o_custkey == c.c_custkey)
-             .join(checked_dimension(n, "n_nationkey", DEFAULT.broadcast_max_rows),
+             .join(checked_dimension(n, "n_nationkey", BROADCAST_MAX_ROWS),
                    F.col("c_nationkey") == F.col("n_nationkey"))
              .withColumn("buyer_login", buyer_name(F.col("n_nationkey"), F.col("n_name"))))
 
@@ -145,15 +145,16 @@ def po_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def req_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-06 view: requisition documents.
 
-    A requisition is on file for every order except low-priority ones (those
-    POs exercise the lookup's default row).  ``lines`` is missing when the
-    order has no document text.
+    Those of low-priority orders are filed under another id, so their POs
+    exercise the lookup's default row.  ``lines`` is missing when the order has
+    no document text.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    o = _orders_with_buyer(spark, sf_dir).where(F.col("o_orderpriority") != "5-LOW")
+    o = _orders_with_buyer(spark, sf_dir)
+    letter = F.when(F.col("o_orderpriority") == "5-LOW", "L").otherwise("R")
     j = o.join(docs, o.o_orderkey == docs.doc_id, "left")
     return j.select(
-        F.concat(F.lit("R"), F.col("o_orderkey").cast("string")).alias("req_id"),
+        F.concat(letter, F.col("o_orderkey").cast("string")).alias("req_id"),
         F.concat(F.to_date("o_orderdate").cast("string"), F.lit("T00:00:00Z")).alias("approved_on"),
         F.col("buyer_login").alias("buyer"),
         F.when(F.col("text").isNotNull(),

@@ -50,8 +50,10 @@ def po_predicate(ctx: RunContext) -> F.Column:
     """F-10: strict lower bound on the PO date and the kept statuses."""
     # date -> timestamp_ntz is midnight with no zone involved (a Python datetime
     # literal would be read in the session zone).
-    lower = F.lit(ctx.po_date_after).cast("timestamp_ntz")
-    return (F.col("po_date") > lower) & F.col("status").isin(*ctx.po_statuses)
+    kept = F.col("status").isin(*ctx.po_statuses)
+    if ctx.po_date_after is None:
+        return F.col("po_date").isNotNull() & kept
+    return (F.col("po_date") > F.lit(ctx.po_date_after).cast("timestamp_ntz")) & kept
 
 
 def read_po(spark: SparkSession, path: str, ctx: RunContext,

@@ -5,8 +5,8 @@ incremental are offered as streams over a file source:
 
 * T-01  new backlog extracts -> archive partitions (``foreachBatch``, idempotent
         per micro-batch, so a replayed batch after a failure rewrites only itself);
-* T-02  PO count per buyer and Sunday week with an event-time watermark;
-* T-03  (po_no, line) de-duplication of repeated worklist extracts, by arrival time.
+* T-02  PO count per buyer and Sunday week, additive per micro-batch;
+* T-03  (po_no, line) de-duplication of repeated worklist extracts.
 
 Each function starts the query with ``trigger(availableNow=True)``, waits for
 it, and returns a batch DataFrame over what the sink wrote.  Checkpoints and
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from worklens import schemas
 from worklens.context import IGNORE_CATEGORY, RunContext
-from worklens.functions.columns import wall_clock_as_utc
+from worklens.functions.columns import week_start_sunday
 from worklens.operators.core import checked_dimension
 from worklens.plans import archive, backlog
 from worklens.session import scratch_path
@@ -82,32 +82,35 @@ def incremental_archive(spark: SparkSession, backlog_stream: DataFrame,
 
 
 def weekly_po_stream(spark: SparkSession, po_stream: DataFrame, buyers: DataFrame,
-                     ctx: RunContext, delay: str = "36 hours",
-                     root: str | None = None) -> DataFrame:
-    """T-02: POs per buyer and Sunday-aligned week, emitted when the week closes.
+                     ctx: RunContext, root: str | None = None) -> DataFrame:
+    """T-02: POs per category, buyer and Sunday-aligned week, in whatever order POs arrive.
 
-    ``window(ts, '7 days', '7 days', '3 days')``: epoch day 0 is a Thursday, so a
-    3-day offset starts every window on a Sunday.  Append mode emits a week once
-    the watermark (max event time - ``delay``) passes its end.
+    Counts add up, so each micro-batch is counted on its own and written to its
+    ``batch_id`` partition with dynamic overwrite: a replayed batch replaces
+    exactly its own counts.  The result sums the batches; there is no watermark
+    and no state, and no PO is late.
     """
     root = root or scratch_path(spark, "t02")
     out, ckpt = f"{root}/weekly", f"{root}/_checkpoint"
     dim = checked_dimension(buyers, "buyer", ctx.broadcast_max_rows)
-    events = (po_stream.where(po_predicate(ctx))
-                       .join(dim, "buyer", "inner")
+    schema = T.StructType([dim.schema["category"], dim.schema["buyer"],
+                           T.StructField("week_start", T.DateType()),
+                           T.StructField("po_cnt", T.LongType()),
+                           T.StructField("batch_id", T.LongType())])
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        counts = (batch.where(po_predicate(ctx)).join(dim, "buyer", "inner")
                        .where(F.col("category") != IGNORE_CATEGORY)
-                       .withColumn("po_ts", wall_clock_as_utc("po_date"))
-                       .withWatermark("po_ts", delay))
-    counts = (events.groupBy(F.window("po_ts", "7 days", "7 days", "3 days").alias("w"),
-                             "category", "buyer")
-                    .agg(F.count(F.lit(1)).alias("po_cnt")))
-    # Epoch seconds -> epoch day: zone-free, unlike to_date on a timestamp.
-    week_start = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / 86400)
-                                       .cast("int"))
-    flat = counts.select("category", "buyer", week_start.alias("week_start"), "po_cnt")
-    _run(flat.writeStream.outputMode("append").format("parquet")
-             .option("path", out).option("checkpointLocation", ckpt))
-    return spark.read.schema(flat.schema).parquet(out)
+                       .groupBy("category", "buyer",
+                                week_start_sunday("po_date").alias("week_start"))
+                       .agg(F.count(F.lit(1)).alias("po_cnt"))
+                       .withColumn("batch_id", F.lit(batch_id).cast("long")))
+        (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("batch_id").parquet(out))
+
+    _run(po_stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt))
+    return (spark.read.schema(schema).parquet(out).groupBy("category", "buyer", "week_start")
+                 .agg(F.sum("po_cnt").alias("po_cnt")))
 
 
 def with_ingest_time(file_stream_df: DataFrame, name: str = "ingest_ts") -> DataFrame:
@@ -116,23 +119,24 @@ def with_ingest_time(file_stream_df: DataFrame, name: str = "ingest_ts") -> Data
 
 
 def dedupe_stream(spark: SparkSession, worklist_stream: DataFrame,
-                  event_time: str = "ingest_ts", delay: str = "2 days",
+                  event_time: str | None = None, delay: str = "60 days",
                   root: str | None = None) -> DataFrame:
-    """T-03: one row per (po_no, line) across repeated extracts.
-
-    The event time is when an extract arrived, not the worklist entry date: a
-    later extract legitimately re-lists old entries, which an entry-date
-    watermark would treat as late and drop.  ``dropDuplicatesWithinWatermark``
-    keeps a key's state until the watermark passes its first arrival plus
-    ``delay``, so state holds about ``delay`` worth of keys however long the
-    stream runs.  Which repeat survives is not defined, so only the keys are
-    returned.
+    """T-03: one row per (po_no, line) across repeated extracts, however long a line is listed.
+
+    The state holds every key seen; ``session.cluster_settings`` keeps it in
+    RocksDB.  Where lines are known to leave the worklist, ``event_time`` (the
+    arrival of an extract, see ``with_ingest_time``) bounds it: a key listed for
+    longer than ``delay`` is then emitted again.  Which repeat survives is not
+    defined, so only the keys are returned.
     """
     root = root or scratch_path(spark, "t03")
     out, ckpt = f"{root}/lines", f"{root}/_checkpoint"
-    keyed = (worklist_stream.withWatermark(event_time, delay)
-                            .dropDuplicatesWithinWatermark(["po_no", "line"])
-                            .select("po_no", "line"))
+    if event_time is None:
+        once = worklist_stream.dropDuplicates(["po_no", "line"])
+    else:
+        once = worklist_stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(
+            ["po_no", "line"])
+    keyed = once.select("po_no", "line")
     _run(keyed.writeStream.outputMode("append").format("parquet")
               .option("path", out).option("checkpointLocation", ckpt))
     return spark.read.schema(keyed.schema).parquet(out)
