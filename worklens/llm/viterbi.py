@@ -57,6 +57,10 @@ class Segmenter:
                 self.pieces[piece] = (i, sp.get_score(i))
                 self.raw[i] = piece.replace(MARK, " ").encode()
         self.max_piece = max(map(len, self.pieces))
+        #: Every ending of a piece: the piece's id and score if it is one itself, else None.
+        self.endings: dict[str, tuple[int, float] | None] = {
+            p[i:]: None for p in self.pieces for i in range(1, len(p))}
+        self.endings.update(self.pieces)
         lowest = min(s for _, s in self.pieces.values())
         #: Score of one character spelled in bytes: below any path of pieces over it.
         self.unknown = lowest - 10.0
@@ -66,6 +70,7 @@ class Segmenter:
     def stream(self, chunks: Iterable[str]) -> Iterator[int]:
         """Ids of the concatenated chunks, committed as soon as they are final."""
         text, start, done = "", 0, 0  # text[0] is at position ``start``; done: examined up to
+        endings = self.endings
         score, back = [0.0], [(0, -1)]  # per position from ``start``: best score, (from, id)
         for chunk in chunks:
             text += chunk
@@ -73,9 +78,11 @@ class Segmenter:
                 done += 1
                 end = done - start
                 best, src, piece_id = -float("inf"), 0, -1
-                for a in range(max(0, end - self.max_piece), end):
-                    hit = self.pieces.get(text[a:end])
-                    if hit is not None and score[a] + hit[1] > best:
+                for a in range(end - 1, -1, -1):
+                    hit = endings.get(text[a:end], False)
+                    if hit is False:  # no longer piece ends like this
+                        break
+                    if hit is not None and score[a] + hit[1] >= best:
                         best, src, piece_id = score[a] + hit[1], a, hit[0]
                 single = score[end - 1] + self.unknown
                 if piece_id < 0 or single > best:
