@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from worklens.llm.common import Memo, utf8_column
+from worklens.llm.common import Memo, materialize, utf8_column
 
 BITS = 18
 MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_BYTES = 3000, 6000, 20_000
@@ -71,44 +71,69 @@ def held_out(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memo = Memo(feature)
+def _documents(batches: Iterator[pa.RecordBatch], memo: Memo):
+    """(label, sentence features) of the documents that have any."""
     for b in batches:
-        bags = [sentence_features(t, memo) for t in utf8_column(b, "text")]
-        yield pa.RecordBatch.from_arrays([
-            b.column(0), pa.array(bags, pa.list_(pa.list_(pa.int32())))], names=["label", "bags"])
+        for label, text in zip(b.column(0).to_pylist(), utf8_column(b, "text"), strict=True):
+            if bags := sentence_features(text, memo):
+                yield label, bags
 
 
-def telling(doc: np.ndarray, col: np.ndarray, y: np.ndarray) -> np.ndarray:
+def word_counts(sample: DataFrame) -> DataFrame:
+    """(word, toxic, docs): in how many documents each word is; word -1 counts all documents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, (1 << BITS) + 1), np.int64)  # the last column is word -1
+        for label, bags in _documents(batches, Memo(feature)):
+            counts[label, np.unique(np.concatenate([*bags, [-1]]).astype(np.int64))] += 1
+        docs = counts.sum(axis=0)
+        word = np.flatnonzero(docs)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.where(word == 1 << BITS, -1, word).astype(np.int32)),
+             pa.array(counts[1, word]), pa.array(docs[word])], names=["word", "toxic", "docs"])
+    return sample.mapInArrow(run, "word int, toxic long, docs long").groupBy("word").agg(
+        F.sum("toxic").alias("toxic"), F.sum("docs").alias("docs"))
+
+
+def telling_bags(sample: DataFrame, often: np.ndarray) -> DataFrame:
+    """(label, plain, sizes, words): per document its sentences without a telling word, and of
+    the others how many such words each has, and which."""
+    shared = sample.sparkSession.sparkContext.broadcast(often)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tells = shared.value
+        for label, bags in _documents(batches, Memo(feature)):
+            found = [[w for w in bag if tells[w]] for bag in bags]
+            sizes = [len(f) for f in found if f]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([label], pa.int32()), pa.array([len(bags) - len(sizes)], pa.int64()),
+                 pa.array([sizes], pa.list_(pa.int32())),
+                 pa.array([[w for f in found for w in f]], pa.list_(pa.int32()))],
+                names=["label", "plain", "sizes", "words"])
+    return sample.mapInArrow(
+        run, "label int, plain long, sizes array<int>, words array<int>")
+
+
+def telling(inside: np.ndarray, docs: np.ndarray, n1: int, n0: int) -> np.ndarray:
     """Which words occur in toxic and other documents at rates that differ beyond chance."""
-    pairs = np.unique(np.stack([doc, col]), axis=1)
-    inside = np.bincount(pairs[1], weights=y[pairs[0]], minlength=1 << BITS)
-    docs = np.bincount(pairs[1], minlength=1 << BITS)
-    n1, n0 = y.sum(), len(y) - y.sum()
-    rate = (docs + 1) / (len(y) + 2)
+    rate = (docs + 1) / (n1 + n0 + 2)
     z = (inside / n1 - (docs - inside) / n0) / np.sqrt(rate * (1 - rate) * (1 / n1 + 1 / n0))
     lift = np.log((inside + 0.5) / (n1 + 1)) - np.log((docs - inside + 0.5) / (n0 + 1))
     return (docs >= MIN_DOCS) & (np.abs(z) >= MIN_Z) & (np.abs(lift) >= math.log(MIN_LIFT))
 
 
-def fit(labels: list[int], bags: list[list[list[int]]]) -> tuple[np.ndarray, float]:
-    """Weights that maximise the noisy-or likelihood of the labels (Adagrad)."""
-    weights = np.zeros(1 << BITS)
-    keep = [i for i, b in enumerate(bags) if b]
-    y = np.array([labels[i] for i in keep], float)
-    if not len(y) or y.min() == y.max():
-        return weights, -50.0
-    sentences = [(d, s) for d, i in enumerate(keep) for s in bags[i]]
-    doc = np.array([d for d, _ in sentences])
-    row = np.repeat(np.arange(len(sentences)), [len(s) for _, s in sentences])
-    col = np.concatenate([np.array(s) for _, s in sentences])
-    often = telling(doc[row], col, y)
-    row, col = row[often[col]], col[often[col]]
-    seen = np.full(1 << BITS, 1e-6)
+def fit(y: np.ndarray, plain: np.ndarray, doc: np.ndarray, row: np.ndarray,
+        col: np.ndarray) -> np.ndarray:
+    """Weights that maximise the noisy-or likelihood of the labels (Adagrad).
+
+    ``doc`` is the document of each sentence with a telling word, (``row``,
+    ``col``) its words; ``plain`` counts the other sentences of each document.
+    """
+    weights, seen = np.zeros(1 << BITS), np.full(1 << BITS, 1e-6)
+    rest = plain * math.log1p(-1 / (1 + math.exp(-BIAS)))  # no word: the bias alone
     for _ in range(EPOCHS):
         z = BIAS + np.bincount(row, weights[col], minlength=len(doc))
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        log_none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y))
+        log_none = rest + np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y))
         any_p = np.clip(-np.expm1(log_none), 1e-9, 1)
         # d log-likelihood / d z of a sentence: p * (1 - P) / P if toxic, -p if not
         slope = np.where(y == 1, (1 - any_p) / any_p, -1.0) / len(y)
@@ -116,14 +141,28 @@ def fit(labels: list[int], bags: list[list[list[int]]]) -> tuple[np.ndarray, flo
         gw = np.bincount(col, g[row], minlength=1 << BITS) - L2 * weights / len(y)
         seen += gw * gw
         weights += RATE * gw / np.sqrt(seen)
-    weights[~often] = 0.0
-    return weights, BIAS
+    return weights
 
 
 def train(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> tuple[np.ndarray, float]:
-    got = training_sample(docs, labels, target).mapInArrow(
-        _bags, "label int, bags array<array<int>>").toArrow()
-    return fit(got["label"].to_pylist(), got["bags"].to_pylist())
+    """The weights and the bias; the driver sees counts per word and telling words only."""
+    sample = materialize(training_sample(docs, labels, target), "toxic-sample")
+    got = word_counts(sample).toArrow()  # at most 2 ** BITS + 1 rows
+    inside, count = np.zeros((2, (1 << BITS) + 1))
+    word = got["word"].to_numpy()
+    inside[word], count[word] = got["toxic"].to_numpy(), got["docs"].to_numpy()
+    n1, n0 = inside[-1], count[-1] - inside[-1]
+    if not n1 or not n0:
+        return np.zeros(1 << BITS), -50.0
+    often = telling(inside[:-1], count[:-1], n1, n0)
+    bags = telling_bags(sample, often).toArrow().combine_chunks()
+    sizes = bags["sizes"].combine_chunks()
+    size = sizes.flatten().to_numpy()
+    doc = np.repeat(np.arange(len(bags)), np.diff(sizes.offsets.to_numpy()))
+    weights = fit(bags["label"].to_numpy(), bags["plain"].to_numpy(), doc,
+                  np.repeat(np.arange(len(size)), size),
+                  bags["words"].combine_chunks().flatten().to_numpy())
+    return weights, BIAS
 
 
 def noisy_or(parts: list[float]) -> float:
