@@ -13,7 +13,7 @@
 
 Equal vectors are one index entry: of each distinct vector only the ids that
 can ever appear in a result (the ``k + 1`` smallest) are kept, found with a
-partial limit before the shuffle.  A query that found fewer than ``k`` ids is
+partial limit before the shuffle.  Equal queries are searched once.  A query that found fewer than ``k`` ids is
 run again over all lists.
 
 Defined cases: vectors that are null, empty, zero, or hold a null or non-finite
@@ -159,14 +159,25 @@ def search_lists(postings: DataFrame, probes: DataFrame, keep: int) -> DataFrame
         one, "query_id long, rep_id long, score double")
 
 
-def top_ids(hits: DataFrame, reps: DataFrame, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score of the k nearest found, ties to smaller ids."""
-    by = lambda c: Window.partitionBy("query_id").orderBy(F.desc("score"), c)
+def top_ids(hits: DataFrame, reps: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """query_id, rank, vec_id, score of the k nearest found, ties to smaller ids.
+
+    ``asked`` (query_id, asked_as) names the query whose equal vector was searched.
+    """
+    def by(key, then):
+        return Window.partitionBy(key).orderBy(F.desc("score"), then)
+
     best = hits.groupBy("query_id", "rep_id").agg(F.max("score").alias("score"))
-    best = best.withColumn("n", F.row_number().over(by("rep_id"))).where(F.col("n") <= k + 1)
+    best = best.withColumn("n", F.row_number().over(by("query_id", "rep_id"))).where(
+        F.col("n") <= k + 1)
     ids = best.join(reps.select("rep_id", "ids"), "rep_id").select(
-        "query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
-    ranked = ids.withColumn("rank", F.row_number().over(by("vec_id"))).where(F.col("rank") <= k)
+        F.col("query_id").alias("asked_as"), "score", F.explode("ids").alias("vec_id"))
+    # one more than k, as each query leaves itself out
+    ids = ids.withColumn("n", F.row_number().over(by("asked_as", "vec_id"))).where(
+        F.col("n") <= k + 1)
+    each = ids.join(asked, "asked_as").where("vec_id <> query_id")
+    ranked = each.withColumn("rank", F.row_number().over(by("query_id", "vec_id"))).where(
+        F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
@@ -197,21 +208,27 @@ def nearest(embeddings: DataFrame, k: int = 5, query_every: int = 50, id_col: st
     bounded = F.broadcast(sizes)
     postings = postings.join(bounded, "list").withColumn(
         "sub", F.pmod(F.xxhash64("id"), F.col("subs")).cast("int"))
-    queries = rows.where(F.col("vec_id") % query_every == 0).dropDuplicates(["vec_id"])
+    # equal query vectors are searched once, as the smallest id among them
+    each = rows.where(F.col("vec_id") % query_every == 0).groupBy("vec_id").agg(
+        F.min("v").alias("v"))
+    queries = materialize(each.groupBy("v").agg(F.min("vec_id").alias("vec_id")), "ann-queries")
+    asked = materialize(each.join(queries.withColumnRenamed("vec_id", "asked_as"), "v").select(
+        F.col("vec_id").alias("query_id"), "asked_as"), "ann-asked")
 
     def found(probes: DataFrame) -> DataFrame:
         probes = probes.join(bounded, "list").withColumn(
             "sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
         return top_ids(search_lists(postings, probes.select("id", "v", "list", "sub"), k + 1),
-                       reps, k)
+                       reps, asked, k)
 
     first = materialize(found(route(queries, graph, probe, "vec_id").select(
         "id", "v", F.explode("lists").alias("list"))), "ann-found")
-    short = queries.join(first.where(F.col("rank") == k).select("query_id"),
-                         queries["vec_id"] == F.col("query_id"), "left_anti")
+    short = asked.join(first.where(F.col("rank") == k).select("query_id"), "query_id", "left_anti")
     if short.isEmpty():
         return first
     every = F.explode(F.sequence(F.lit(0), F.lit(graph.value.c.shape[0] - 1)))
-    again = found(short.select(F.col("vec_id").alias("id"), "v", every.alias("list")))
-    done = first.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti")
+    lacking = queries.join(short.select(F.col("asked_as").alias("vec_id")).distinct(), "vec_id")
+    again = found(lacking.select(F.col("vec_id").alias("id"), "v", every.alias("list"))).join(
+        short.select("query_id"), "query_id", "left_semi")
+    done = first.join(short.select("query_id"), "query_id", "left_anti")
     return done.unionByName(again)
