@@ -148,6 +148,27 @@ def test_em_weighs_votes_by_estimated_accuracy(spark):
     assert a[0] > 0.9 and a[2] > 0.9 and 0.3 < a[1] < 0.7
 
 
+def test_a_bad_vote_can_be_outvoted(spark):
+    letters = str.maketrans("0123456789", "abcdefghij")
+
+    def lines(i, n):  # whole sentences, all different
+        return [text(1000 * i + j, 12).translate(letters) for j in range(n)]
+
+    rows = [(i, "\n".join(lines(i, 8))) for i in range(150)]
+    rows += [(i, "\n".join(f"{w} |" for w in " ".join(lines(i, 8)).split())) for i in range(200, 230)]
+    # one rule accuses: equal short lines after a long text
+    rows += [(i, "\n".join([*lines(i, 20), *["and"] * 12])) for i in range(300, 303)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    votes = {i: [r[k] for k in quality_rules.rules()] for i, r in got.items()}
+    assert all(got[i].kept for i in range(150))
+    assert not any(got[i].kept for i in range(200, 230))
+    for i in range(300, 303):
+        assert 0 in votes[i] and not got[i].base_failed and got[i].kept
+    voted = list(zip(*votes.values(), strict=True))
+    assert sum({0, 1} <= set(v) for v in voted) >= 3  # several rules vote both ways
+
+
 # toxicity ----------------------------------------------------------------------------------
 
 def test_toxic_sentences_are_found(spark):
