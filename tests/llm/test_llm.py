@@ -197,6 +197,15 @@ def test_toxic_sentences_are_found(spark):
     assert toxicity.classify(docs, empty(lab)).agg(F.max("score")).first()[0] < 1e-9
 
 
+def test_a_clean_text_scores_nothing_at_any_length():
+    weights = collections.defaultdict(float, {b"vile": 9.0, b"kind": -0.5})
+    clean = b"plain words here. kind words there. " * 50_000
+    score, n, found = toxicity.score_text(clean, weights, toxicity.BIAS, 0.5)
+    assert (score, n, found) == (0.0, 100_000, [])  # the last blank is no sentence
+    score, _, found = toxicity.score_text(clean + b"so vile", weights, toxicity.BIAS, 0.5)
+    assert score > 0.5 and len(found) == 1
+
+
 # nearest neighbours ------------------------------------------------------------------------
 
 def test_neighbours_match_brute_force(spark):

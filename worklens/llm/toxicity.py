@@ -4,6 +4,8 @@ A document is a bag of sentences.  A sentence's score is a logistic function
 of the weights of its distinct words; the scores of a document's sentences are
 combined by noisy-or, ``1 - prod(1 - p)``, which is trained against document
 labels only.  Afterwards the sentence scores point at the offending sentences.
+A sentence whose words do not speak for toxicity (weights that sum to nothing
+or less) adds nothing, so a clean text scores 0 at any length.
 
 The model is fitted on a bounded sample of labelled rows: at most
 ``MAX_POSITIVE`` and ``MAX_NEGATIVE`` documents, taken in the order of a hash
@@ -35,8 +37,7 @@ BITS = 18
 MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_BYTES = 3000, 6000, 20_000
 #: A word needs so many documents, standard errors between the two kinds, and ratio of rates.
 MIN_DOCS, MIN_Z, MIN_LIFT = 25, 4.0, 3.0
-#: The bias is fixed: a sentence without telling words counts next to nothing, so that the
-#: noisy-or of a long clean text stays low.
+#: The bias is fixed; it holds for sentences with a telling word, the others count nothing.
 EPOCHS, RATE, L2, BIAS = 300, 0.5, 1e-4, -8.0
 
 #: What a sentence is: a run without sentence ends.
@@ -95,8 +96,8 @@ def word_counts(sample: DataFrame) -> DataFrame:
 
 
 def telling_bags(sample: DataFrame, often: np.ndarray) -> DataFrame:
-    """(label, plain, sizes, words): per document its sentences without a telling word, and of
-    the others how many such words each has, and which."""
+    """(label, sizes, words): how many telling words the sentences of each document have that
+    have any, and which."""
     shared = sample.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,12 +106,10 @@ def telling_bags(sample: DataFrame, often: np.ndarray) -> DataFrame:
             found = [[w for w in bag if tells[w]] for bag in bags]
             sizes = [len(f) for f in found if f]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([label], pa.int32()), pa.array([len(bags) - len(sizes)], pa.int64()),
-                 pa.array([sizes], pa.list_(pa.int32())),
+                [pa.array([label], pa.int32()), pa.array([sizes], pa.list_(pa.int32())),
                  pa.array([[w for f in found for w in f]], pa.list_(pa.int32()))],
-                names=["label", "plain", "sizes", "words"])
-    return sample.mapInArrow(
-        run, "label int, plain long, sizes array<int>, words array<int>")
+                names=["label", "sizes", "words"])
+    return sample.mapInArrow(run, "label int, sizes array<int>, words array<int>")
 
 
 def telling(inside: np.ndarray, docs: np.ndarray, n1: int, n0: int) -> np.ndarray:
@@ -121,19 +120,17 @@ def telling(inside: np.ndarray, docs: np.ndarray, n1: int, n0: int) -> np.ndarra
     return (docs >= MIN_DOCS) & (np.abs(z) >= MIN_Z) & (np.abs(lift) >= math.log(MIN_LIFT))
 
 
-def fit(y: np.ndarray, plain: np.ndarray, doc: np.ndarray, row: np.ndarray,
-        col: np.ndarray) -> np.ndarray:
+def fit(y: np.ndarray, doc: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
     """Weights that maximise the noisy-or likelihood of the labels (Adagrad).
 
     ``doc`` is the document of each sentence with a telling word, (``row``,
-    ``col``) its words; ``plain`` counts the other sentences of each document.
+    ``col``) its words.
     """
     weights, seen = np.zeros(1 << BITS), np.full(1 << BITS, 1e-6)
-    rest = plain * math.log1p(-1 / (1 + math.exp(-BIAS)))  # no word: the bias alone
     for _ in range(EPOCHS):
         z = BIAS + np.bincount(row, weights[col], minlength=len(doc))
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        log_none = rest + np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y))
+        log_none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y))
         any_p = np.clip(-np.expm1(log_none), 1e-9, 1)
         # d log-likelihood / d z of a sentence: p * (1 - P) / P if toxic, -p if not
         slope = np.where(y == 1, (1 - any_p) / any_p, -1.0) / len(y)
@@ -159,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> tuple[np
     sizes = bags["sizes"].combine_chunks()
     size = sizes.flatten().to_numpy()
     doc = np.repeat(np.arange(len(bags)), np.diff(sizes.offsets.to_numpy()))
-    weights = fit(bags["label"].to_numpy(), bags["plain"].to_numpy(), doc,
+    weights = fit(bags["label"].to_numpy(), doc,
                   np.repeat(np.arange(len(size)), size),
                   bags["words"].combine_chunks().flatten().to_numpy())
     return weights, BIAS
@@ -178,7 +175,7 @@ def score_text(text: bytes, memo: Memo, bias: float, at: float):
             continue
         n += 1
         z = bias + sum(map(memo.__getitem__, set(words)))
-        if z < -18:  # below the resolution of the sum of a long text
+        if z <= bias:  # nothing speaks for toxicity
             continue
         p = 1 / (1 + math.exp(-min(z, 40.0)))
         log_none += math.log1p(-min(p, 1 - 1e-12))
