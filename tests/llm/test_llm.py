@@ -197,6 +197,19 @@ def test_toxic_sentences_are_found(spark):
     assert toxicity.classify(docs, empty(lab)).agg(F.max("score")).first()[0] < 1e-9
 
 
+def test_rare_words_and_languages_train(spark, monkeypatch):
+    # a word in 9 of 45 toxic and no clean document tells; chance words do not
+    inside, count = np.array([9.0, 3.0, 1.0, 45.0]), np.array([9.0, 3.0, 2.0, 329.0])
+    assert toxicity.telling(inside, count, 45.0, 284.0).tolist() == [True, False, False, False]
+    monkeypatch.setattr(toxicity, "MAX_POSITIVE", 60)
+    rows = [(i, f"w{i}", "xx" if i % 50 == 0 else "en") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i, _, _ in rows], "doc_id long, toxic int")
+    drawn = {r.text for r in toxicity.training_sample(docs, labels).collect()}
+    rare = {f"w{i}" for i in range(0, 2000, 50) if zlib.crc32(str(i).encode()) % 5}
+    assert len(drawn) == 60 and len(drawn & rare) >= 0.7 * min(30, len(rare))
+
+
 def test_a_clean_text_scores_nothing_at_any_length():
     weights = collections.defaultdict(float, {b"vile": 9.0, b"kind": -0.5})
     clean = b"plain words here. kind words there. " * 50_000

@@ -8,15 +8,18 @@ A sentence whose words do not speak for toxicity (weights that sum to nothing
 or less) adds nothing, so a clean text scores 0 at any length.
 
 The model is fitted on a bounded sample of labelled rows: at most
-``MAX_POSITIVE`` and ``MAX_NEGATIVE`` documents, taken in the order of a hash
-of doc_id, each with at most ``MAX_TRAIN_BYTES`` of text (longer ones are not
-drawn).  Its weights are a vector of ``2 ** BITS`` numbers whatever the input.
+``MAX_POSITIVE`` and ``MAX_NEGATIVE`` documents, an equal share of each
+language as far as it has so many, taken in the order of a hash of doc_id, each
+with at most ``MAX_TRAIN_BYTES`` of text (longer ones do not train).  A word
+tells by a z test and a likelihood ratio test, whatever the number of its
+documents.  Its weights are a vector of ``2 ** BITS`` numbers whatever the input.
 Scoring reads every whole text in one pass without a shuffle.
 
 Defined cases: null or blank text has no sentence and scores 0; without
 labelled rows of both kinds every score is 0; repeated rows score alike, each
 on its own row; an empty table gives an empty result; null labels do not
-train; other columns (lang, source, ...) are not read.
+train; a null or missing lang is a language of its own; other columns (source,
+...) are not read.
 """
 
 from __future__ import annotations
@@ -35,8 +38,8 @@ from worklens.llm.common import Memo, materialize, utf8_column
 
 BITS = 18
 MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_BYTES = 3000, 6000, 20_000
-#: A word needs so many documents, standard errors between the two kinds, and ratio of rates.
-MIN_DOCS, MIN_Z, MIN_LIFT = 25, 4.0, 3.0
+#: A word needs so many standard errors between the two kinds, and such a ratio of rates.
+MIN_Z, MIN_LIFT = 4.0, 3.0
 #: The bias is fixed; it holds for sentences with a telling word, the others count nothing.
 EPOCHS, RATE, L2, BIAS = 300, 0.5, 1e-4, -8.0
 
@@ -58,10 +61,20 @@ def sentence_features(text: bytes, memo: Memo) -> list[list[int]]:
 
 def training_sample(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> DataFrame:
     """(label, text): the bounded sample; never a row that is held out."""
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit("")
     ids = labels.where(~held_out(F.col("doc_id"))).select(
-        F.col("doc_id").alias("id"), F.col(target).cast("int").alias("label"))
-    order = F.xxhash64("id")
-    drawn = [ids.where(F.col("label") == v).orderBy(order, "id").limit(n)
+        F.col("doc_id").alias("id"), F.col(target).cast("int").alias("label")).where(
+            "label in (0, 1)")
+    langs = docs.select("doc_id", F.coalesce(lang, F.lit("")).alias("lang"))
+    found = langs.join(ids, F.col("doc_id") == F.col("id")).groupBy("id", "label").agg(
+        F.min("lang").alias("lang"))
+    found = materialize(found, "toxic-labels")
+    sizes = found.groupBy("label", "lang").agg(F.count("*").alias("n"))
+    # the rank of a row within its label and language, as a uniform hash tells it
+    place = F.shiftrightunsigned(F.xxhash64("id"), 11) * F.lit(2.0 ** -53) * F.col("n")
+    ranked = found.join(F.broadcast(sizes), ["label", "lang"]).select(  # two rows a language
+        "id", "label", place.alias("place"))
+    drawn = [ranked.where(F.col("label") == v).orderBy("place", "id").limit(n).select("id", "label")
              for v, n in ((1, MAX_POSITIVE), (0, MAX_NEGATIVE))]
     few = F.broadcast(drawn[0].unionByName(drawn[1]))  # at most that many rows
     return docs.where(F.octet_length("text") <= MAX_TRAIN_BYTES).join(
@@ -114,10 +127,18 @@ def telling_bags(sample: DataFrame, often: np.ndarray) -> DataFrame:
 
 def telling(inside: np.ndarray, docs: np.ndarray, n1: int, n0: int) -> np.ndarray:
     """Which words occur in toxic and other documents at rates that differ beyond chance."""
+    outside, share = docs - inside, docs / (n1 + n0)
     rate = (docs + 1) / (n1 + n0 + 2)
-    z = (inside / n1 - (docs - inside) / n0) / np.sqrt(rate * (1 - rate) * (1 / n1 + 1 / n0))
-    lift = np.log((inside + 0.5) / (n1 + 1)) - np.log((docs - inside + 0.5) / (n0 + 1))
-    return (docs >= MIN_DOCS) & (np.abs(z) >= MIN_Z) & (np.abs(lift) >= math.log(MIN_LIFT))
+    z = (inside / n1 - outside / n0) / np.sqrt(rate * (1 - rate) * (1 / n1 + 1 / n0))
+
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9))
+    # of few documents z is too large; the signed root of the likelihood ratio is not
+    g = 2 * (part(inside, n1 * share) + part(outside, n0 * share)
+             + part(n1 - inside, n1 * (1 - share)) + part(n0 - outside, n0 * (1 - share)))
+    beyond = np.minimum(np.abs(z), np.sqrt(np.maximum(g, 0))) >= MIN_Z
+    lift = np.log((inside + 0.5) / (n1 + 1)) - np.log((outside + 0.5) / (n0 + 1))
+    return beyond & (np.abs(lift) >= math.log(MIN_LIFT))
 
 
 def fit(y: np.ndarray, doc: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
