@@ -9,8 +9,10 @@ scratch folder and reads them back as the next one's input, so a lost executor
 costs one stage at most.
 
 Labels (table ``labels``) train the quality and toxicity models; the models
-then judge every document a stage is given.  Rows with a null doc_id have no
-label and no copies: they are judged, kept by the duplicate stages, and packed.
+then judge every row a stage is given by its own text, whatever its doc_id: rows
+of one id may fare differently.  Rows with a null doc_id have no label and no
+copies: a rejected one is dropped like any other; the rest are kept by the
+duplicate stages, and packed.
 """
 
 from __future__ import annotations
@@ -34,15 +36,12 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose perplexity is above their language's threshold."""
-    judged = materialize(kneser_ney.classify(docs, table(spark, sf_dir, "labels")), "stage-quality")
-    return _without(docs, judged.where("not kept"))
+    return kneser_ney.keep_rows(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose noisy-or score reaches one half."""
-    judged = materialize(toxicity.classify(docs, table(spark, sf_dir, "labels"))
-                         .select("doc_id", "predicted"), "stage-toxicity")
-    return _without(docs, judged.where("predicted = 1"))
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -489,3 +489,25 @@ def test_pipeline_stages(spark, sf_oracle):
     ids = {r.doc_id for r in before.select("doc_id").collect()}
     packed = cp.STAGES[-1][1](spark, before, sf_oracle)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == ids
+
+
+def test_verdicts_hold_for_rows_not_ids(spark, tmp_path):
+    import corpus_pipeline as cp
+    rng = np.random.default_rng(5)
+    junk = "".join(chr(33 + c) for c in rng.integers(0, 90, 500))
+    rows = [(i, text(i, 60) + (". so vile" if i % 3 == 0 else "")) for i in range(600)]
+    more = [(None, junk), (None, text(1, 60)), (700, junk), (700, text(7, 60)),
+            (None, "so vile"), (701, "so vile"), (701, text(8, 60))]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in rows + more],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(600)],
+                          "doc_id long, quality int, toxic int").write.parquet(
+                              f"{tmp_path}/labels.parquet")
+
+    def odd(df):
+        assert df.columns == docs.columns
+        return sorted((r.doc_id or 0, r.text) for r in df.collect() if r.doc_id in (None, 700, 701))
+    kept = odd(cp.keep_quality(spark, docs, str(tmp_path)))
+    assert kept == sorted((i or 0, t) for i, t in more if t != junk)
+    kept = odd(cp.drop_toxic(spark, docs, str(tmp_path)))
+    assert kept == sorted((i or 0, t) for i, t in more if t != "so vile")

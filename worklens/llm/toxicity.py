@@ -237,3 +237,17 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs, train(docs, labels)).select(
         "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_sentences", "offending")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose score stays below one half, each judged by its own text."""
+    weights, bias = train(docs, labels)
+    shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = shared.value
+        memo = Memo(lambda word: float(w[f]) if (f := feature(word)) >= 0 else 0.0)
+        for b in batches:
+            yield b.filter(pa.array([score_text(t, memo, bias, 0.5)[0] < 0.5
+                                     for t in utf8_column(b, "text")], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
