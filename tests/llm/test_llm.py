@@ -114,6 +114,19 @@ def test_a_hot_key_is_split_below_its_hash(spark):
     assert min(r.depth for r in rows) > sharding.HASH_BITS
 
 
+def test_each_row_is_written_once_to_its_shard(spark, tmp_path):
+    rows = [(1, "x" * 100, i) for i in range(30)] + [(None, "y" * 50, 90), (None, None, 91), (2, "", 92)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key long")
+    sharding.write_shards(df, f"{tmp_path}/shards", 1000)
+    size, got = collections.Counter(), []
+    for folder in (tmp_path / "shards").glob("shard=*"):
+        for r in spark.read.parquet(str(folder)).collect():
+            size[folder.name] += len(r.text or "")
+            got.append((r.doc_id, r.text, r.key))
+    assert sorted(got, key=lambda r: r[2]) == rows
+    assert len(size) > 3 and max(size.values()) <= 1000
+
+
 # quality rules -----------------------------------------------------------------------------
 
 def base_counts(t):

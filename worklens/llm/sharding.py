@@ -53,14 +53,19 @@ def directory_round(cells: DataFrame, start: int, limit: int) -> DataFrame:
     return cells.select("cell").join(best, "cell", "left")
 
 
-def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
-    """(doc_id, n_bytes, shard, depth, shard_bytes, shard_docs, fits) per row."""
+def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, row: str | None = None) -> DataFrame:
+    """(doc_id, n_bytes, shard, depth, shard_bytes, shard_docs, fits) per row.
+
+    ``row`` names a column of row numbers, all different, that is returned too.
+    """
+    number = F.monotonically_increasing_id() if row is None else F.col(row)
+    carry = ["doc_id", "n_bytes"] + ([] if row is None else [row])
     sized = materialize(docs.select(
-        "doc_id",
+        "doc_id", *carry[2:],
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         F.concat(hash_bits(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))),
                  hash_bits(F.coalesce(F.col("text").cast("string"), F.lit(""))),
-                 hash_bits(F.monotonically_increasing_id().cast("string"))).alias("bits"),
+                 hash_bits(number.cast("string"))).alias("bits"),
     ), "shard-sizes")
     out, pending, start = None, sized, 0
     while True:
@@ -70,7 +75,7 @@ def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
         leaves = materialize(directory_round(cells, start, limit), "shard-directory")
         placed = pending.withColumn("cell", cell).join(leaves, "cell")
         closed = placed.where(F.col("leaf").isNotNull()).select(
-            "doc_id", "n_bytes", F.col("leaf.prefix").alias("shard"),
+            *carry, F.col("leaf.prefix").alias("shard"),
             F.length("leaf.prefix").cast("long").alias("depth"),
             F.col("leaf.shard_bytes").alias("shard_bytes"),
             F.col("leaf.shard_docs").alias("shard_docs"),
@@ -81,12 +86,18 @@ def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
             return out
         if start >= 3 * HASH_BITS:
             raise RuntimeError("rows with equal hashes of key, content and row number")
-        pending = placed.where(F.col("leaf").isNull()).select("doc_id", "n_bytes", "bits")
+        pending = placed.where(F.col("leaf").isNull()).select(*carry, "bits")
         if start > STEP:  # few rows stay open after two rounds; cut the lineage
             pending = materialize(pending, "shard-open")
 
 
-def write_shards(docs: DataFrame, shards: DataFrame, path: str) -> None:
-    """The documents as Parquet, one folder per shard."""
-    placed = docs.join(shards.select("doc_id", "shard"), "doc_id")
+def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
+    """The documents as Parquet, one folder per shard; each row once, in its own shard.
+
+    Rows are numbered and stored first, so that numbers mean the same rows later.
+    """
+    rows = materialize(
+        docs.withColumn("__row", F.monotonically_increasing_id()), "shard-rows")
+    shards = assign_shards(rows, limit, "__row").select("__row", "shard")
+    placed = rows.join(shards, "__row").drop("__row")
     placed.repartition("shard").write.partitionBy("shard").parquet(path)
