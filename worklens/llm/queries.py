@@ -7,7 +7,8 @@ from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
 
-from worklens.llm import ann, debruijn, jaccard, kneser_ney, packing, quality_rules, quoting, sharding, toxicity, viterbi
+from worklens.llm import (alignment, ann, debruijn, jaccard, kneser_ney, packing, quality_rules, quoting,
+                          sharding, toxicity, trie, viterbi, warc)
 from worklens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +185,95 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_jaccard_metric_join")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+@register("op11_pair_bitmaps")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"),
+                                     tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+#: A table-free CRC-32 of the decimal id; a node's key is the text of its turns' digests.
+OP12_SQL = r"""
+with recursive t as (
+  select conv_id, md5(length(r)::varchar || ':' || r || x) as digest, length(x)::bigint as chars,
+         row_number() over (partition by conv_id order by turn nulls first,
+                            md5(length(r)::varchar || ':' || r || x)) as n
+  from (select conv_id, turn, coalesce(role, '') as r, coalesce(text, '') as x
+        from conversations where conv_id is not null)
+), crc as (
+  select c, list_reduce(list_concat([4294967295::bigint], list_transform(
+      range(1, length(c::varchar) + 1), lambda i: ascii(substr(c::varchar, i, 1))::bigint)),
+    lambda a, x: list_reduce(list_concat([xor(a, x)], [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+      lambda b, y: xor(b >> 1, (b & 1) * 3988292384))) as r
+  from (select distinct conv_id as c from t)
+), convs as (
+  select c, c - c % 100 as first, xor(r, 4294967295) % 6 as h from crc
+), lens as (
+  select conv_id as first, least(max(n), 5) as has from t group by conv_id
+), full_convs as (
+  select c, convs.first, h, least(h, coalesce(has, 0)) as cut from convs left join lens using (first)
+), rebuilt as (
+  select c, n as pos, digest, chars from full_convs f join t on t.conv_id = f.first and t.n <= f.h
+  union all
+  select c, n - h + cut, digest, chars from full_convs f join t on t.conv_id = f.c and t.n > f.h
+), keyed as (
+  select c, pos, chars, string_agg(digest, ',') over (
+    partition by c order by pos rows between unbounded preceding and current row) as key
+  from rebuilt
+), rows as (
+  select c, pos, chars, key from keyed
+  union all
+  select c, 0, 0, '' from full_convs
+), nodes as (
+  select pos as depth, key, min(c) as conv_id, count(*) as n_convs, min(chars) as chars
+  from rows group by all
+), lasts as (
+  select c, max(pos) as depth from rows group by c
+), ends as (
+  select depth, key, string_agg(c::varchar, ',' order by c) as ids
+  from lasts join rows using (c) where pos = depth group by all
+), parents as (
+  select n.conv_id, n.depth, p.conv_id as parent_conv_id
+  from nodes n join rows r on r.c = n.conv_id and r.pos = n.depth - 1
+  join nodes p on p.depth = r.pos and p.key = r.key
+), kids as (
+  select parent_conv_id as conv_id, depth - 1 as depth, count(*) as n_children from parents group by all
+), own as (
+  select n.*, p.parent_conv_id, coalesce(k.n_children, 0) as n_children
+  from nodes n left join parents p using (conv_id, depth) left join kids k using (conv_id, depth)
+), totals as (
+  select a.pos as depth, a.key, sum((n_children = 0)::bigint) as n_leaves, sum((n_convs - 1) * o.chars) as saved
+  from own o join rows a on a.c = o.conv_id and a.pos <= o.depth group by all
+)
+select o.conv_id, o.depth::bigint as depth, o.parent_conv_id, n_convs, n_children,
+       n_leaves::bigint as n_leaves, saved::bigint as saved_tokens, sha256(coalesce(ids, '')) as ends_sha256
+from own o join totals using (depth, key) left join ends using (depth, key)
+"""
+
+
+@register("op12_prefix_trie", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+OP13_SQL = """
+with p as (
+  select page_id, coalesce(html, '') as html, strlen(coalesce(html, ''))::bigint as payload_bytes,
+         sha1(coalesce(html, '')) as payload_digest
+  from pages
+), g as (
+  select *, case when payload_bytes >= 1000 then max(page_id) over (partition by html) end as largest
+  from p
+), r as (
+  select *, coalesce(largest is not null and page_id is distinct from largest, false) as again from g
+)
+select page_id, payload_bytes, payload_digest, case when again then 'revisit' else 'response' end as record_type,
+       case when again then largest end as refers_to
+from r
+"""
+
+
+@register("op13_warc_archives", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.write_and_read(table(spark, sf_dir, "pages"))
