@@ -45,6 +45,8 @@ REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 256 << 20
 #: Largest read, and largest gap between two records of one read.
 READ_BYTES, GAP_BYTES = 8 << 20, 64 << 10
+#: Bytes of records that one reading task is given, about.
+TASK_BYTES = 32 << 20
 #: Date of the records: pages carry none, and equal input gives equal archives.
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -225,8 +227,10 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                              int(http["content-length"]), payload))
             yield _batch(rows, RECORDS)
 
-    order = ["archive", "offset"]
-    return (index.select("archive", "offset", "length").repartitionByRange(*order)
+    order, rows = ["archive", "offset"], index.select("archive", "offset", "length")
+    # Tasks by the bytes to be read: the index rows themselves are too small to tell.
+    tasks = 1 + (rows.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES
+    return (rows.repartitionByRange(tasks, *order)
             .sortWithinPartitions(*order).mapInArrow(run, RECORDS))
 
 
