@@ -7,7 +7,8 @@
 
 Every path may be anything Spark reads (local, HDFS, object store).  Format is
 taken from the extension (``.csv`` / ``.json`` / otherwise Parquet).  The
-archive is appended to (idempotently per snapshot) before the trends are read.
+archive gets this run's snapshot (a rerun of the same ``--archive-time`` replaces it)
+before the trends are read.
 """
 
 from __future__ import annotations
@@ -53,12 +54,15 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--req-docs", required=True)
     ap.add_argument("--po")
     ap.add_argument("--archive")
+    ap.add_argument("--archive-time", type=dt.datetime.fromisoformat,
+                    help="instant of this run's snapshot, e.g. 2024-05-06T08:15 "
+                         "(default: midnight of as-of); a rerun of it replaces the snapshot")
     ap.add_argument("--tune-for-bytes", type=int,
                     help="size shuffle partitions for this many input bytes")
     a = ap.parse_args(argv)
 
     overrides = {k: v for k, v in (("date_from", a.date_from), ("date_to", a.date_to),
-                                   ("po_date_after", a.po_after),
+                                   ("po_date_after", a.po_after), ("archive_time", a.archive_time),
                                    ("po_weeks_until", a.po_weeks_until)) if v is not None}
     ctx = RunContext(as_of=a.as_of, **overrides)
     spark = SparkSession.builder.appName("worklens").getOrCreate()

@@ -7,6 +7,7 @@ whole tables, with an independent DuckDB oracle.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from worklens.functions import columns as C
 from worklens.operators import core as O
 from worklens.plans import archive, backlog, worklist
 from worklens.session import scratch_path
-from worklens.sources import io
+from worklens.sources import io, snapshots
 
 AS_OF = "DATE '2001-07-01'"
 PO_FILTER = "po_date > TIMESTAMP '2001-01-01 00:00:00' and status in ('A', 'C', 'D')"
@@ -118,15 +119,26 @@ def s06_read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.get(F.col("lines"), 0)["more_info"].alias("more_info"))
 
 
-@register("s07_append_archive", with_ctes("select * from snapshot_backlog", "snapshot_backlog"))
+_S07_SQL = with_ctes("""
+    select * from snapshot_backlog
+    union all
+    select * replace (TIMESTAMP '2001-07-01 17:30:00' as archive_time) from snapshot_backlog
+    where status <> 'hold'""", "snapshot_backlog")
+
+
+@register("s07_append_archive", _S07_SQL)
 def s07_append_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same snapshot written twice (a rerun) leaves one copy."""
+    """Two runs of a day are two snapshots; the evening one was rerun without its hold rows."""
     i = _i(spark, sf_dir)
-    path = scratch_path(spark, "s07")
-    snap = archive.backlog_snapshot(i.split, i.ctx)
-    io.write_archive(snap, path)
-    io.write_archive(snap, path)
-    return io.read_archive(spark, path, schemas.ARCHIVE_BACKLOG)
+    root = scratch_path(spark, "s07")
+    evening = replace(i.ctx, archive_time=dt.datetime(2001, 7, 1, 17, 30))
+    for ctx in (i.ctx, evening):
+        snapshots.write_snapshot(spark, root, ctx.snapshot,
+                                 {archive.BACKLOG_TABLE: archive.backlog_snapshot(i.whole_split, ctx)})
+    corrected = i.whole_split.where(F.col("status") != "hold")
+    snapshots.write_snapshot(spark, root, evening.snapshot,
+                             {archive.BACKLOG_TABLE: archive.backlog_snapshot(corrected, evening)})
+    return archive.read_backlog_archive(spark, root)
 
 
 @register("s08_write_jsonl", with_ctes(
@@ -135,7 +147,7 @@ def s07_append_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s08_write_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = _i(spark, sf_dir)
     path = scratch_path(spark, "s08")
-    io.write_jsonl(archive.worklist_snapshot(i.prepared, i.ctx), path)
+    io.write_jsonl(i.prepared.withColumn("archive_time", F.lit(i.ctx.as_of)), path)
     return io.read_json_documents(spark, path, schemas.ARCHIVE_WORKLIST)
 
 
@@ -170,7 +182,7 @@ def p02_transform_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"select *, {AS_OF} as archive_time from prepared", "prepared"))
 def p03_literal_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = _i(spark, sf_dir)
-    return i.prepared.withColumn("archive_time", F.lit(i.ctx.snapshot))
+    return i.prepared.withColumn("archive_time", F.lit(i.ctx.as_of))
 
 
 @register("p04_reorder_columns", with_ctes(

@@ -76,3 +76,14 @@ class Inputs:
     @cached_property
     def prepared(self) -> DataFrame:
         return worklist.prepared_worklist(self.approver_raw, self.ctx)
+
+    # With every column of the extracts, for the archive.
+    @cached_property
+    def whole_split(self) -> DataFrame:
+        rows = fixtures.backlog_raw(self.spark, self.sf_dir, whole=True)
+        return backlog.status_split(backlog.clean_backlog(rows, self.buyers, self.ctx))
+
+    @cached_property
+    def whole_prepared(self) -> DataFrame:
+        return worklist.prepared_worklist(
+            fixtures.approver_raw(self.spark, self.sf_dir, whole=True), self.ctx)

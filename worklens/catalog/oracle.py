@@ -28,7 +28,7 @@ def _buyer(nk: str, name: str) -> str:
 def ctes(ctx: RunContext = FIXTURE) -> dict[str, tuple[str, tuple[str, ...]]]:
     """name -> (sql, dependencies), in dependency order."""
     as_of, lo, hi = _d(ctx.as_of), _d(ctx.date_from), _d(ctx.date_to)
-    snap = _d(ctx.snapshot)
+    snap = f"TIMESTAMP '{ctx.snapshot.isoformat(sep=' ')}'"
     hist = " union all ".join(f"select {_d(d)} as archive_time" for d in ctx.history_dates)
     statuses = ", ".join(f"'{s}'" for s in ctx.po_statuses)
     min_age, min_amt = ctx.min_age_days, ctx.min_po_amount
@@ -188,10 +188,27 @@ def ctes(ctx: RunContext = FIXTURE) -> dict[str, tuple[str, tuple[str, ...]]]:
                    a.archive_time
             from prepared p join (""" + hist + """) a on cast(p.date_time as date) <= a.archive_time""",
                              ("prepared",)),
+        # Every source column but the last change date; requisition_id is the order's key.
         "snapshot_backlog": (f"""
-            select requisition_id, hold, out_to_bid, date_of_approval, buyer, req_total,
-                   age, category, {snap} as archive_time, status
-            from split where status is not null""", ("split",)),
+            select concat('BU', cast(o_orderkey % 7 as varchar)) as business_unit, requisition_id, hold,
+                   cast(o_orderdate as date) - cast(o_orderkey % 5 as integer) as requisition_date,
+                   left(o_orderpriority, 1) as origin,
+                   concat('C', cast(o_custkey as varchar)) as requester, date_of_approval, buyer,
+                   buyer_login as buyer_assignment,
+                   case when o_orderstatus = 'P' then 'Hold' end as hold_req_process,
+                   out_to_bid, req_total, age, category, {snap} as archive_time, status
+            from split join orders_b on cast(o_orderkey as varchar) = requisition_id
+            where status is not null""", ("split", "orders_b")),
+        # The first row of each line (as in prepared), then the lowest line's row of each PO.
+        "snapshot_worklist": (f"""
+            select concat('U', cast(l_suppkey % 50 as varchar)) as user, l_returnflag as status,
+                   concat('O', cast(l_partkey % 20 as varchar)) as oper_id, l_shipdate as date_time,
+                   concat('UN', cast(l_orderkey % 7 as varchar)) as unit, p.po_no, l_linestatus as origin,
+                   p.tie1, p.tie2, p.sum_of_po_amt, p.age, {snap} as archive_time
+            from prepared p join (
+              select *, row_number() over (partition by l_orderkey
+                                           order by l_linenumber, l_shipdate, l_partkey, l_suppkey) as rn
+              from lineitem) l on cast(l_orderkey as varchar) = p.po_no and rn = 1""", ("prepared",)),
         # Throughput
         "po_weeks": (f"""
             select po_no, buyer, n_lines, cast(po_date as date) as d,

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from worklens import schemas
 from worklens.catalog.inputs import Inputs
 from worklens.catalog.oracle import with_ctes
-from worklens.catalog.registry import register
+from worklens.catalog.registry import ORACLE, register
 from worklens.catalog.run import FIXTURE
 from worklens.plans import archive, throughput
 from worklens.session import scratch_path
 from worklens.sources import fixtures
-from worklens.sources.io import read_archive
+from worklens.sources.snapshots import write_snapshot
 from worklens.streaming import incremental
 
 THROUGHPUT_RANK = "case {c} when 'INV' then 1 when 'NINV' then 2 when 'SE' then 3 end"
@@ -28,13 +28,18 @@ def _worklist_history(i: Inputs) -> DataFrame:
 
 # --- C-14 .. C-17 ---------------------------------------------------------
 
-@register("c14_archive_snapshot", with_ctes("select * from snapshot_backlog", "snapshot_backlog"))
+@register("c14_archive_snapshot", with_ctes("""
+    select 'backlog' as kind, * from snapshot_backlog
+    union all by name
+    select 'worklist' as kind, * from snapshot_worklist""", "snapshot_backlog", "snapshot_worklist"))
 def c14_archive_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write this run's snapshot to the archive, then read the backlog archive back."""
+    """Commit this run's snapshot, then read both halves of the archive back."""
     i = Inputs(spark, sf_dir)
     root = scratch_path(spark, "c14")
-    archive.archive_snapshot(i.split, i.prepared, i.ctx, f"{root}/backlog", f"{root}/worklist")
-    return read_archive(spark, f"{root}/backlog", schemas.ARCHIVE_BACKLOG)
+    archive.archive_snapshot(spark, i.whole_split, i.whole_prepared, i.ctx, root)
+    return (archive.read_backlog_archive(spark, root).withColumn("kind", F.lit("backlog"))
+            .unionByName(archive.read_worklist_archive(spark, root).withColumn("kind", F.lit("worklist")),
+                         allowMissingColumns=True))
 
 
 @register("c15_worklist_trend", with_ctes("""
@@ -90,6 +95,49 @@ def j06_natural_full_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.old_trend_sum_joined(_history(i), i.ctx)
 
 
+# --- The same trends kept up by runs: three snapshots, a run, one more, a run ---
+
+_KEPT_SQL = "(select * replace (cast(archive_time as timestamp) as archive_time) from {t})"
+
+
+def _kept_up(spark: SparkSession, sf_dir: str, kept):
+    """Archive the history one instant at a time, refreshing before and after the last."""
+    i = Inputs(spark, sf_dir)
+    root = scratch_path(spark, "kept-trends")
+    backlog, work = _history(i), _worklist_history(i)
+    for n, d in enumerate(i.ctx.history_dates):
+        if n + 1 == len(i.ctx.history_dates):
+            kept(spark, root, i.ctx)
+        tables = {archive.BACKLOG_TABLE: backlog, archive.WORKLIST_TABLE: work}
+        write_snapshot(spark, root, d, {k: t.where(F.col("archive_time") == F.lit(d))
+                                        for k, t in tables.items()})
+    return kept(spark, root, i.ctx)
+
+
+def _register_kept(key: str, of: str, table: str, kept) -> None:
+    sql = ORACLE[of].replace(f"from {table}", "from " + _KEPT_SQL.format(t=table))
+
+    @register(key, sql)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _kept_up(spark, sf_dir, kept)
+
+
+_register_kept("k15_worklist_trend_kept", "c15_worklist_trend", "archive_worklist",
+               archive.worklist_trend_incremental)
+_register_kept("k16_status_trend_kept", "c16_status_trend", "archive_backlog",
+               archive.status_trend_incremental)
+_register_kept("k17_old_trend_sum_kept", "c17_old_trend_sum", "archive_backlog",
+               archive.old_trend_sum_incremental)
+
+
+@register("k08_count_by_snapshot_kept", with_ctes(
+    "select cast(archive_time as timestamp) as archive_time, category, count(*) as n "
+    "from archive_backlog group by archive_time, category", "archive_backlog"))
+def k08_count_by_snapshot_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_up(spark, sf_dir, lambda s, root, ctx: archive.snapshot_counts_incremental(
+        s, root, ctx, "category"))
+
+
 # --- C-18 .. C-20 ---------------------------------------------------------
 
 def _weekly_sql(measure_sql: str, measure: str) -> str:
@@ -160,7 +208,8 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
                                                "snapshot_backlog"))
 def t01_incremental_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = Inputs(spark, sf_dir)
-    stream = fixtures.backlog_raw(spark, sf_dir, orders=_stream(spark, sf_dir, "orders"))
+    orders = incremental.with_source_file(_stream(spark, sf_dir, "orders"))
+    stream = fixtures.backlog_raw(spark, sf_dir, orders=orders, keep=("source_file",), whole=True)
     return incremental.incremental_archive(spark, stream, i.buyers, i.ctx)
 
 

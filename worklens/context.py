@@ -42,8 +42,8 @@ class RunContext:
     # Window of approval dates, both ends included; None leaves that end open.
     date_from: dt.date | None = None
     date_to: dt.date | None = None
-    # Archive time written with this run's snapshot.
-    archive_time: dt.date | None = None
+    # Instant written with this run's snapshot (default: midnight of as_of).
+    archive_time: dt.datetime | None = None
     # Throughput: strict lower bound on the PO date; None keeps all POs.
     po_date_after: dt.date | None = None
     # Wide throughput: its week columns end with the week of this date (default: as_of).
@@ -57,8 +57,8 @@ class RunContext:
     broadcast_max_rows: int = BROADCAST_MAX_ROWS
 
     @property
-    def snapshot(self) -> dt.date:
-        return self.archive_time or self.as_of
+    def snapshot(self) -> dt.datetime:
+        return self.archive_time or dt.datetime.combine(self.as_of, dt.time())
 
     @property
     def report_weeks(self) -> list[dt.date]:

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from worklens import schemas
 from worklens.context import RunContext
 from worklens.plans import archive, backlog, throughput, worklist
 from worklens.session import ensure_checkpoint_dir
@@ -49,8 +48,9 @@ def run_backlog_report(spark: SparkSession, backlog_raw: DataFrame, approver_raw
                        archive_root: str | None = None) -> dict[str, str]:
     """Publish the backlog report; optionally add this run's snapshot to the archive.
 
-    The archive is written before the trends are computed, so they include
-    this run (the reference's order).
+    The snapshot is committed before the trends are computed, so they include
+    this run (the reference's order); of the archive, trends read what this run
+    committed, and sum the counts of earlier snapshots.
     """
     ensure_checkpoint_dir(spark)
     split = materialize(backlog.status_split(backlog.clean_backlog(backlog_raw, buyers, ctx)),
@@ -58,14 +58,11 @@ def run_backlog_report(spark: SparkSession, backlog_raw: DataFrame, approver_raw
     prepared = materialize(worklist.prepared_worklist(approver_raw, ctx), "run-prepared")
     datasets = backlog_datasets(split, prepared, buyers, po_docs, req_docs, ctx)
     if archive_root is not None:
-        b_path, w_path = f"{archive_root}/backlog", f"{archive_root}/worklist"
-        archive.archive_snapshot(split, prepared, ctx, b_path, w_path)
-        history_b = spark.read.schema(schemas.ARCHIVE_BACKLOG).parquet(b_path)
-        history_w = spark.read.schema(schemas.ARCHIVE_WORKLIST).parquet(w_path)
+        archive.archive_snapshot(spark, split, prepared, ctx, archive_root)
         datasets.update({
-            "worklist_trend": archive.worklist_trend(history_w, ctx),
-            "status_trend": archive.status_trend(history_b, ctx),
-            "old_trend_sum": archive.old_trend_sum(history_b, ctx),
+            "worklist_trend": archive.worklist_trend_incremental(spark, archive_root, ctx),
+            "status_trend": archive.status_trend_incremental(spark, archive_root, ctx),
+            "old_trend_sum": archive.old_trend_sum_incremental(spark, archive_root, ctx),
         })
     return publish_datasets(datasets, out_dir)
 

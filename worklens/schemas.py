@@ -81,7 +81,7 @@ REQ_DOC = T.StructType([
     ]))),
 ])
 
-# Archive of backlog snapshots (one table, partitioned by archive_time).
+# First archive layout: ten columns, partitioned by the date of the snapshot.
 ARCHIVE_BACKLOG = T.StructType([
     T.StructField("requisition_id", T.StringType()),
     T.StructField("hold", T.StringType()),
@@ -95,7 +95,6 @@ ARCHIVE_BACKLOG = T.StructType([
     T.StructField("status", T.StringType()),
 ])
 
-# Archive of prepared worklist snapshots.
 TOTAL_MONEY = T.DecimalType(38, 2)
 ARCHIVE_WORKLIST = T.StructType([
     T.StructField("po_no", T.StringType()),
@@ -107,3 +106,28 @@ ARCHIVE_WORKLIST = T.StructType([
     T.StructField("archive_time", T.DateType()),
 ])
 
+# Archive of snapshots: every source column but the last change date, the instant of the
+# run, and the status that tells the three backlog collections apart.
+INSTANT = T.StructField("archive_time", T.TimestampNTZType())
+SNAPSHOT_BACKLOG = T.StructType([
+    *[f for f in BACKLOG.fields if f.name != "last_change_date"],
+    T.StructField("age", T.IntegerType()),
+    T.StructField("category", T.StringType()),
+    INSTANT,
+    T.StructField("status", T.StringType()),
+])
+SNAPSHOT_WORKLIST = T.StructType([
+    *[f for f in WORKLIST.fields if f.name not in ("merch_amt", "line")],
+    T.StructField("sum_of_po_amt", TOTAL_MONEY),
+    T.StructField("age", T.IntegerType()),
+    INSTANT,
+])
+# Mergeable counts per snapshot commit (trends).
+STATUS_SUMMARY = T.StructType([
+    T.StructField("commit", T.StringType()), INSTANT,
+    T.StructField("status", T.StringType()), T.StructField("category", T.StringType()),
+    T.StructField("all", T.LongType()), T.StructField("90plus", T.LongType()),
+])
+WORKLIST_SUMMARY = T.StructType([
+    T.StructField("commit", T.StringType()), INSTANT, T.StructField("cnt", T.LongType()),
+])

@@ -69,11 +69,26 @@ def _orders_with_buyer(spark: SparkSession, sf_dir: str,
              .withColumn("buyer_login", buyer_name(F.col("n_nationkey"), F.col("n_name"))))
 
 
-def backlog_raw(spark: SparkSession, sf_dir: str,
-                orders: DataFrame | None = None) -> DataFrame:
-    """S-01 view: one open requisition per order (``orders`` may be a stream)."""
+def backlog_raw(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None,
+                keep: tuple[str, ...] = (), whole: bool = False) -> DataFrame:
+    """S-01 view: one open requisition per order (``orders`` may be a stream).
+
+    The columns that the reports use; ``whole`` adds the extract's others, which
+    only the archive keeps.  ``keep`` carries extra columns of ``orders`` through.
+    """
     k = F.col("o_orderkey")
+    approved = F.to_date("o_orderdate")
+    others = [
+        F.concat(F.lit("BU"), (k % 7).cast("string")).alias("business_unit"),
+        F.date_sub(approved, (k % 5).cast("int")).alias("requisition_date"),
+        F.substring("o_orderpriority", 1, 1).alias("origin"),
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("requester"),
+        F.date_add(approved, (k % 9).cast("int")).alias("last_change_date"),
+        F.col("buyer_login").alias("buyer_assignment"),
+        F.when(F.col("o_orderstatus") == "P", "Hold").alias("hold_req_process"),
+    ]
     return _orders_with_buyer(spark, sf_dir, orders).select(
+        *keep, *(others if whole else ()),
         k.cast("string").alias("requisition_id"),
         F.when(F.col("o_orderstatus") == "P", "Y").otherwise("N").alias("hold"),
         F.when(F.col("o_orderpriority") == "1-URGENT", "Requested")
@@ -89,14 +104,22 @@ def backlog_raw(spark: SparkSession, sf_dir: str,
 
 
 def approver_raw(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None,
-                 keep: tuple[str, ...] = ()) -> DataFrame:
+                 keep: tuple[str, ...] = (), whole: bool = False) -> DataFrame:
     """S-02 view: one worklist row per line item (repeated (po_no, line) pairs exist).
 
-    ``keep`` carries extra columns of ``lineitem`` through (e.g. an ingest time).
+    ``keep`` carries extra columns of ``lineitem`` through (e.g. an ingest time);
+    ``whole`` adds the extract's columns that only the archive keeps.
     """
     li = lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")
+    others = [
+        F.concat(F.lit("U"), (F.col("l_suppkey") % 50).cast("string")).alias("user"),
+        F.col("l_returnflag").alias("status"),
+        F.concat(F.lit("O"), (F.col("l_partkey") % 20).cast("string")).alias("oper_id"),
+        F.concat(F.lit("UN"), (F.col("l_orderkey") % 7).cast("string")).alias("unit"),
+        F.col("l_linestatus").alias("origin"),
+    ]
     return li.select(
-        *keep,
+        *keep, *(others if whole else ()),
         F.col("l_orderkey").cast("string").alias("po_no"),
         F.col("l_linenumber").alias("line"),
         F.col("l_shipdate").alias("date_time"),

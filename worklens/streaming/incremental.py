@@ -3,8 +3,8 @@
 The reference re-runs a batch twice a day.  The parts that are naturally
 incremental are offered as streams over a file source:
 
-* T-01  new backlog extracts -> archive partitions (``foreachBatch``, idempotent
-        per micro-batch, so a replayed batch after a failure rewrites only itself);
+* T-01  new backlog extracts -> commits of the run's snapshot (``foreachBatch`` with a
+        ledger of deliveries, so neither a repeated extract nor a replayed batch counts twice);
 * T-02  PO count per buyer and Sunday week, additive per micro-batch;
 * T-03  (po_no, line) de-duplication of repeated worklist extracts.
 
@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from worklens import schemas
 from worklens.context import IGNORE_CATEGORY, RunContext
 from worklens.functions.columns import week_start_sunday
 from worklens.operators.core import checked_dimension
 from worklens.plans import archive, backlog
 from worklens.session import scratch_path
-from worklens.sources.io import po_predicate, write_archive
+from worklens.sources.io import po_predicate
+from worklens.sources.snapshots import commits, deliveries, read_if_any, write_snapshot
 
 
 def file_stream(spark: SparkSession, folder: str, name: str,
@@ -56,29 +56,62 @@ def _run(writer, timeout_s: float | None = None) -> None:
             q.stop()
 
 
+def with_source_file(file_stream_df: DataFrame, name: str = "source_file") -> DataFrame:
+    """Add the path of each row's file (the file source's metadata)."""
+    return file_stream_df.withColumn(name, F.col("_metadata.file_path"))
+
+
+def delivery_digests(batch: DataFrame, source: str = "source_file") -> dict[str, str]:
+    """file -> digest of its rows, whatever their order: count, sum and XOR of row hashes.
+
+    One row per delivered file reaches the driver.
+    """
+    cols = [c for c in batch.columns if c != source]
+    rows = batch.select(source, F.xxhash64(*cols).alias("h"), F.xxhash64(F.lit(1), *cols).alias("g"))
+    per_file = rows.groupBy(source).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s"),
+        F.bit_xor("g").alias("x"))
+    return {r[source]: f"{r.n}:{r.s}:{r.x}" for r in per_file.collect()}
+
+
+def archive_delivery(batch: DataFrame, buyers: DataFrame, ctx: RunContext, root: str) -> None:
+    """Commit the files of a micro-batch that the archive has not taken in yet."""
+    spark = batch.sparkSession
+    if "source_file" not in batch.columns:
+        batch = batch.withColumn("source_file", F.lit("batch"))
+    known = deliveries(commits(spark, root))
+    new: dict[str, str] = {}  # digest -> file, the first of equal ones
+    for file, digest in sorted(delivery_digests(batch).items()):
+        if digest not in known:
+            new.setdefault(digest, file)
+    if not new:
+        return
+    rows = batch.where(F.col("source_file").isin(list(new.values()))).drop("source_file")
+    split = backlog.status_split(backlog.clean_backlog(rows, buyers, ctx))
+    write_snapshot(spark, root, ctx.snapshot,
+                   {archive.BACKLOG_TABLE: archive.backlog_snapshot(split, ctx)},
+                   mode="append", taken=sorted(new))
+
+
 def incremental_archive(spark: SparkSession, backlog_stream: DataFrame,
                         buyers: DataFrame, ctx: RunContext,
                         root: str | None = None) -> DataFrame:
-    """T-01: classify each micro-batch of backlog rows and add it to the archive.
-
-    Partitioned by (archive_time, batch_id) with dynamic overwrite: a batch
-    replayed after a failure replaces exactly its own files, and two batches
-    of one snapshot (an extract spread over several files) never overwrite
-    each other.
+    """T-01: classify each new extract and add it to the run's snapshot, each extract once.
+
+    The archive is C-14's: every micro-batch is an ``append`` commit of the run's
+    instant (an extract may arrive as several files).  A commit lists the digests
+    of the files it took in; files whose digest the archive already has, under
+    whatever name, are left out, so neither a second delivery nor a batch that is
+    replayed after a failure adds a row.  ``source_file`` names each row's file
+    (``with_source_file``); without it a micro-batch counts as one delivery.
     """
     root = root or scratch_path(spark, "t01")
-    out, ckpt = f"{root}/archive_backlog", f"{root}/_checkpoint"
+    out, ckpt = f"{root}/archive", f"{root}/_checkpoint"
     dim = checked_dimension(buyers, "buyer", ctx.broadcast_max_rows)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        split = backlog.status_split(backlog.clean_backlog(batch, dim, ctx))
-        rows = archive.backlog_snapshot(split, ctx).withColumn("batch_id", F.lit(batch_id))
-        write_archive(rows, out, ("archive_time", "batch_id"))
-
-    _run(backlog_stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt))
-    schema = T.StructType(schemas.ARCHIVE_BACKLOG.fields
-                          + [T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(schema).parquet(out).select(*archive.BACKLOG_ARCHIVE_COLS)
+    _run(backlog_stream.writeStream.foreachBatch(
+        lambda batch, _: archive_delivery(batch, dim, ctx, out)).option("checkpointLocation", ckpt))
+    return archive.read_backlog_archive(spark, out)
 
 
 def weekly_po_stream(spark: SparkSession, po_stream: DataFrame, buyers: DataFrame,
@@ -109,7 +142,7 @@ def weekly_po_stream(spark: SparkSession, po_stream: DataFrame, buyers: DataFram
                .partitionBy("batch_id").parquet(out))
 
     _run(po_stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt))
-    return (spark.read.schema(schema).parquet(out).groupBy("category", "buyer", "week_start")
+    return (read_if_any(spark, out, schema).groupBy("category", "buyer", "week_start")
                  .agg(F.sum("po_cnt").alias("po_cnt")))
 
 
@@ -139,4 +172,4 @@ def dedupe_stream(spark: SparkSession, worklist_stream: DataFrame,
     keyed = once.select("po_no", "line")
     _run(keyed.writeStream.outputMode("append").format("parquet")
               .option("path", out).option("checkpointLocation", ckpt))
-    return spark.read.schema(keyed.schema).parquet(out)
+    return read_if_any(spark, out, keyed.schema)
