@@ -23,9 +23,9 @@ from worklens.context import (
 )
 from worklens.functions import columns as C
 from worklens.operators import core as O
-from worklens.plans import archive, backlog, worklist
+from worklens.plans import archive, backlog, throughput, worklist
 from worklens.session import scratch_path
-from worklens.sources import io, snapshots
+from worklens.sources import fixtures, io, snapshots
 
 AS_OF = "DATE '2001-07-01'"
 PO_FILTER = "po_date > TIMESTAMP '2001-01-01 00:00:00' and status in ('A', 'C', 'D')"
@@ -93,10 +93,12 @@ def s03_buyer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("s04_read_po", with_ctes(f"select po_no, po_date, buyer, n_lines from po_data "
                                    f"where {PO_FILTER}", "po_data"))
 def s04_read_po(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed PO documents with their nested lines, read with predicate and field list."""
     i = _i(spark, sf_dir)
     path = scratch_path(spark, "s04")
-    io.conform(i.po_data, schemas.PO).write.parquet(path)
-    return io.read_po(spark, path, i.ctx)
+    io.conform(fixtures.po_documents(spark, sf_dir, versions=False), schemas.PO).write.parquet(path)
+    po = io.read_po(spark, path, i.ctx, ["po_no", "po_date", "buyer", "lines"])
+    return po.select("po_no", "po_date", "buyer", throughput.line_count(po).alias("n_lines"))
 
 
 @register("s05_read_archive", with_ctes(
@@ -379,11 +381,13 @@ def j07_positional_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
                 then substr(r.more_info, 1, 50) || '...' else r.more_info end as line1_description,
            cast(try_strptime(substr(r.approved_on, 1, 10), '%Y-%m-%d') as date) as req_approval_date,
            case when r.req_id is null then '' else r.buyer end as req_buyer
-    from po_req q left join req_flat r on r.req_id = q.req_id""", "po_req", "req_flat"))
+    from (select po_no, case when n_lines > 0 then 'R' || po_no end as req_id from po_lines) q
+    left join req_flat r on r.req_id = q.req_id""", "po_lines", "req_flat"))
 def j08_document_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, some of them in two versions; one row per PO."""
     i = _i(spark, sf_dir)
     found = F.col("matched").isNotNull()
-    return worklist.requisition_lookup(i.po_docs, i.req_docs).select(
+    return worklist.requisition_lookup(i.po_documents, i.req_documents).select(
         "po_no", "req_id",
         F.when(found, F.col("req_description")).otherwise(F.lit("")).alias("line1_description"),
         F.when(found, F.col("req_approval_date")).alias("req_approval_date"),
@@ -567,11 +571,17 @@ def o04_sort_age_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.orderBy(F.col("overall_age").desc_nulls_last(), "po_no")
 
 
+_VERSIONS_SQL = """
+    select po_no, {before} from po_lines where cast(po_no as bigint) % 11 = 0"""
+
+
 @register("o05_first_element", with_ctes(
-    "select po_no, concat(' R', po_no, ' ') as req_id_raw from po_req", "po_req"))
+    "select po_no, case when n_lines > 0 then concat(' R', po_no, ' ') end as req_id_raw from po_lines"
+    " union all" + _VERSIONS_SQL.format(before="case when n_lines > 0 then 'R-before' end"), "po_lines"))
 def o05_first_element(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _i(spark, sf_dir).po_docs
-    return d.select("po_no", F.get(F.col("lines"), 0)["requisition"]["req_id"].alias("req_id_raw"))
+    """The first of any number of lines, in every version of the documents."""
+    d = _i(spark, sf_dir).po_documents
+    return d.select("po_no", F.get(F.col("lines")["requisition"]["req_id"], 0).alias("req_id_raw"))
 
 
 # --- U / R: set ops and reshaping -----------------------------------------
@@ -830,22 +840,28 @@ def d20_ordered_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("d22_array_length", with_ctes(
-    "select req_id, case when more_info is null then 0 else 1 end as n_lines from req_flat",
-    "req_flat"))
+    "select po_no, n_lines from po_lines union all"
+    + _VERSIONS_SQL.format(before="least(n_lines, 1)"), "po_lines"))
 def d22_array_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _i(spark, sf_dir).req_docs
-    return r.select("req_id", C.array_length("lines").alias("n_lines"))
+    """Documents of no, one and many lines."""
+    d = _i(spark, sf_dir).po_documents
+    return d.select("po_no", C.array_length(F.col("lines")["line_no"]).cast("bigint").alias("n_lines"))
 
 
 @register("d23_json_path", with_ctes(
-    "select po_no, concat(' R', po_no, ' ') as req_id_raw, "
-    "min(line) as req_line from approver_raw group by po_no", "approver_raw"))
+    "select po_no, case when n_lines > 0 then concat(' R', po_no, ' ') end as req_id_raw, "
+    "first_line as req_line, n_lines from po_lines union all"
+    + _VERSIONS_SQL.format(before="case when n_lines > 0 then 'R-before' end, "
+                                  "case when n_lines > 0 then 0 end, least(n_lines, 1)"), "po_lines"))
 def d23_json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested fields by name (independent of field order in the document)."""
-    d = _i(spark, sf_dir).po_docs
+    """Nested fields by name (independent of field order in the document), from JSON lines."""
+    path = scratch_path(spark, "d23")
+    io.write_jsonl(_i(spark, sf_dir).po_documents.select("po_no", "lines"), path)
+    d = io.read_json_documents(spark, path, schemas.PO_DOC)
     first = F.get(F.col("lines"), 0)
     return d.select("po_no", first["requisition"]["req_id"].alias("req_id_raw"),
-                    first["requisition"]["req_line"].alias("req_line"))
+                    first["requisition"]["req_line"].alias("req_line"),
+                    F.size("lines").cast("bigint").alias("n_lines"))
 
 
 @register("d24_json_parse", with_ctes(

@@ -87,3 +87,17 @@ class Inputs:
     def whole_prepared(self) -> DataFrame:
         return worklist.prepared_worklist(
             fixtures.approver_raw(self.spark, self.sf_dir, whole=True), self.ctx)
+
+    @cached_property
+    def amounts(self) -> DataFrame:
+        """The worklist's amounts and ages, from the whole extract's few columns they need."""
+        return worklist.worklist_amounts(
+            fixtures.approver_raw(self.spark, self.sf_dir, whole=True), self.ctx)
+
+    @cached_property
+    def po_documents(self) -> DataFrame:
+        return fixtures.po_documents(self.spark, self.sf_dir)
+
+    @cached_property
+    def req_documents(self) -> DataFrame:
+        return fixtures.req_documents(self.spark, self.sf_dir)

@@ -74,6 +74,12 @@ def ctes(ctx: RunContext = FIXTURE) -> dict[str, tuple[str, tuple[str, ...]]]:
             select cast(l_orderkey as varchar) as po_no,
                    trim(concat(' R', cast(l_orderkey as varchar), ' ')) as req_id
             from lineitem group by l_orderkey""", ()),
+        # Whole documents, latest version: lines in order of their number.
+        "po_lines": ("""
+            select cast(o_orderkey as varchar) as po_no, o_orderdate as po_date, buyer_login as buyer,
+                   o_orderstatus, min(l_linenumber) as first_line, count(l_orderkey) as n_lines
+            from orders_b left join lineitem on l_orderkey = o_orderkey
+            group by o_orderkey, o_orderdate, buyer_login, o_orderstatus""", ("orders_b",)),
         "req_flat": ("""
             select concat(case when o_orderpriority = '5-LOW' then 'L' else 'R' end,
                           cast(o_orderkey as varchar)) as req_id,

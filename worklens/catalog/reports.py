@@ -175,7 +175,7 @@ def bins_sql(col: str, edges: list[int], names: list[str]) -> str:
              {bins_sql('sum_of_po_amt', [0, 50000, 250000, 500000], worklist.AMOUNT_COLS)}
       from prepared)""", "prepared"))
 def c11_approver_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return worklist.approver_overview(Inputs(spark, sf_dir).prepared)
+    return worklist.approver_overview(Inputs(spark, sf_dir).amounts)
 
 
 DETAIL_SQL = """
@@ -197,7 +197,7 @@ DETAIL_SQL = """
 @register("c12_approver_detail", with_ctes(DETAIL_SQL, "detail"))
 def c12_approver_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = Inputs(spark, sf_dir)
-    return worklist.approver_detail(i.prepared, i.po_docs, i.req_docs, i.ctx)
+    return worklist.approver_detail(i.amounts, i.po_docs, i.req_docs, i.ctx)
 
 
 @register("c13_approver_counts", with_ctes("""
@@ -207,4 +207,4 @@ def c12_approver_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     from prepared""", "prepared"))
 def c13_approver_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = Inputs(spark, sf_dir)
-    return worklist.approver_counts(i.prepared, i.ctx)
+    return worklist.approver_counts(i.amounts, i.ctx)

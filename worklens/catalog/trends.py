@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from worklens import schemas
 from worklens.catalog.inputs import Inputs
 from worklens.catalog.oracle import with_ctes
 from worklens.catalog.registry import ORACLE, register
@@ -12,6 +13,7 @@ from worklens.catalog.run import FIXTURE
 from worklens.plans import archive, throughput
 from worklens.session import scratch_path
 from worklens.sources import fixtures
+from worklens.sources.io import conform
 from worklens.sources.snapshots import write_snapshot
 from worklens.streaming import incremental
 
@@ -47,7 +49,7 @@ def c14_archive_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     where sum_of_po_amt >= 50000 group by archive_time""", "archive_worklist"))
 def c15_worklist_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = Inputs(spark, sf_dir)
-    return archive.worklist_trend(_worklist_history(i), i.ctx)
+    return archive.worklist_trend(archive.worklist_history(i.amounts, i.ctx.history_dates), i.ctx)
 
 
 @register("c16_status_trend", with_ctes("""
@@ -162,6 +164,16 @@ def c19_line_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     return throughput.line_throughput(i.po_data, i.buyers, i.ctx)
 
 
+@register("k19_line_throughput_nested", _weekly_sql("cast(sum(n_lines) as bigint)", "line_cnt"))
+def k19_line_throughput_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C-19 from landed PO documents with nested lines."""
+    i = Inputs(spark, sf_dir)
+    path = scratch_path(spark, "k19")
+    docs = fixtures.po_documents(spark, sf_dir, versions=False)
+    conform(docs, schemas.PO).write.parquet(path)
+    return throughput.line_throughput(spark.read.schema(schemas.PO).parquet(path), i.buyers, i.ctx)
+
+
 @register("c20_throughput_groups", with_ctes(f"""
     select c.category, count(*) as n_buyers,
            {THROUGHPUT_RANK.format(c='c.category')} as category_rank

@@ -60,27 +60,53 @@ def bounded_by_dimension(df: DataFrame, dimension: DataFrame, key: str,
     return F.broadcast(df) if n <= max_rows else df
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+               then: Sequence[str] = (), one_row_per_order: bool = False) -> DataFrame:
     """A-13: the first row per key, all columns kept.
 
-    "First" is the smallest ``order`` tuple; remaining ties are broken by the
-    other columns, so the choice is deterministic.  One ``min`` over a struct
-    whose leading fields are the order key: a declarative aggregate, so Spark
-    aggregates partially before the shuffle and a hot key is reduced map-side
-    instead of being sorted whole in one task.  (A struct buffer makes it a
-    sort-based aggregate, which spills instead of failing under memory pressure.)
+    "First" is the smallest ``order`` tuple, where a null comes after every value;
+    remaining ties are broken by ``then`` and by the other columns, so the choice
+    is deterministic.  Callers that need few columns should pass few: the winner
+    is the same as long as ``order`` and ``then`` are there, and what is not
+    passed is neither read nor shuffled.
+
+    One ``min`` over a struct whose leading fields are the order key: a
+    declarative aggregate, so Spark aggregates partially before the shuffle and a
+    hot key is reduced map-side instead of being sorted whole in one task.  (A
+    struct buffer makes it a sort-based aggregate, which spills instead of failing
+    under memory pressure.)  Where ``order`` is a single column that no two rows of
+    a key share (an extract's row number), ``one_row_per_order`` takes each
+    column by ``min_by``; fixed-width columns then aggregate by hash, unsorted.
     """
     rest = [c for c in df.columns if c not in keys]
-    fields = list(order) + [c for c in rest if c not in order]
-    if any(_unorderable(df.schema[c].dataType) for c in fields):
+    if one_row_per_order:
+        (only,) = order
+        return df.groupBy(*keys).agg(*[F.min_by(c, only).alias(c) for c in rest]).select(*keys, *rest)
+    lead = [x for c in order for x in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c))]
+    fields = [c for c in then if c not in order]
+    fields += [c for c in rest if c not in order and c not in fields]
+    if any(_unorderable(df.schema[c].dataType) for c in [*order, *fields]):
         # Map-typed payloads cannot be compared: order by the key only.
-        first = F.min_by(F.struct(*rest), F.struct(*order))
+        first = F.min_by(F.struct(*rest), F.struct(*lead))
     else:
-        first = F.min(F.struct(*fields))
+        first = F.min(F.struct(*lead, *fields))
     return (df.groupBy(*keys).agg(first.alias("_first"))
               .select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest]))
 
 
+def latest_per_key(df: DataFrame, key: str, version: str) -> DataFrame:
+    """One row per key: the one with the largest version (null: before any), then the largest row.
+
+    An aggregate on the key, so a join on the same key afterwards needs no
+    further exchange; project to the fields needed first.  Without a column
+    ``version`` the largest row counts.
+    """
+    lead = [version] if version in df.columns else []
+    rest = [c for c in df.columns if c not in (key, *lead)]
+    last = df.groupBy(key).agg(F.max(F.struct(*lead, *rest)).alias("_last"))
+    return last.select(key, *[F.col(f"_last.{c}").alias(c) for c in rest])
+
+
 def _unorderable(t: T.DataType) -> bool:
     if isinstance(t, T.MapType):
         return True
@@ -155,12 +181,18 @@ def attach_group_total(df: DataFrame, keys: Sequence[str], col: str, name: str,
     Written as aggregate-then-join rather than ``sum().over(partitionBy(keys))``:
     a window needs every row of a group in one task, so one hot key would load
     one task with a third of the data; the aggregation combines map-side and
-    the join back is split by AQE's skew-join handling.  ``strict`` gives the
-    reference's null-if-any-null sum.
+    the join back is split by AQE's skew-join handling.  The join is null-safe:
+    null is a group like any other, and no ``is not null`` filter is inferred on
+    one side, which would keep Spark from reusing the exchange that both sides
+    start from (``df`` is then computed once).  ``strict`` gives the reference's
+    null-if-any-null sum.
     """
     total = sum_strict(col) if strict else F.sum(col)
-    totals = df.groupBy(*keys).agg(total.alias(name))
-    return df.join(totals, list(keys), "left")
+    own = {k: f"_group_{k}" for k in keys}
+    totals = df.groupBy(*keys).agg(total.alias(name)).withColumnsRenamed(own)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(g)) for k, g in own.items()])
+    rest = [c for c in df.columns if c not in keys]
+    return df.join(totals, same, "left").select(*keys, *rest, name)
 
 
 def zip_single_rows(frames: Sequence[DataFrame]) -> DataFrame:

@@ -81,7 +81,7 @@ def worklist_history(prepared: DataFrame, dates: Sequence[dt.date]) -> DataFrame
     """Worklist archive history: each prepared PO at every snapshot after its entry."""
     return (_replay(prepared, "date_time", dates)
             .withColumn("age", age_days("date_time", F.col("archive_time")))
-            .select(*WORKLIST_ARCHIVE_COLS))
+            .select(*[c for c in WORKLIST_ARCHIVE_COLS if c in prepared.columns or c == "archive_time"]))
 
 
 def worklist_trend(archive: DataFrame, ctx: RunContext) -> DataFrame:

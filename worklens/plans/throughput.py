@@ -24,21 +24,27 @@ from worklens.sources.io import read_po_frame
 
 
 def line_count(po: DataFrame) -> F.Column:
-    """Lines per PO: ``n_lines`` of a normalised source, else the nested array's length."""
-    return F.col("n_lines") if "n_lines" in po.columns else array_length("lines")
+    """Lines per PO: ``n_lines`` where given, else the length of the nested list, else 0.
+
+    The length is that of one field of the lines, so that nothing else of a
+    document's lines is read.
+    """
+    given = [F.col("n_lines")] if "n_lines" in po.columns else []
+    nested = [array_length(F.col("lines")["line_no"])] if "lines" in po.columns else []
+    return F.coalesce(*given, *nested, F.lit(0)).cast("bigint")
 
 
 def weekly(po: DataFrame, buyers: DataFrame, ctx: RunContext) -> DataFrame:
     """C-18 + C-19 shared aggregation: (category, buyer, week) -> po_cnt, line_cnt."""
-    fields = ["po_no", "po_date", "buyer", "n_lines" if "n_lines" in po.columns else "lines"]
-    pos = read_po_frame(po, ctx, fields)
+    counted = po.withColumn("line_count", line_count(po))
+    pos = read_po_frame(counted, ctx, ["po_no", "po_date", "buyer", "line_count"])
     dim = checked_dimension(buyers, "buyer", ctx.broadcast_max_rows)
     kept = (pos.join(dim, "buyer", "inner")
                .where(F.col("category") != IGNORE_CATEGORY)
                .withColumn("week_start", week_start_sunday("po_date")))
     return (kept.groupBy("category", "buyer", "week_start")
                 .agg(F.count(F.lit(1)).alias("po_cnt"),
-                     F.sum(line_count(kept)).cast("bigint").alias("line_cnt")))
+                     F.sum("line_count").cast("bigint").alias("line_cnt")))
 
 
 def _display(agg: DataFrame, measure: str) -> DataFrame:

@@ -51,7 +51,7 @@ BUYERS = T.StructType([
 ])
 
 # Purchase orders (throughput source).  ``lines`` is the nested line list of a
-# document source; a normalised source carries ``n_lines`` instead.
+# document source; a normalised source carries ``n_lines`` instead (or both).
 PO_LINE = T.StructType([
     T.StructField("line_no", T.IntegerType()),
     T.StructField("requisition", T.StructType([
@@ -65,12 +65,16 @@ PO = T.StructType([
     T.StructField("buyer", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("n_lines", T.LongType()),
+    T.StructField("lines", T.ArrayType(PO_LINE)),
 ])
 
-# Documents behind the PO -> requisition lookup.
+# Documents behind the PO -> requisition lookup; of several with one key the one
+# updated last counts.
+UPDATED = T.StructField("updated_at", T.TimestampNTZType())
 PO_DOC = T.StructType([
     T.StructField("po_no", T.StringType()),
     T.StructField("lines", T.ArrayType(PO_LINE)),
+    UPDATED,
 ])
 REQ_DOC = T.StructType([
     T.StructField("req_id", T.StringType()),
@@ -79,6 +83,7 @@ REQ_DOC = T.StructType([
     T.StructField("lines", T.ArrayType(T.StructType([
         T.StructField("more_info", T.StringType()),
     ]))),
+    UPDATED,
 ])
 
 # First archive layout: ten columns, partitioned by the date of the snapshot.

@@ -165,6 +165,48 @@ def po_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                          .alias("lines"))
 
 
+def po_documents(spark: SparkSession, sf_dir: str, versions: bool = True) -> DataFrame:
+    """S-04 / S-06 view: whole PO documents, each with all its lines (none, one or many).
+
+    With ``versions`` every eleventh PO has an older document too, which holds
+    one line of another requisition.
+    """
+    req = F.struct(F.concat(F.lit(" R"), F.col("l_orderkey").cast("string"), F.lit(" ")).alias("req_id"),
+                   F.col("l_linenumber").alias("req_line"))
+    line = F.struct(F.col("l_linenumber").alias("line_no"), req.alias("requisition"))
+    lines = (table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+             .agg(F.array_sort(F.collect_list(line)).alias("lines")))
+    status = (F.when(F.col("o_orderstatus") == "O", "A")
+               .when(F.col("o_orderstatus") == "F", "D").otherwise("X"))
+    o = _orders_with_buyer(spark, sf_dir)
+    docs = o.join(lines, o.o_orderkey == lines.l_orderkey, "left").select(
+        F.col("o_orderkey").cast("string").alias("po_no"), F.col("o_orderdate").alias("po_date"),
+        F.col("buyer_login").alias("buyer"), status.alias("status"),
+        F.coalesce("lines", F.array().cast(lines.schema["lines"].dataType)).alias("lines"),
+        F.col("o_orderdate").alias("updated_at"))
+    if not versions:
+        return docs.drop("updated_at")
+    before = F.transform(F.slice("lines", 1, 1), lambda x: F.struct(
+        x["line_no"].alias("line_no"), F.struct(F.lit("R-before").alias("req_id"),
+                                                F.lit(0).alias("req_line")).alias("requisition")))
+    older = docs.where(F.col("po_no").cast("long") % 11 == 0).withColumn("lines", before).withColumn(
+        "updated_at", F.col("updated_at") - F.expr("interval 1 day"))
+    return docs.unionByName(older)
+
+
+def req_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-06 view: requisition documents of 0, 1 and 3 lines; every thirteenth has an older one too."""
+    docs = req_docs(spark, sf_dir).withColumn("updated_at", F.lit("2001-01-01").cast("timestamp_ntz"))
+    number = F.substring("req_id", 2, 20).cast("long")
+    more = F.concat("lines", F.array_repeat(F.struct(F.lit("further line").alias("more_info")), 2))
+    docs = docs.withColumn("lines", F.when(number % 2 == 0, more).otherwise(F.col("lines")))
+    older = docs.where(number % 13 == 0).select(
+        "req_id", F.lit("1999-09-09T00:00:00Z").alias("approved_on"), F.lit("before").alias("buyer"),
+        F.lit(None).cast(docs.schema["lines"].dataType).alias("lines"),
+        F.lit(None).cast("timestamp_ntz").alias("updated_at"))
+    return docs.unionByName(older)
+
+
 def req_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-06 view: requisition documents.
 

@@ -58,10 +58,10 @@ def po_predicate(ctx: RunContext) -> F.Column:
 
 def read_po(spark: SparkSession, path: str, ctx: RunContext,
             fields: Sequence[str] = ("po_no", "po_date", "buyer", "n_lines")) -> DataFrame:
-    """S-04 + P-09: POs with the store-side predicate and field list.
+    """S-04 + P-09: POs with the store-side predicate and field list (``lines``: nested documents).
 
     Both reach the Parquet scan (PushedFilters / ReadSchema) instead of being
-    evaluated after a full read.
+    evaluated after a full read; of nested lines only the fields used later are read.
     """
     return read_po_frame(spark.read.schema(schemas.PO).parquet(path), ctx, fields)
 
