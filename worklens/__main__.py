@@ -25,6 +25,7 @@ from worklens.context import RunContext
 from worklens.plans import report
 from worklens.session import apply_settings, cluster_settings
 from worklens.sources import io
+from worklens.sources.landing import quarantine
 
 
 def _fmt(path: str) -> str:
@@ -57,6 +58,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--archive-time", type=dt.datetime.fromisoformat,
                     help="instant of this run's snapshot, e.g. 2024-05-06T08:15 "
                          "(default: midnight of as-of); a rerun of it replaces the snapshot")
+    ap.add_argument("--quarantine",
+                    help="folder for rows of the CSV extracts that do not parse")
     ap.add_argument("--tune-for-bytes", type=int,
                     help="size shuffle partitions for this many input bytes")
     a = ap.parse_args(argv)
@@ -69,11 +72,17 @@ def main(argv: list[str] | None = None) -> int:
     if a.tune_for_bytes:
         cores = spark.sparkContext.defaultParallelism
         apply_settings(spark, cluster_settings(a.tune_for_bytes, cores))
+    landed = {name: land(spark, path) for name, path, land in (
+        ("backlog", a.backlog, io.land_backlog), ("worklist", a.worklist, io.land_worklist))
+        if _fmt(path) == "csv"}
+    if a.quarantine:
+        for name, extract in landed.items():
+            quarantine(extract, f"{a.quarantine.rstrip('/')}/{name}")
     out = a.out.rstrip("/")
     paths = report.run_backlog_report(
         spark,
-        _read(spark, a.backlog, schemas.BACKLOG),
-        _read(spark, a.worklist, schemas.WORKLIST),
+        landed["backlog"].rows if "backlog" in landed else _read(spark, a.backlog, schemas.BACKLOG),
+        landed["worklist"].rows if "worklist" in landed else _read(spark, a.worklist, schemas.WORKLIST),
         _read(spark, a.buyers, schemas.BUYERS),
         _read(spark, a.po_docs, schemas.PO_DOC),
         _read(spark, a.req_docs, schemas.REQ_DOC),
@@ -82,7 +91,7 @@ def main(argv: list[str] | None = None) -> int:
         paths.update(report.run_throughput_report(_read(spark, a.po, schemas.PO),
                                                   _read(spark, a.buyers, schemas.BUYERS),
                                                   ctx, f"{out}/throughput"))
-    print(json.dumps(paths, indent=1))
+    print(json.dumps({**paths, **{f"{k}_extract": x.counts.get for k, x in landed.items()}}, indent=1))
     return 0
 
 

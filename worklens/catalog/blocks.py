@@ -11,6 +11,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from worklens import schemas
 from worklens.catalog.inputs import Inputs
@@ -26,6 +27,7 @@ from worklens.operators import core as O
 from worklens.plans import archive, backlog, throughput, worklist
 from worklens.session import scratch_path
 from worklens.sources import fixtures, io, snapshots
+from worklens.sources.landing import REJECTS, quarantine
 
 AS_OF = "DATE '2001-07-01'"
 PO_FILTER = "po_date > TIMESTAMP '2001-01-01 00:00:00' and status in ('A', 'C', 'D')"
@@ -67,21 +69,69 @@ _WIDE_EXTRA = {
 # --- S: sources and sinks -------------------------------------------------
 
 
+def _as_extract(df: DataFrame, schema, headers: dict[str, str]) -> DataFrame:
+    """A table as people export it: their headers, US dates, dollars; columns in another order."""
+    def shown(f):
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DecimalType):
+            return F.concat(F.lit("$"), F.format_number(c, 2))
+        if isinstance(f.dataType, T.DateType):
+            return F.date_format(c, "M/d/yyyy")
+        if isinstance(f.dataType, T.TimestampNTZType):
+            return F.date_format(c, "M/d/yyyy H:mm:ss")
+        return c.cast("string")
+    whole = io.conform(df, schema)
+    return whole.select(*[shown(f).alias(headers.get(f.name, f.name)) for f in reversed(schema.fields)])
+
+
+BACKLOG_HEADERS = {"business_unit": "Business Unit", "requisition_id": "Requisition ID",
+                   "hold": "Hold From Further Processing", "date_of_approval": "Date of Approval",
+                   "out_to_bid": "Out-to-Bid", "req_total": "Req Total", "buyer": "Buyer"}
+WORKLIST_HEADERS = {"oper_id": "OperID", "date_time": "Date/Time", "po_no": "PO No.",
+                    "merch_amt": "Merch_Amt", "line": "Line", "user": "User"}
+
+
+def _landed_backlog(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The backlog as a CSV extract, with copies of some rows whose date or amount is no such thing."""
+    path = scratch_path(spark, name)
+    rows = _as_extract(_i(spark, sf_dir).backlog_raw, schemas.BACKLOG, BACKLOG_HEADERS)
+    key = F.col("Requisition ID").cast("long")
+    no_date = rows.where(key % 50 == 0).withColumn("Date of Approval", F.lit("soon"))
+    no_amount = rows.where(key % 60 == 0).withColumn("Req Total", F.lit("$1.2.3")).withColumn(
+        "Requisition ID", F.lit(" "))
+    rows.unionByName(no_date).unionByName(no_amount).write.option("header", "true").csv(path)
+    return path
+
+
 @register("s01_read_backlog", with_ctes(f"select {', '.join(BACKLOG_COLS)} from backlog_raw",
                                         "backlog_raw"))
 def s01_read_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the backlog as a CSV extract in the reference layout, read it with its schema."""
-    path = scratch_path(spark, "s01")
-    io.conform(_i(spark, sf_dir).backlog_raw, schemas.BACKLOG).write.option("header", "true").csv(path)
-    return io.read_backlog(spark, path, fmt="csv", columns=BACKLOG_COLS)
+    """A CSV extract with its own headers, formats and broken rows; every good row is read."""
+    return io.read_backlog(spark, _landed_backlog(spark, sf_dir, "s01"), fmt="csv", columns=BACKLOG_COLS)
+
+
+@register("k01_quarantined_rows", with_ctes("""
+    select 'date_of_approval' as errors, count(*) as n from backlog_raw
+    where cast(requisition_id as bigint) % 50 = 0
+    union all
+    select 'requisition_id is missing,req_total' as errors, count(*) as n from backlog_raw
+    where cast(requisition_id as bigint) % 60 = 0""", "backlog_raw"))
+def k01_quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows kept aside of that extract, by reason."""
+    landed = io.land_backlog(spark, _landed_backlog(spark, sf_dir, "k01"))
+    out = scratch_path(spark, "k01-aside")
+    quarantine(landed, out)
+    kept = spark.read.schema(REJECTS).parquet(out)
+    return kept.groupBy(F.array_join("errors", ",").alias("errors")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("s02_read_worklist", with_ctes(f"select {', '.join(WORKLIST_COLS)} from approver_raw",
                                          "approver_raw"))
 def s02_read_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "s02")
-    io.conform(_i(spark, sf_dir).approver_raw, schemas.WORKLIST).write.parquet(path)
-    return io.read_worklist(spark, path, columns=WORKLIST_COLS)
+    rows = _as_extract(_i(spark, sf_dir).approver_raw, schemas.WORKLIST, WORKLIST_HEADERS)
+    rows.write.option("header", "true").csv(path)
+    return io.read_worklist(spark, path, fmt="csv", columns=WORKLIST_COLS)
 
 
 @register("s03_buyer_dim", with_ctes("select category, buyer from buyers_cat", "buyers_cat"))

@@ -39,7 +39,7 @@ WORKLIST = T.StructType([
     T.StructField("origin", T.StringType()),
     T.StructField("merch_amt", MONEY),
     T.StructField("line", T.IntegerType()),
-    # Tie breakers standing in for extract order (keep-first is defined by them).
+    # Tie breakers of repeated lines, if given: landed extracts get their row's place as tie1.
     T.StructField("tie1", T.LongType()),
     T.StructField("tie2", T.LongType()),
 ])

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from worklens import schemas
 from worklens.context import RunContext
+from worklens.sources.landing import Landed, land_csv
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType,
@@ -29,15 +30,32 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType,
     return df.select(*columns) if columns else df
 
 
+def land_backlog(spark: SparkSession, path: str) -> Landed:
+    """S-01 from CSV: rows, rejects and counts (title row already removed when landed)."""
+    return land_csv(spark, path, schemas.BACKLOG, required=("requisition_id",))
+
+
+def land_worklist(spark: SparkSession, path: str) -> Landed:
+    """S-02 from CSV: as :func:`land_backlog`; the place in the extract breaks ties of repeated lines."""
+    return land_csv(spark, path, schemas.WORKLIST, required=("po_no", "line"), optional=("tie1", "tie2"),
+                    position="tie1")
+
+
 def read_backlog(spark: SparkSession, path: str, fmt: str = "parquet",
                  columns: Sequence[str] | None = None) -> DataFrame:
-    """S-01: the requisition backlog extract (title row already removed when landed)."""
+    """S-01: the requisition backlog extract; of CSV the rows that parse (:func:`land_backlog`)."""
+    if fmt == "csv":
+        rows = land_backlog(spark, path).rows
+        return rows.select(*columns) if columns else rows
     return read_table(spark, path, schemas.BACKLOG, fmt, columns)
 
 
 def read_worklist(spark: SparkSession, path: str, fmt: str = "parquet",
                   columns: Sequence[str] | None = None) -> DataFrame:
-    """S-02: the approver worklist extract."""
+    """S-02: the approver worklist extract; of CSV the rows that parse (:func:`land_worklist`)."""
+    if fmt == "csv":
+        rows = land_worklist(spark, path).rows
+        return rows.select(*columns) if columns else rows
     return read_table(spark, path, schemas.WORKLIST, fmt, columns)
 
 
