@@ -174,7 +174,12 @@ def status_chart(split: DataFrame, buyers: DataFrame,
     is added; idle buyers keep null counts (Q4).  The counts have one row per
     dimension buyer at most, so they are broadcast when the dimension may be.
     """
-    counts = bounded_by_dimension(status_counts(split, ["buyer"]), buyers, "buyer", max_rows)
+    return _status_chart(status_counts(split, ["buyer"]), buyers, max_rows)
+
+
+def _status_chart(counts: DataFrame, buyers: DataFrame,
+                  max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    counts = bounded_by_dimension(counts, buyers, "buyer", max_rows)
     wide = buyers.join(counts, "buyer", "left")
     long = unpivot_counts(wide, ["buyer", "category"], CHART_TYPES, "type", "count")
     return long.select(
@@ -202,8 +207,63 @@ def old_table(split: DataFrame, ctx: RunContext) -> DataFrame:
 
 def old_chart(split: DataFrame, ctx: RunContext) -> DataFrame:
     """C-08: long form of the 90+ table for the chart."""
-    t = old_table(split, ctx)
+    return _old_chart(old_table(split, ctx))
+
+
+def _old_chart(t: DataFrame) -> DataFrame:
     long = unpivot_counts(t, ["buyer", "category", "category_rank"], CHART_TYPES,
                           "type", "count")
     return long.select(abbreviate("buyer").alias("buyer"), F.col("buyer").alias("buyer_full"),
                        "category", "category_rank", "type", "count")
+
+
+# One pass for a whole run: every table above is a projection of one aggregate per buyer.
+
+STATUS_MEASURES = {PLAIN: "actionable_cnt", HOLD: "on_hold_cnt", OUT_TO_BID: "out_to_bid_cnt"}
+
+
+def buyer_summary(split: DataFrame, ctx: RunContext) -> DataFrame:
+    """All counts of C-03 .. C-09 per (category_dim, category, buyer), in one aggregation."""
+    status, old = F.col("status"), F.col("age") >= ctx.min_age_days
+
+    def bucket(plain: Column) -> Column:
+        return F.when(status == PLAIN, plain.cast("string")).otherwise(status)
+
+    age, amount = (bucket(fixed_bins(c, edges)) for c, edges in
+                   (("age", BACKLOG_AGE_EDGES), ("req_total", BACKLOG_AMOUNT_EDGES)))
+    return (split.where(status.isNotNull()).groupBy("category_dim", "category", "buyer").agg(
+        *[F.count_if(age == v).alias(f"age_{name}") for v, name in AGE_BUCKETS],
+        *[F.count_if(old & (amount == v)).alias(f"amount_{name}") for v, name in AMOUNT_BUCKETS],
+        F.count_if(old).alias("old_rows"),
+        *[F.count_if(status == s).alias(f"all_{name}") for s, name in STATUS_MEASURES.items()],
+        *[F.count_if(old & (status == s)).alias(f"old_{name}") for s, name in STATUS_MEASURES.items()]))
+
+
+def _summary_table(summary: DataFrame, kind: str, measures: list[str]) -> DataFrame:
+    t = summary.select(F.col("category_dim").alias("category"), "buyer",
+                       *[F.col(f"{kind}_{m}").alias(m) for m in measures])
+    return t.withColumn("total", row_sum(measures))
+
+
+def summary_datasets(summary: DataFrame, buyers: DataFrame) -> dict[str, DataFrame]:
+    """C-03 .. C-09 of a run from its ``buyer_summary``: no fact row is read again."""
+    age_measures, amount_measures = ([n for _, n in b] for b in (AGE_BUCKETS, AMOUNT_BUCKETS))
+    shown = list(STATUS_MEASURES.values())
+    old = summary.where("old_rows > 0")
+    age = _summary_table(summary, "age", age_measures)
+    amount = _summary_table(old, "amount", amount_measures)
+    olds = (old.select("category", "buyer", *[F.col(f"old_{m}").alias(m) for m in shown])
+               .withColumn("category_rank", category_rank("category", BACKLOG_LEVELS)))
+    counts = summary.select("buyer", *[F.col(f"all_{m}").alias(m) for m in shown])
+    return {
+        "age_table": age,
+        "age_report": report_rows(age, [*age_measures, "total"]),
+        "age_report_groups": report_groups(age),
+        "status_chart": _status_chart(counts, buyers),
+        "hidden_buyers": hidden_buyers(age, buyers),
+        "old_table": olds,
+        "old_chart": _old_chart(olds),
+        "amount_table": amount,
+        "amount_report": report_rows(amount, [*amount_measures, "total"]),
+        "amount_report_groups": report_groups(amount),
+    }

@@ -2,40 +2,74 @@
 
 The reference renders two reports per run.  Here a run publishes each report
 dataset as a table under an output folder.  The two intermediates that many
-datasets start from (the classified backlog and the prepared worklist) are
-written once as Parquet into the shared checkpoint folder and read back
-(``io.materialize``): later datasets read them instead of re-scanning and
-re-shuffling the extracts, their lineage is cut, and a lost executor costs a
-re-read of those files rather than a recomputation from the extracts.
+datasets start from (the classified backlog and the prepared worklist), and the
+two small aggregates that most are projections of, are written once as Parquet
+into the shared checkpoint folder and read back (``io.materialize``): later
+datasets read them instead of re-scanning and re-shuffling the extracts, their
+lineage is cut, and a lost executor costs a re-read of those files rather than a
+recomputation from the extracts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from worklens.context import RunContext
 from worklens.plans import archive, backlog, throughput, worklist
 from worklens.session import ensure_checkpoint_dir
 from worklens.sources.io import materialize, publish_datasets
 
+#: Row order in which a dataset is published (a leading "-": descending); nulls come last.
+DISPLAY_ORDER = {
+    "age_table": ("category", "buyer"),
+    "age_report": ("category_rank", "row_rank", "buyer_full"),
+    "age_report_groups": ("category_rank",),
+    "status_chart": ("category_rank", "-buyer_full", "type"),
+    "hidden_buyers": ("buyer_full",),
+    "old_table": ("category_rank", "buyer"),
+    "old_chart": ("category_rank", "-buyer_full", "type"),
+    "amount_table": ("category", "buyer"),
+    "amount_report": ("category_rank", "row_rank", "buyer_full"),
+    "amount_report_groups": ("category_rank",),
+    "approver_detail": ("-overall_age", "po_no"),
+    "worklist_trend": ("archive_time",),
+    "status_trend": ("scope", "status", "archive_time", "category"),
+    "old_trend_sum": ("archive_time", "category"),
+    "po_throughput": ("category_rank", "buyer_full", "week_start"),
+    "line_throughput": ("category_rank", "buyer_full", "week_start"),
+    "po_throughput_wide": ("category_rank", "buyer_full"),
+    "line_throughput_wide": ("category_rank", "buyer_full"),
+    "throughput_groups": ("category_rank",),
+}
+
+
+def row_rank() -> Column:
+    """Within a category the buyers, then their subtotal; the total's category comes last."""
+    return F.when(F.col("row_kind") == "buyer", 1).when(F.col("row_kind") == "subtotal", 2).otherwise(3)
+
+
+def sort_key(name: str) -> Column:
+    c = row_rank() if name == "row_rank" else F.col(name.removeprefix("-"))
+    return c.desc_nulls_last() if name.startswith("-") else c.asc_nulls_last()
+
+
+def in_display_order(name: str, df: DataFrame) -> DataFrame:
+    """O-01 .. O-04: a dataset in the order it is shown (range partitions, each sorted)."""
+    order = DISPLAY_ORDER.get(name)
+    return df.orderBy(*map(sort_key, order)) if order else df
+
 
 def backlog_datasets(split: DataFrame, prepared: DataFrame, buyers: DataFrame,
-                     po_docs: DataFrame, req_docs: DataFrame,
-                     ctx: RunContext) -> dict[str, DataFrame]:
-    """All datasets of the backlog report (C-03 .. C-13), as lazy plans."""
-    age = backlog.age_table(split)
-    amounts = backlog.amount_table(split, ctx)
+                     po_docs: DataFrame, req_docs: DataFrame, ctx: RunContext,
+                     summary: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All datasets of the backlog report (C-03 .. C-13), as lazy plans.
+
+    Those of the backlog are projections of one aggregate per buyer, ``summary``.
+    """
+    summary = backlog.buyer_summary(split, ctx) if summary is None else summary
     return {
-        "age_table": age,
-        "age_report": backlog.age_report(split),
-        "age_report_groups": backlog.report_groups(age),
-        "status_chart": backlog.status_chart(split, buyers),
-        "hidden_buyers": backlog.hidden_buyers(age, buyers),
-        "old_table": backlog.old_table(split, ctx),
-        "old_chart": backlog.old_chart(split, ctx),
-        "amount_table": amounts,
-        "amount_report": backlog.amount_report(split, ctx),
-        "amount_report_groups": backlog.report_groups(amounts),
+        **backlog.summary_datasets(summary, buyers),
         "approver_overview": worklist.approver_overview(prepared),
         "approver_detail": worklist.approver_detail(prepared, po_docs, req_docs, ctx),
         "approver_counts": worklist.approver_counts(prepared, ctx),
@@ -56,7 +90,8 @@ def run_backlog_report(spark: SparkSession, backlog_raw: DataFrame, approver_raw
     split = materialize(backlog.status_split(backlog.clean_backlog(backlog_raw, buyers, ctx)),
                         "run-split")
     prepared = materialize(worklist.prepared_worklist(approver_raw, ctx), "run-prepared")
-    datasets = backlog_datasets(split, prepared, buyers, po_docs, req_docs, ctx)
+    summary = materialize(backlog.buyer_summary(split, ctx), "run-summary")
+    datasets = backlog_datasets(split, prepared, buyers, po_docs, req_docs, ctx, summary)
     if archive_root is not None:
         archive.archive_snapshot(spark, split, prepared, ctx, archive_root)
         datasets.update({
@@ -64,20 +99,12 @@ def run_backlog_report(spark: SparkSession, backlog_raw: DataFrame, approver_raw
             "status_trend": archive.status_trend_incremental(spark, archive_root, ctx),
             "old_trend_sum": archive.old_trend_sum_incremental(spark, archive_root, ctx),
         })
-    return publish_datasets(datasets, out_dir)
+    return publish_datasets({k: in_display_order(k, d) for k, d in datasets.items()}, out_dir)
 
 
 def run_throughput_report(po: DataFrame, buyers: DataFrame, ctx: RunContext,
                           out_dir: str) -> dict[str, str]:
     """Publish the throughput report (C-18 .. C-20), long and wide forms."""
-    weeks = ctx.report_weeks
-    counts = throughput.po_throughput(po, buyers, ctx)
-    lines = throughput.line_throughput(po, buyers, ctx)
-    return publish_datasets({
-        "po_throughput": counts,
-        "line_throughput": lines,
-        "po_throughput_wide": throughput.wide(counts, "po_cnt", weeks),
-        "line_throughput_wide": throughput.wide(lines, "line_cnt", weeks),
-        "throughput_groups": throughput.throughput_groups(po, buyers, ctx),
-    }, out_dir)
-
+    by_week = materialize(throughput.weekly(po, buyers, ctx), "run-weekly")
+    return publish_datasets({k: in_display_order(k, d)
+                             for k, d in throughput.datasets(by_week, ctx).items()}, out_dir)

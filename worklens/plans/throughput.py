@@ -100,3 +100,15 @@ def throughput_groups(po: DataFrame, buyers: DataFrame, ctx: RunContext) -> Data
                   .where(F.col("category") != IGNORE_CATEGORY)
                   .groupBy("category").agg(F.count(F.lit(1)).alias("n_buyers"))
                   .withColumn("category_rank", category_rank("category", THROUGHPUT_LEVELS)))
+
+
+def datasets(by_week: DataFrame, ctx: RunContext) -> dict[str, DataFrame]:
+    """C-18 .. C-20 of a run from its :func:`weekly` counts: the POs are read once."""
+    counts, lines = _display(by_week, "po_cnt"), _display(by_week, "line_cnt")
+    groups = (by_week.select("category", "buyer").distinct()
+              .groupBy("category").agg(F.count(F.lit(1)).alias("n_buyers"))
+              .withColumn("category_rank", category_rank("category", THROUGHPUT_LEVELS)))
+    return {"po_throughput": counts, "line_throughput": lines,
+            "po_throughput_wide": wide(counts, "po_cnt", ctx.report_weeks),
+            "line_throughput_wide": wide(lines, "line_cnt", ctx.report_weeks),
+            "throughput_groups": groups}

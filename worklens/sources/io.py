@@ -163,6 +163,15 @@ def publish_datasets(datasets: Mapping[str, DataFrame], out_dir: str,
     return paths
 
 
+def read_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """A published Parquet dataset in the order it was published in.
+
+    A global sort writes one file per range, named in range order, each sorted:
+    the place in the dataset is (file name, row number).
+    """
+    return spark.read.parquet(path).orderBy("_metadata.file_name", "_metadata.row_index")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
