@@ -227,3 +227,27 @@ def test_a_history_needs_dates(spark, sf_small):
         archive.backlog_history(i.split, ())
     with pytest.raises(ValueError):
         archive.worklist_history(i.prepared, ())
+
+
+# expiring de-duplication -------------------------------------------------------------------
+
+def test_keys_expire_after_their_last_listing(spark):
+    """Ten days of re-listing give each key once; one that is absent leaves the state."""
+    folder, root = scratch_path(spark, "listings"), scratch_path(spark, "t03-expiry")
+    schema = "po_no string, line int, listed timestamp"
+
+    def day(n, *pos):
+        rows = [(po, 1, dt.datetime(2001, 6, n, 8, 0)) for po in pos] * 2
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{n:02d}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(folder)
+        got = incremental.dedupe_stream(spark, stream, "listed", "3 days", root=root)
+        state = spark.read.format("statestore").load(f"{root}/_checkpoint")
+        return sorted(r.po_no for r in got.collect()), {r.k for r in state.select(F.col("key.po_no").alias("k")).collect()}
+
+    for n in range(1, 11):
+        pos = ["A", "B"] if n <= 3 else ["A", "C"]
+        emitted, state = day(n, *pos)
+    assert emitted == ["A", "B", "C"]        # A was listed for ten days, longer than three
+    assert state == {"A", "C"}               # B was last listed on the third
+    emitted, state = day(11, "A", "B")
+    assert emitted == ["A", "B", "B", "C"] and state == {"A", "B", "C"}

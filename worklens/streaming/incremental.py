@@ -15,9 +15,13 @@ sinks live under the session's shared checkpoint folder.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from worklens.context import IGNORE_CATEGORY, RunContext
 from worklens.functions.columns import week_start_sunday
@@ -151,25 +155,53 @@ def with_ingest_time(file_stream_df: DataFrame, name: str = "ingest_ts") -> Data
     return file_stream_df.withColumn(name, F.col("_metadata.file_modification_time"))
 
 
+def first_listings(stream: DataFrame, keys: Sequence[str], event_time: str, absent: str) -> DataFrame:
+    """Each key when it is first listed; forgotten once it was not listed for ``absent``.
+
+    The state of a key is its last listing.  The watermark trails the newest
+    listing by ``absent``, so a key expires when it passes the key's last one: a
+    key that every extract lists again stays, however long, and the state holds
+    the keys of the last ``absent`` only.  Rows later than that are dropped by the
+    watermark.  A key that comes back after its absence counts as new.
+    """
+    key_fields = [stream.schema[k] for k in keys]
+
+    def listed(key, frames, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen = max(int(f["_ms"].max()) for f in frames)
+        known = state.get[0] if state.exists else None
+        state.update((seen if known is None else max(seen, known),))
+        state.setTimeoutTimestamp(state.get[0] + 1)
+        if known is None:
+            yield pd.DataFrame([key], columns=list(keys))
+
+    rows = stream.select(*keys, event_time, F.unix_millis(event_time).alias("_ms")).withWatermark(
+        event_time, absent)
+    return rows.groupBy(*keys).applyInPandasWithState(
+        listed, T.StructType(key_fields), T.StructType([T.StructField("last_ms", T.LongType())]),
+        "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def dedupe_stream(spark: SparkSession, worklist_stream: DataFrame,
-                  event_time: str | None = None, delay: str = "60 days",
+                  event_time: str | None = None, absent: str = "60 days",
                   root: str | None = None) -> DataFrame:
     """T-03: one row per (po_no, line) across repeated extracts, however long a line is listed.
 
-    The state holds every key seen; ``session.cluster_settings`` keeps it in
-    RocksDB.  Where lines are known to leave the worklist, ``event_time`` (the
-    arrival of an extract, see ``with_ingest_time``) bounds it: a key listed for
-    longer than ``delay`` is then emitted again.  Which repeat survives is not
-    defined, so only the keys are returned.
+    Without ``event_time`` the state holds every key seen (in RocksDB with
+    ``session.cluster_settings``).  With it (a timestamp, e.g. the arrival of an
+    extract, see ``with_ingest_time``) keys that were not listed for ``absent``
+    leave the state (:func:`first_listings`); one that returns later is new.
+    Which repeat survives is not defined, so only the keys are returned.
     """
     root = root or scratch_path(spark, "t03")
     out, ckpt = f"{root}/lines", f"{root}/_checkpoint"
+    keys = ["po_no", "line"]
     if event_time is None:
-        once = worklist_stream.dropDuplicates(["po_no", "line"])
+        keyed = worklist_stream.dropDuplicates(keys).select(*keys)
     else:
-        once = worklist_stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(
-            ["po_no", "line"])
-    keyed = once.select("po_no", "line")
+        keyed = first_listings(worklist_stream, keys, event_time, absent)
     _run(keyed.writeStream.outputMode("append").format("parquet")
               .option("path", out).option("checkpointLocation", ckpt))
     return read_if_any(spark, out, keyed.schema)
