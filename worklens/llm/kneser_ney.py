@@ -39,7 +39,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -181,18 +180,22 @@ class Model:
 
 
 def load(model: DataFrame) -> dict[str, Model]:
-    """The table on the driver; only called below BROADCAST_ROWS rows."""
-    t = model.toArrow().combine_chunks()
-    out = {}
-    for lang in t["lang"].unique().to_pylist():
-        rows, tables = t.filter(pc.equal(t["lang"], lang)).drop_columns("lang"), {}
-        for kind in rows["kind"].unique().to_pylist():
-            part = rows.filter(pc.equal(rows["kind"], kind))
-            k, v = part["k"].to_numpy(), part["v"].to_numpy()
-            order = np.argsort(k, kind="stable")
-            tables[kind] = (k[order], v[order].astype(np.float32))
-        out[lang] = Model(tables)
-    return out
+    """The table on the driver; only called below BROADCAST_ROWS rows.
+
+    Spark sorts it; the driver gets 16 bytes a row (a table number, key and value)
+    and cuts the two arrays where the number changes.
+    """
+    names = [(r.lang, r.kind) for r in model.select("lang", "kind").distinct().collect()]
+    tables = model.sparkSession.createDataFrame(
+        [(*n, i) for i, n in enumerate(names)], "lang string, kind string, t int")
+    rows = model.join(F.broadcast(tables), ["lang", "kind"]).select(
+        "t", "k", F.col("v").cast("float")).orderBy("t", "k").toArrow()
+    t, k, v = (rows.column(c).to_numpy() for c in ("t", "k", "v"))
+    out: dict[str, dict] = {}
+    for i, (lang, kind) in enumerate(names):
+        lo, hi = np.searchsorted(t, [i, i + 1])
+        out.setdefault(lang, {})[kind] = (k[lo:hi], v[lo:hi])
+    return {lang: Model(x) for lang, x in out.items()}
 
 
 def score_broadcast(docs: DataFrame, model: DataFrame | Broadcast,
@@ -203,34 +206,50 @@ def score_broadcast(docs: DataFrame, model: DataFrame | Broadcast,
         "log_prob", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, memos = shared.value, {}
-        for b in batches:
-            langs = b.column("lang").to_pylist()
-            texts = [t.split() for t in utf8_column(b, "text")]
-            for lang in set(langs) & set(models):  # words not met before, all at once
-                memo = memos.setdefault(lang, {})
-                if len(memo) > MEMO_WORDS:
-                    memo.clear()
-                new = list({w for la, t in zip(langs, texts, strict=True) if la == lang for w in t}
-                           - memo.keys())
-                for i in range(0, len(new), 50_000):
-                    part = new[i:i + 50_000]
-                    g, size = grams(part)
-                    lp = models[lang].log_probs(g)
-                    sums = np.add.reduceat(lp, np.cumsum(size) - size)
-                    memo.update(zip(part, zip(sums.tolist(), size.tolist())))
-            chars, logs = [], []
-            for lang, words in zip(langs, texts, strict=True):
-                if lang in models and words:
-                    got = np.array(list(map(memos[lang].__getitem__, words)))
-                    logs.append(float(got[:, 0].sum()))
-                    chars.append(int(got[:, 1].sum()))
-                else:
-                    logs.append(None)
-                    chars.append(0)
-            yield pa.RecordBatch.from_arrays(
-                [*map(b.column, carry), pa.array(chars, pa.int64()),
-                 pa.array(logs, pa.float64())], names=schema.names)
+        models = shared.value
+        # word -> place in two arrays, over all languages together: MEMO_WORDS in a worker
+        memos, sums, sizes, used = {}, np.zeros(MEMO_WORDS), np.zeros(MEMO_WORDS, np.int32), 0
+
+        def rate(lang: str, words: list[bytes]) -> None:
+            nonlocal used
+            g, size = grams(words)
+            lp = np.add.reduceat(models[lang].log_probs(g), np.cumsum(size) - size)
+            sums[used:used + len(words)], sizes[used:used + len(words)] = lp, size
+            memos.setdefault(lang, {}).update(zip(words, range(used, used + len(words))))
+            used += len(words)
+
+        def score(lang: str, words: list[bytes]) -> tuple[float, int]:
+            nonlocal used
+            total, n = 0.0, 0
+            for i in range(0, len(words), 50_000):
+                part = words[i:i + 50_000]
+                new = list(dict.fromkeys(w for w in part if w not in memos.get(lang, ())))
+                if used + len(new) > MEMO_WORDS:
+                    memos.clear()
+                    used, new = 0, list(dict.fromkeys(part))
+                if new:
+                    rate(lang, new)
+                at = np.fromiter(map(memos[lang].__getitem__, part), np.int64, len(part))
+                total, n = total + float(sums[at].sum()), n + int(sizes[at].sum())
+            return total, n
+
+        for whole in batches:
+            for i in range(0, whole.num_rows, 500):  # bounds the texts split at once
+                b = whole.slice(i, 500)
+                langs = b.column("lang").to_pylist()
+                texts = [t.split() for t in utf8_column(b, "text")]
+                for lang in set(langs) & set(models):  # words not met before, all at once
+                    known = memos.get(lang, {})
+                    new = list({w for la, t in zip(langs, texts, strict=True) if la == lang for w in t}
+                               - known.keys())
+                    for j in range(0, len(new), 50_000):
+                        if used + len(new[j:j + 50_000]) <= MEMO_WORDS:
+                            rate(lang, new[j:j + 50_000])
+                rated = [score(lang, words) if lang in models and words else (None, 0)
+                         for lang, words in zip(langs, texts, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*map(b.column, carry), pa.array([n for _, n in rated], pa.int64()),
+                     pa.array([x for x, _ in rated], pa.float64())], names=schema.names)
     return docs.mapInArrow(run, schema)
 
 
