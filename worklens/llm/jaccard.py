@@ -34,6 +34,10 @@ step 1 or passed on by step 2: no link between different sets is lost.
 Documents with equal sets are one class beforehand and are represented by the
 smallest id.  Results are exact up to collisions of 64-bit shingle hashes.
 
+Ids that several rows share (with whatever texts) do not name a set: rows then get
+numbers of their own (stored once, so that they stay), are linked by number, and
+the rows of one id belong to one component; ``one_of_each`` judges them apart.
+
 Defined cases: a text with fewer words than a shingle is one shingle of all of
 them; null or blank text is an empty set, linked with nothing; repeated rows
 are copies; ids decide ties; rows with a null doc_id are counted on their own
@@ -282,10 +286,65 @@ def region_pairs(members: DataFrame, percent: int) -> DataFrame:
     return groups.mapInArrow(run, "a long, b long").distinct()
 
 
+def has_repeated_ids(docs: DataFrame) -> bool:
+    ids = docs.where("doc_id is not null").groupBy("doc_id").count()
+    return not ids.where("count > 1").isEmpty()
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("text").cast("string").alias("text"))
+
+
 def link_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id, one row per row of ``docs``."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                        F.col("text").cast("string").alias("text"))
+    texts = _texts(docs)
+    if not has_repeated_ids(texts):
+        return _link(texts, k, percent)
+    rows = materialize(texts.withColumn("row", F.monotonically_increasing_id()), "jaccard-rows")
+    linked = _link_rows(rows, "row", k, percent)
+    names = linked.groupBy("component").agg(F.min("doc_id").alias("name"))
+    linked = materialize(linked.join(names, "component"), "jaccard-named")
+    edges = linked.where("doc_id <> name").select(
+        F.col("doc_id").alias("a"), F.col("name").alias("b")).distinct()
+    comp = components(materialize(edges, "jaccard-same-id"), "jaccard-same-id")
+    out = linked.drop("component").join(comp, F.col("name") == F.col("node"), "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "name").alias("component_id"))
+    alone = describe(rows.where("doc_id is null").select("doc_id", "text"), k)
+    return out.unionByName(alone.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def _link_rows(rows: DataFrame, row: str, k: int, percent: int) -> DataFrame:
+    """(row, doc_id, n_shingles, component) of the rows with an id; the component is a row number."""
+    known = rows.where("doc_id is not null")
+    linked = _link(known.select(F.col(row).alias("doc_id"), F.col("text").cast("string").alias("text")),
+                   k, percent)
+    linked = linked.select(F.col("doc_id").alias("at"), "n_shingles", F.col("component_id").alias("component"))
+    ids = known.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    return materialize(ids.join(linked, F.col("row") == F.col("at")).drop("at"), "jaccard-by-row")
+
+
+def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The rows of ``docs``, one per component: that of the smallest id.
+
+    A component is of rows: of one id's rows those with unrelated texts all stay,
+    and copies under one id are one.  Rows with a null doc_id stay.
+    """
+    if not has_repeated_ids(docs):
+        linked = materialize(_link(_texts(docs), k, percent), "jaccard-near")
+        gone = linked.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
+        return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard-rows")
+    linked = _link_rows(rows, "__row", k, percent)
+    stays = linked.groupBy("component").agg(
+        F.min_by("row", F.struct("doc_id", "row")).alias("stays"))
+    gone = linked.join(stays, "component").where("row <> stays").select(F.col("row").alias("__gone"))
+    return rows.join(gone, F.col("__row") == F.col("__gone"), "left_anti").select(*docs.columns)
+
+
+def _link(texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, component_id; the ids that are not null are all different."""
     info = materialize(describe(texts, k), "jaccard-sets")
     whole = info.where("doc_id is not null and n > 0")
     classes = whole.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
