@@ -134,16 +134,26 @@ def route(rows: DataFrame, graph, ratio: float, id_col: str) -> DataFrame:
         run, "id long, v array<double>, lists array<int>")
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component to [0.5, 1).
+
+    Cosines stay the same to the bit, and neither tiny nor huge vectors leave the
+    range of doubles when multiplied.
+    """
+    _, power = np.frexp(np.abs(x).max(axis=1))
+    return np.ldexp(x, -power[:, None])
+
+
 def search_lists(postings: DataFrame, probes: DataFrame, keep: int) -> DataFrame:
     """(query_id, rep_id, score): the best ``keep`` of each sub-list for each query."""
     def one(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            x, ids = np.array(left["v"].tolist()), left["id"].to_numpy()
+            x, ids = scaled(np.array(left["v"].tolist())), left["id"].to_numpy()
             norm = np.linalg.norm(x, axis=1)
             for i in range(0, len(right), 512):
                 part = right.iloc[i:i + 512]
-                q = np.array(part["v"].tolist())
+                q = scaled(np.array(part["v"].tolist()))
                 s = (q @ x.T) / (np.linalg.norm(q, axis=1)[:, None] * norm)
                 for qid, row in zip(part["id"], s, strict=True):
                     if len(row) > keep:  # all that tie with the last one stay
