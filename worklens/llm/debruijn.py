@@ -184,8 +184,8 @@ def cut_text(text: str | None, starts, sizes):
             left.decode("utf-8", "replace"))
 
 
-def cut_repeats(docs: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
-    """``docs`` with a struct column ``cut``: n_words, n_removed, kept_sha256, kept_text."""
+def cut_repeats(docs: DataFrame, span: int = SPAN, k: int = K, into: str = "cut") -> DataFrame:
+    """``docs`` with a struct column ``into``: n_words, n_removed, kept_sha256, kept_text."""
     spans = repeated_spans(docs, span, k).select(
         F.col("doc_id").alias("__id"), F.col("starts").alias("__starts"),
         F.col("sizes").alias("__sizes"))
@@ -197,7 +197,7 @@ def cut_repeats(docs: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
 
     def result(rows: DataFrame) -> DataFrame:
         return rows.select(*docs.columns, cut(
-            F.col("text").cast("string"), "__starts", "__sizes").alias("cut"))
+            F.col("text").cast("string"), "__starts", "__sizes").alias(into))
 
     # only the texts that lose words meet their ranges in a shuffle; the others stay in place
     spans = materialize(spans, "repeat-spans")

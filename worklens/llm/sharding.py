@@ -94,10 +94,13 @@ def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, row: str | None = N
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
     """The documents as Parquet, one folder per shard; each row once, in its own shard.
 
-    Rows are numbered and stored first, so that numbers mean the same rows later.
+    The folders are ``shard=...``, or ``__shard=...`` for documents with a column
+    ``shard`` of their own.  Rows are numbered and stored first, so that numbers mean the same rows later.
     """
     rows = materialize(
         docs.withColumn("__row", F.monotonically_increasing_id()), "shard-rows")
-    shards = assign_shards(rows, limit, "__row").select("__row", "shard")
+    name = "__shard" if "shard" in map(str.lower, docs.columns) else "shard"
+    shards = assign_shards(rows.select("__row", "doc_id", "text"), limit, "__row").select(
+        "__row", F.col("shard").alias(name))
     placed = rows.join(shards, "__row").drop("__row")
-    placed.repartition("shard").write.partitionBy("shard").parquet(path)
+    placed.repartition(name).write.partitionBy(name).parquet(path)
