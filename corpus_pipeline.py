@@ -28,12 +28,6 @@ from worklens.llm.queries import tokenizer_file
 SHINGLE_WORDS, SIMILARITY = 5, 80
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` but for the ids in ``rejected``, in the same columns and order."""
-    ids = rejected.select(F.col("doc_id").alias("__id")).where("__id is not null").distinct()
-    return docs.join(ids, F.col("doc_id") == F.col("__id"), "left_anti").select(*docs.columns)
-
-
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose perplexity is above their language's threshold."""
     return kneser_ney.keep_rows(docs, table(spark, sf_dir, "labels"))
@@ -45,19 +39,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each component of near duplicates, and one row of it."""
-    linked = materialize(jaccard.link_components(docs, SHINGLE_WORDS, SIMILARITY), "stage-near")
-    kept = _without(docs, linked.where("doc_id <> component_id"))
-    twice = linked.groupBy("doc_id").agg(F.count("*").alias("n")).where(
-        "n > 1 and doc_id is not null").select(F.col("doc_id").alias("__id"))
-    again = kept.join(twice, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(twice, F.col("doc_id") == F.col("__id"), "left_anti").unionByName(again)
+    """Keep one row, that of the smallest id, of each component of near duplicates."""
+    return jaccard.one_of_each(docs, SHINGLE_WORDS, SIMILARITY)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut every passage of 50 words or more that an earlier document holds too."""
-    cut = debruijn.cut_repeats(docs)
-    text = F.col("cut.kept_text")
+    cut = debruijn.cut_repeats(docs, into="__cut")
+    text = F.col("__cut.kept_text")
     new = {"text": text, "n_chars": F.coalesce(F.length(text), F.lit(0)).cast("long")}
     return cut.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
