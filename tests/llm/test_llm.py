@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -374,6 +375,56 @@ def test_streaming_equals_full_search(spark, odd_docs):
     assert viterbi.digest(empty(odd_docs), path).count() == 0
 
 
+def test_windows_commit_inside_a_text(monkeypatch):
+    seg = viterbi.segmenter(tokenizer_file("piece_bpe_32k.model"))
+    text = " ".join(f"word{i * i} and, then: Zwölf x{i}" for i in range(20_000))
+    marked = "▁" + text.replace(" ", "▁")
+    kept, commits, ids = [], 0, []
+    rest = ""
+    for i in range(0, len(marked), 1000):
+        [(got, rest)] = seg.advance([(rest + marked[i:i + 1000], False)])
+        commits += len(got) > 0
+        kept.append(len(rest))
+        ids += got.tolist()
+    ids += seg.advance([(rest, True)])[0][0].tolist()
+    # every chunk commits, and what stays open is a few words, however long the text
+    assert commits == len(kept) > 500 and max(kept) < 100
+    assert ids == seg.encode(text).tolist()
+    assert ids[:400] == brute_viterbi(seg, marked[:3000])[:400]
+
+    # chunks of any length, texts that share a round, windows open over several chunks
+    rng = np.random.default_rng(8)
+    words = ["the", "tion", "aaaaaa", "é", "日本", "🙂", " ", "  ", "\n", "▁", "=" * 70, "ab" * 60, "\x00"]
+    texts = ["", "x", "▁"] + ["".join(rng.choice(words, n)) for n in rng.integers(0, 60, 40)]
+    want = [brute_viterbi(seg, "▁" + t.replace(" ", "▁") if t else "") for t in texts]
+    for chunk in (1, 7, 64, 300, 1 << 17):
+        monkeypatch.setattr(viterbi, "CHUNK", chunk)
+        got, part = [], []
+        for ids, last in seg.encode_all(texts):
+            part += ids.tolist()
+            if last:
+                got.append(part)
+                part = []
+        assert got == want
+
+
+def test_memory_follows_the_chunk_not_the_text():
+    seg = viterbi.segmenter(tokenizer_file("piece_bpe_32k.model"))
+    peaks = []
+    for n in (30_000, 300_000):
+        text = " ".join(f"w{i:x} some, words" for i in range(n))
+        tracemalloc.start()
+        again = viterbi.Digest(seg)
+        source = text.encode()
+        before = tracemalloc.get_traced_memory()[0]
+        for ids, _ in seg.encode_all([text]):
+            again.add(ids, source)
+        peaks.append(tracemalloc.get_traced_memory()[1] - before)
+        tracemalloc.stop()
+        assert again.row(source)[4]
+    assert peaks[1] < 1.2 * peaks[0]  # ten times the text
+
+
 # Jaccard join ------------------------------------------------------------------------------
 
 def brute_components(docs, k, percent):
