@@ -7,6 +7,7 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -474,6 +475,74 @@ def test_region_join_finds_all_pairs_within_reach():
     assert got == want and want
 
 
+def family(n_docs, rng, words=700, edits=9):
+    """Copies of one passage with so many edits each that hardly any two are similar enough."""
+    base = [f"w{i}" for i in range(words)]
+    out = []
+    for d in range(n_docs):
+        text = list(base)
+        for i in rng.choice(words, edits, replace=False):
+            text[i] = f"e{d}x{i}"
+        out.append((d, " ".join(text)))
+    return out
+
+
+def test_alike_but_unlinked_family_grows_in_proportion(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    passed = []
+    plain = jaccard.region_pairs
+
+    def counted(*args, **kw):
+        got = plain(*args, **kw)
+        passed.append(got.count())
+        return got
+
+    monkeypatch.setattr(jaccard, "region_pairs", counted)
+    for n in (40, 80):
+        rows = family(n, rng, edits=11)
+        rows += [(n + d, t + f" tail{d}") for d, t in rows[:n // 2]]  # links that step 1 may miss
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r.doc_id: r.component_id for r in jaccard.link_components(docs, 5, 80).collect()}
+        want = brute_components(rows, 5, 80)
+        assert {k: got[k] for k in want} == {k: want[k][1] for k in want} and len(got) == len(rows)
+        assert len(set(got.values())) > n // 2
+        assert passed[-1] < len(rows)
+
+
+@pytest.mark.parametrize("bits", [32, 7])
+def test_place_links_and_hidden_links(spark, monkeypatch, bits):
+    """With halves of 7 bits nearly everything passes for linked: the second pass must mend it."""
+    def few_bits(sets):
+        mask = np.uint32((1 << bits) - 1)
+
+        def run(batches):
+            for b in batches:
+                h = [(np.frombuffer(x.as_py(), np.uint64).astype("<u4") & mask).tobytes()
+                     for x in b.column(1)]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(h, pa.binary())],
+                                                 names=["doc_id", "h"])
+        return sets.mapInArrow(run, "doc_id long, h binary")
+
+    monkeypatch.setattr(jaccard, "halves", few_bits)
+    rng = np.random.default_rng(3)
+    rows = family(60, rng, words=120, edits=2)
+    rows += [(60 + d, t + " more") for d, t in rows[::3]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.link_components(docs, 3, 90).collect()}
+    assert got == {k: v[1] for k, v in brute_components(rows, 3, 90).items()}
+
+
+def test_blocks_of_a_place(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = family(80, rng, words=150, edits=3)
+    rows += [(80 + d, t + " more") for d, t in rows[::2]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {k: v[1] for k, v in brute_components(rows, 3, 90).items()}
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 9_000)  # some blocks of a dozen documents
+    got = {r.doc_id: r.component_id for r in jaccard.link_components(docs, 3, 90).collect()}
+    assert got == want and len(set(want.values())) > 1
+
+
 # Kneser-Ney --------------------------------------------------------------------------------
 
 def brute_kneser_ney(words):

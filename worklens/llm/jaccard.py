@@ -21,16 +21,21 @@ Inside the regions:
 
 1. Each document is compared with the pivot (smallest id) it shares most cells
    with; exact intersections decide, and links form components.
-2. Regions that still hold several components are joined recursively: pivots
-   make Voronoi regions in the space of cell counts, whose L1 distance never
-   exceeds the symmetric difference; boundary documents are replicated by the
-   triangle inequality's window, small regions are compared outright, and only
-   pairs of different components within reach are passed on.  A region above
-   ``BLOCK`` documents is dealt out as pairs of blocks.
-3. The pairs passed on are verified by exact intersections.
+2. The regions of one pivot are one place: its documents are joined there if they
+   still are of several components.  Each document comes with the 32-bit halves of
+   its hashes, whose common elements are never fewer than those of the sets.  Pivots
+   make Voronoi regions recursively in the space of cell counts, whose L1 distance
+   never exceeds the symmetric difference; boundary documents are replicated by the
+   triangle inequality's window, small regions are compared outright, and a pair of
+   different components that is within reach is compared by its halves at once.  A
+   pair that passes joins the two components, so at most one link fewer than
+   documents leaves a place, however alike its documents are.  A place above
+   ``BLOCK_BYTES`` is dealt out as pairs of blocks.
+3. These links are verified by exact intersections.  Should one fail (two hashes
+   with equal halves), the pairs that it stood for are passed on one by one.
 
 Every linked pair shares a region, so it is either inside one component after
-step 1 or passed on by step 2: no link between different sets is lost.
+step 1 or met by step 2: no link between different sets is lost.
 Documents with equal sets are one class beforehand and are represented by the
 smallest id.  Results are exact up to collisions of 64-bit shingle hashes.
 
@@ -58,7 +63,9 @@ from pyspark.sql import functions as F
 from worklens.llm.common import (components, hashed_texts, materialize, mix, powers, restrict,
                                  signed)
 
-BAND_RATIO, COUNTS, BLOCK, LEAF = 1.25, 64, 2000, 256
+BAND_RATIO, COUNTS, LEAF = 1.25, 64, 256
+#: Bytes of hash halves in a block; a task holds two blocks.
+BLOCK_BYTES = 4 << 20
 #: SPARE: cells beyond T + 1, as a part of T, among which the order chooses.
 SAMPLE, COMMON, SPARE = 20_000, 1 << 20, 0.3
 
@@ -145,19 +152,17 @@ def _scan(docs: DataFrame, schema: str, make) -> DataFrame:
 
 
 def describe(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, f1, f2, counts): size, 128-bit fingerprint and cell counts of each set."""
+    """(doc_id, n, f1, f2): size and 128-bit fingerprint of each set."""
     def make(ids, texts):
-        n, f1, f2, counts = [], [], [], []
+        n, f1, f2 = [], [], []
         for t in texts:
             s = shingles(t, k)
             n.append(len(s))
             f1.append(mix(s, 61).sum(dtype=np.uint64))
             f2.append(mix(s, 67).sum(dtype=np.uint64))
-            c = np.bincount((mix(s, 71) % np.uint64(COUNTS)).astype(np.int64), minlength=COUNTS)
-            counts.append(c.astype("<u2" if len(s) < 65536 else "<u4").tobytes())
         return (pa.array(ids, pa.int64()), np.array(n, np.int64),
-                signed(np.array(f1, np.uint64)), signed(np.array(f2, np.uint64)), counts)
-    return _scan(docs, "doc_id long, n long, f1 long, f2 long, counts binary", make)
+                signed(np.array(f1, np.uint64)), signed(np.array(f2, np.uint64)))
+    return _scan(docs, "doc_id long, n long, f1 long, f2 long", make)
 
 
 def common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -248,40 +253,105 @@ def _near(c: np.ndarray, n: np.ndarray, comp: np.ndarray, block: np.ndarray, lo:
             return  # everything was replicated: this region held all pairs
 
 
-def region_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) to verify, from (key, doc_id, n, counts, component)."""
-    size = members.groupBy("key").agg(
-        F.count("*").alias("g"), F.count_distinct("component").alias("comps"),
-        F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("print"))
-    # regions of equal members are joined once
-    once = size.where("comps > 1").groupBy("g", "print").agg(F.min("key").alias("key"))
-    rows = members.join(once.select("key", F.ceil(F.col("g") / BLOCK).cast("int").alias("nb")),
-                        "key")
+class Place:
+    """Documents that meet in one task: their hash halves, and components that grow by links."""
+
+    def __init__(self, comp: np.ndarray, halves: list[np.ndarray], percent: int):
+        self.label = np.unique(comp, return_inverse=True)[1]
+        self.n = np.array([len(h) for h in halves], np.int64)
+        self.flat = np.concatenate(halves)
+        self.at = np.cumsum(self.n) - self.n
+        self.percent = percent
+        self.tables: dict[int, np.ndarray] = {}
+
+    def counts(self) -> np.ndarray:
+        cell = np.repeat(np.arange(len(self.n)) * COUNTS, self.n) + self.flat % COUNTS
+        return np.bincount(cell, minlength=len(self.n) * COUNTS).reshape(-1, COUNTS)
+
+    def halves(self, i: int) -> np.ndarray:
+        return self.flat[self.at[i]:self.at[i] + self.n[i]]
+
+    def reaches(self, both: np.ndarray, i: int, j: np.ndarray) -> np.ndarray:
+        return 100 * both >= self.percent * (self.n[i] + self.n[j] - both)
+
+    def within(self, i: int, j: np.ndarray) -> np.ndarray:
+        """The documents of ``j`` whose halves have enough in common with those of ``i``."""
+        mine = self.halves(i)
+        bits = int(np.clip(int(64 * len(mine)).bit_length(), 16, 24))
+        table = self.tables.setdefault(bits, np.zeros(1 << bits, np.bool_))
+        low = np.uint32((1 << bits) - 1)
+        table[mine & low] = True
+        out = []
+        # some documents at a time, by the halves that are looked up at once
+        for part in np.split(j, np.flatnonzero(np.diff(np.cumsum(self.n[j]) >> 20)) + 1):
+            begin = np.cumsum(self.n[part]) - self.n[part]
+            take = np.repeat(self.at[part] - begin, self.n[part]) + np.arange(self.n[part].sum())
+            both = np.add.reduceat(table[self.flat[take] & low], begin, dtype=np.int64)
+            out.append(part[self.reaches(both, i, part)])
+        table[mine & low] = False
+        return np.concatenate(out)
+
+    def links(self, pairs: Iterator[tuple[np.ndarray, np.ndarray]], spanning: bool):
+        """(i, j) within reach; if ``spanning`` only those that join two components."""
+        for left, j in pairs:
+            if not len(j):
+                continue
+            i = int(left[0])
+            j = j[self.label[j] != self.label[i]]
+            for k in self.within(i, j).tolist() if len(j) else ():
+                if self.label[k] == self.label[i]:
+                    continue
+                both = np.isin(self.halves(k), self.halves(i)).sum()
+                if self.reaches(both, i, k):
+                    yield i, k
+                    if spanning:
+                        self.label[self.label == self.label[k]] = self.label[i]
+
+
+def halves(sets: DataFrame) -> DataFrame:
+    """(doc_id, h): the low halves of each set's hashes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = [np.frombuffer(s.as_buffer(), np.uint64).astype("<u4").tobytes() for s in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(h, pa.binary())],
+                                             names=["doc_id", "h"])
+    return sets.mapInArrow(run, "doc_id long, h binary")
+
+
+def region_pairs(members: DataFrame, sets: DataFrame, percent: int,
+                 spanning: bool = True) -> DataFrame:
+    """Links (a, b) to verify, from (place, doc_id, n, component) and the sets.
+
+    ``spanning``: of the links of a task only those that join two components.
+    """
+    place = members.groupBy("place").agg(
+        F.ceil(F.sum("n") * 4 / BLOCK_BYTES).cast("int").alias("nb"),
+        F.min("component").alias("lo"), F.max("component").alias("hi"))
+    rows = members.join(place.where("lo < hi").select("place", "nb"), "place")
+    rows = rows.join(halves(sets), "doc_id")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("nb")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     rows = rows.withColumn("lo", F.least("block", "other")).withColumn(
         "hi", F.greatest("block", "other"))
 
-    # at most two blocks of BLOCK documents (about, by hash) meet in a row
-    groups = rows.groupBy("key", "lo", "hi").agg(F.collect_list(F.struct(
-        "doc_id", "n", "component", "block", "counts")).alias("m")).select("lo", "hi", "m")
+    # at most two blocks of BLOCK_BYTES (about, by hash) meet in a row
+    groups = rows.groupBy("place", "lo", "hi").agg(F.collect_list(F.struct(
+        "doc_id", "component", "block", "h")).alias("m")).where(F.size("m") > 1).select(
+        "lo", "hi", "m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = []
             for r, (lo, hi) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(),
                                              strict=True)):
                 m = b.column(2).slice(r, 1).flatten()
-                ids, n, comp, block = (m.field(i).to_numpy(zero_copy_only=False)
-                                       for i in range(4))
-                c = np.stack([np.frombuffer(x, "<u2" if len(x) == 2 * COUNTS else "<u4")
-                              for x in m.field(4).to_pylist()]).astype(np.int64)
-                found += [(np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]))
-                          for i, j in _near(c, n, comp, block, lo, hi, percent)]
-            if found:
-                pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*found)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])],
-                                                 names=["a", "b"])
+                ids, comp, block = (m.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+                here = Place(comp, [np.frombuffer(x.as_buffer(), "<u4") for x in m.field(3)], percent)
+                found = list(here.links(_near(here.counts(), here.n, here.label.copy(), block,
+                                              lo, hi, percent), spanning))
+                if found:
+                    i, j = (ids[list(x)] for x in zip(*found, strict=True))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], names=["a", "b"])
 
     return groups.mapInArrow(run, "a long, b long").distinct()
 
@@ -349,7 +419,7 @@ def _link(texts: DataFrame, k: int, percent: int) -> DataFrame:
     whole = info.where("doc_id is not null and n > 0")
     classes = whole.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
     member = materialize(whole.join(classes, ["f1", "f2", "n"]).select(
-        "doc_id", "rep", "n", "counts"), "jaccard-classes")
+        "doc_id", "rep", "n"), "jaccard-classes")
 
     # regions with two documents or more, without copies
     reps_only = member.where("doc_id = rep").select("doc_id")
@@ -362,27 +432,33 @@ def _link(texts: DataFrame, k: int, percent: int) -> DataFrame:
     shared = materialize(shared.select("key", "doc_id").join(copies, "doc_id", "left_anti"),
                          "jaccard-regions")
     pivots = shared.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("g"))
-    with_pivot = shared.join(pivots.where("g > 1"), "key").where("doc_id <> pivot")
-    first = with_pivot.groupBy("doc_id", "pivot").agg(F.count("*").alias("cells")).groupBy(
-        "doc_id").agg(F.max_by("pivot", F.struct("cells", -F.col("pivot"))).alias("b"))
+    places = materialize(shared.join(pivots.where("g > 1"), "key").groupBy(
+        "doc_id", F.col("pivot").alias("place")).agg(F.count("*").alias("cells")), "jaccard-places")
+    first = places.where("doc_id <> place").groupBy("doc_id").agg(
+        F.max_by("place", F.struct("cells", -F.col("place"))).alias("b"))
     first = materialize(first.select(F.col("doc_id").alias("a"), "b"), "jaccard-pivots")
 
-    needed = shared.join(pivots.where("g > 1"), "key", "left_semi").select("doc_id").distinct()
+    needed = places.select("doc_id").distinct()
     sets = materialize(shingle_sets(restrict(texts, materialize(needed, "jaccard-needed")), k)
                        .dropDuplicates(["doc_id"]), "jaccard-shingles")
     links = materialize(linked_pairs(first, sets, percent), "jaccard-links")
     comp = materialize(components(links, "jaccard-stars"), "jaccard-components")
 
-    reps = member.where("doc_id = rep").dropDuplicates(["doc_id"]).join(
-        comp, F.col("doc_id") == F.col("node"), "left").select(
-        "doc_id", "n", "counts", F.coalesce("component", "doc_id").alias("component"))
-    members = shared.join(reps, "doc_id")
-    open_regions = members.groupBy("key").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    members = materialize(members.join(open_regions.select("key"), "key"), "jaccard-open")
-    more = linked_pairs(region_pairs(members, percent), sets, percent)
-    links = materialize(links.unionByName(more), "jaccard-links")
-    comp = components(links, "jaccard-stars")
+    reps = member.where("doc_id = rep").select("doc_id", "n").dropDuplicates(["doc_id"])
+    def more(spanning: bool) -> DataFrame:
+        members = places.join(reps, "doc_id").join(
+            comp, F.col("doc_id") == F.col("node"), "left").select(
+            "place", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
+        return materialize(region_pairs(members, sets, percent, spanning), "jaccard-passed")
+
+    passed = more(spanning=True)
+    true = materialize(linked_pairs(passed, sets, percent), "jaccard-links")
+    links = links.unionByName(true)
+    comp = materialize(components(links, "jaccard-stars"), "jaccard-components")
+    if passed.count() != true.count():  # a link that was none may have hidden others
+        links = materialize(links.unionByName(
+            linked_pairs(more(spanning=False), sets, percent)), "jaccard-links")
+        comp = components(links, "jaccard-stars")
 
     named = member.select("doc_id", "rep").distinct().join(
         comp, F.col("rep") == F.col("node"), "left").select(
