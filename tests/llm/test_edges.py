@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from worklens.llm import ann, jaccard, sharding
+from worklens.llm import ann, debruijn, jaccard, sharding
 from worklens.session import scratch_path
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, cut int, shard string"
@@ -113,3 +113,44 @@ def test_scaling_keeps_cosines_to_the_bit():
     assert (np.abs(y).max(axis=1) < 1).all() and (np.abs(y).max(axis=1) >= 0.5).all()
     n, m = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
     assert ((x @ x.T) / (n[:, None] * n) == (y @ y.T) / (m[:, None] * m)).all()
+
+
+def cut_of(df):
+    return {(r.doc_id, r.n_words): r.n_removed for r in debruijn.removed(df).collect()}
+
+
+def test_each_text_of_an_id_is_cut_by_itself(spark):
+    got = cut_of(docs(spark, (1, C), (5, C + " " + A), (5, B), (5, None)))
+    assert got == {(1, 150): 0, (5, 300): 150, (5, 150): 0, (5, 0): 0}
+
+
+def test_long_runs_compact_to_one_edge(spark):
+    whole = text(4, 4000)
+    half = " ".join(whole.split()[1000:3000])
+    df = docs(spark, (1, whole), (2, whole), (2, whole), (3, A), (4, A), (9, B))
+    key = df.selectExpr("doc_id", "hash(text) as key", "text")
+    shared, _ = debruijn.shared_paths(debruijn.path_rows(key, 50, 12))
+    facts = debruijn.edge_facts(shared)
+    runs = debruijn.compact(facts).collect()
+    assert facts.count() > 100 and sorted(r.windows for r in runs) == [101, 3951]
+    assert sorted(r["first"] for r in runs) == [1, 3]
+    assert cut_of(df) == {(1, 4000): 0, (2, 4000): 4000, (3, 150): 0, (4, 150): 150, (9, 150): 0}
+    assert cut_of(df.unionByName(docs(spark, (0, half))))[1, 4000] == 2000
+
+
+def test_one_passage_in_most_documents(spark, monkeypatch):
+    rows = [(i, f"a{i} " * 30 + A + f" b{i}" * 30) for i in range(200)]
+    expected = {(i, 150 if i else 0) for i in range(200)}
+    for hot in (debruijn.HOT, 1):  # at 1 no key is broadcast
+        monkeypatch.setattr(debruijn, "HOT", hot)
+        assert {(r.doc_id, r.n_removed)
+                for r in debruijn.removed(docs(spark, *rows)).collect()} == expected
+
+
+def test_words_that_differ_from_their_source_stay():
+    words = A.encode()
+    w = debruijn.digests(*debruijn.word_bytes(words), [10, 145], [60, 60])
+    assert debruijn.cut_text(A, 50, [10], [60], w[:1, 0], w[:1, 1], [None])[1] == 60
+    assert debruijn.cut_text(A, 50, [11], [60], w[:1, 0], w[:1, 1], [None])[1] == 0
+    assert debruijn.cut_text(A, 50, [10], [60], w[:1, 0], w[:1, 1], [[0, 2]])[1] == 52
+    assert not w[1].any()
