@@ -139,7 +139,7 @@ def test_long_runs_compact_to_one_edge(spark):
 
 
 def test_one_passage_in_most_documents(spark, monkeypatch):
-    rows = [(i, f"a{i} " * 30 + A + f" b{i}" * 30) for i in range(200)]
+    rows = [(i, f"a{i} " * 90 + A + f" b{i}" * 30) for i in range(200)]  # a90: edges of one text
     expected = {(i, 150 if i else 0) for i in range(200)}
     for hot in (debruijn.HOT, 1):  # at 1 no key is broadcast
         monkeypatch.setattr(debruijn, "HOT", hot)

@@ -105,7 +105,8 @@ def attach(rows: DataFrame, facts: DataFrame, keys: list[str], total: int,
     """``rows`` joined with ``facts``, which hold one row a key and in ``n`` how many rows have it.
 
     ``total`` is the sum of ``n``: at most ``HOT`` keys are broadcast, and no
-    other key has more than one row in ``HOT``.
+    other key has more than one row in ``HOT``.  Facts must hold all hot keys of
+    the rows, also those the caller drops afterwards.
     """
     hot = F.broadcast(facts.where(F.col("n") * HOT > total).drop("n"))
     cold = facts.where(F.col("n") * HOT <= total).drop("n")
@@ -117,9 +118,12 @@ def shared_paths(rows: DataFrame) -> tuple[DataFrame, int]:
     """Paths on edges of two documents or more, and how many there are."""
     edges = rows.groupBy("edge").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
                                      F.count("*").alias("n"))
-    edges = materialize(edges.where("low < high").select("edge", "n"), "repeat-shared")
+    # an edge that one text alone holds often is hot, too
+    edges = materialize(edges.where("n > 1").select(
+        "edge", "n", (F.col("low") < F.col("high")).alias("shared")), "repeat-shared")
     total = edges.agg(F.sum("n")).first()[0] or 0
-    return materialize(attach(rows, edges, ["edge"], total), "repeat-paths"), total
+    return materialize(attach(rows, edges, ["edge"], total).where("shared").drop("shared"),
+                       "repeat-paths"), total
 
 
 def edge_facts(shared: DataFrame) -> DataFrame:
@@ -244,8 +248,12 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
     facts = edge_facts(shared)
     runs = compact(facts)
 
-    branching = materialize(attach(shared, facts.where("not straight").select("edge", "n"),
-                                   ["edge"], total), "repeat-branches")
+    # every edge takes part, or a hot one that is not asked for would meet in one task
+    kinds = facts.select("edge", "n", "straight").join(
+        runs.select("edge", F.lit(True).alias("head")), "edge", "left")
+    rows = materialize(attach(shared.select("edge", "p", "doc_id", "place", "windows"), kinds,
+                              ["edge"], total).where("head or not straight"), "repeat-branches")
+    branching = rows.where("not straight")
     distinct = materialize(branching.groupBy("edge", "p", "windows").agg(
         F.count("*").alias("n"), F.min("doc_id").alias("first"),
         F.min_by("place", "doc_id").alias("place")), "repeat-distinct")
@@ -256,7 +264,7 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
 
     # runs: what comes after the first document goes whole
     digest = spelled.where("p is null").select("edge", "first", "w1", "w2")
-    straight = attach(shared.select("edge", "doc_id", "place"), runs.join(
+    straight = attach(rows.where("straight").select("edge", "doc_id", "place"), runs.join(
         digest.drop("first"), "edge").select("edge", "n", "first", "windows", "w1", "w2"),
         ["edge"], total).where("doc_id > first").select(
         "doc_id", "place", (F.col("windows") + span - 1).cast("int").alias("size"), "w1", "w2",
