@@ -84,6 +84,19 @@ def test_packing_is_whole_and_tight(spark, odd_docs):
     assert packing.pack(empty(odd_docs), path).count() == 0
 
 
+def test_word_ids_are_those_of_whole_texts():
+    """Words that differ in case or punctuation are encoded once; other texts go by parts."""
+    tok = packing.WordTokenizer(tokenizer_file("word_bpe_49k.json"))
+    latin = ["Word word WORD, (word). \u00dcBER \u00fcber; it's IT'S 12 1 ...", "\u00c9t\u00e9\u2014\u00e9t\u00e9 _a_"]
+    odd = ["a\tb \u0130x", "T\u0308 \u03a3\u03a3 \u00b2\u00bd", "<|endoftext|> X", "<|ENDOFTEXT|>", "", "\n \n"]
+    for t, ids in zip(latin + odd, tok.ids([t.encode() for t in latin + odd]), strict=True):
+        assert ids.tolist() == tok.tok.encode(t, add_special_tokens=False).ids, t
+    alone = packing.WordTokenizer(tokenizer_file("word_bpe_49k.json"))
+    alone.ids([latin[0].encode()])
+    assert set(alone.memo) == {"word", ",", "(", ").", "\u00fcber", ";", "it", "'s", "1", "2", "..."}
+    assert not packing.finds_words({"normalizer": None, "model": {"type": "BPE"}})
+
+
 def test_packing_takes_the_lowest_cost_sequence():
     lengths = np.array([60, 40, 30, 30])
     got = list(packing.place(lengths, np.arange(4), np.array([80, 80]), 1.0, 0.1))

@@ -20,8 +20,11 @@ sorts first; other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -42,31 +45,97 @@ SCHEMA = pa.schema([(c, pa.int64()) for c in (
     "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
 
+#: Pre-tokenizer and normalizer of the tokenizers files whose words ``WORDS`` finds.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+          {"type": "Lowercase"}]
+#: Texts of which NFC changes nothing and ``str.lower`` every character by itself: Latin
+#: letters, common punctuation, spaces and line feeds.  ``WORDS``: the pre-tokens of one in lower case.
+LATIN = re.compile("[\n -~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u012f\u0131-\u017f\u2010-\u2027]*")
+LETTERS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f"
+WORDS = re.compile(f"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^{LETTERS}0-9 \n]+")
+
+
+def finds_words(spec: dict) -> bool:
+    """Whether ``WORDS`` cuts lower-cased ``LATIN`` texts as a tokenizers file does."""
+    steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return (spec.get("normalizer") == {"type": "Sequence", "normalizers": NORMAL}
+            and steps[0] == {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed",
+                             "invert": True}
+            and all(x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"]
+                    for x in steps[1:])
+            and spec["model"]["type"] == "BPE" and not spec.get("post_processor"))
+
+
 class WordTokenizer:
     """Ids of texts by a ``tokenizers`` file whose pre-tokenizer drops white space.
 
     No pre-token spans a space or line feed, so the ids of a text are those of
-    its parts between them.  Parts are remembered, up to ``MEMO_PARTS``; those
-    not met before are encoded a batch at a time.
+    its parts between them.  Where the file's rules are those of ``finds_words``,
+    the parts of a ``LATIN`` text without added tokens are its pre-tokens in lower
+    case, of which there are fewer.  Parts are remembered, up to
+    ``MEMO_PARTS``; those not met before are encoded a batch at a time.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is all it has
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.memo: dict[bytes, bytes] = {b"": b""}
+        self.memo: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.finds_words = finds_words(spec)
+        # an added token is found in the text as it is, before anything else
+        added = [t["content"] for t in spec.get("added_tokens") or []]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)", re.IGNORECASE)
+        # a last token of a word is never another one
+        vocab, suffix = self.tok.get_vocab(), spec["model"].get("end_of_word_suffix")
+        self.last = np.zeros(max(vocab.values()) + 1, np.bool_)
+        self.last[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
+
+    def parts(self, text: str) -> tuple[list[str], bool]:
+        """The parts of a text, and whether they are pre-tokens."""
+        if self.finds_words and LATIN.fullmatch(text) and not self.added.search(text):
+            return WORDS.findall(text.lower()), True
+        return text.replace("\n", " ").split(" "), False
+
+    def encode(self, parts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes()
+                for e in self.tok.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """As ``encode``, of pre-tokens: many at once, cut behind the last token of each."""
+        out = []
+        for i in range(0, len(words), 1000):
+            some = words[i:i + 1000]
+            ids, = self.tok.encode_batch_fast(["\n".join(some)], add_special_tokens=False)
+            ids = np.array(ids.ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                whole, ends = ids.tobytes(), (4 * ends).tolist()
+                out += [whole[x:y] for x, y in zip([0, *ends], ends)]
+            else:
+                out += self.encode(some)
+        return out
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [t.replace(b"\n", b" ").split(b" ") for t in texts]
-        memo, parts = self.memo, set().union(*split)
-        new = list(parts - memo.keys())
-        if len(memo) + len(new) > MEMO_PARTS:
+        split = [self.parts(t.decode("utf-8", "replace")) for t in texts]
+        memo = self.memo
+        got = [list(map(memo.get, s)) for s, _ in split]
+
+        def new(words: bool) -> list[str]:
+            return list({p for (s, w), g in zip(split, got, strict=True) if w == words and None in g
+                         for p, i in zip(s, g, strict=True) if i is None})
+
+        words, parts = new(True), new(False)
+        if len(memo) + len(words) + len(parts) > MEMO_PARTS:
             memo.clear()
-            new = list(parts)
-        got = self.tok.encode_batch_fast([p.decode("utf-8", "replace") for p in new],
-                                         add_special_tokens=False)
-        memo.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, got, strict=True))
-        return [np.frombuffer(b"".join(map(memo.__getitem__, s)), "<u4") for s in split]
+            got = [[None] * len(s) for s, _ in split]
+            words, parts = new(True), new(False)
+        memo.update(zip(words, self.encode_words(words), strict=True))
+        memo.update(zip(parts, self.encode(parts), strict=True))
+        return [np.frombuffer(b"".join(map(memo.__getitem__, s) if None in g else g), "<u4")
+                for (s, _), g in zip(split, got, strict=True)]
 
 
 @lru_cache(maxsize=2)
