@@ -5,6 +5,7 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from worklens import schemas
 from worklens.sources import io, landing
@@ -93,3 +94,30 @@ def test_empty_extract(spark, tmp_path):
     assert landed.rows.collect() == [] and landed.rejects.collect() == []
     assert [landing.column_name(x) for x in ("PO No.", "Date/Time", "OperID", "Out-to-Bid", " Merch_Amt ")] == \
         ["po_no", "date_time", "oper_id", "out_to_bid", "merch_amt"]
+
+
+def test_only_formats_that_can_fit_are_tried_with_the_same_values(spark):
+    cells = ["2024-05-06", "5/6/2024", "05/06/2024", "2024-05-06 07:08:09", "2024-05-06T07:08:09", "soon", "",
+             "2024-05-06 07:08:09.123456", "2024-05-06T07:08:09.123", "2024-05-06t07:08:09", "5/6/2024 7:08",
+             "5/6/2024 17:08:09", "5/6/2024 7:08 PM", "5/6/2024 7:08:09 am", "5/6/2024 7:08 p.m.", "5/6/24",
+             "2024/05/06", "13/6/2024", "2024-05-06 7:08", "5-6-2024", "5/6/2024T7:08", "+12024-05-06",
+             "2024-05-06 07:08:09.123456.789", "May 6 2024", "5/6/2024  7:08", "-2024-05-06"]
+    formats = landing.DATE_FORMATS + landing.TIME_FORMATS
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    plain = F.coalesce(*[F.try_to_timestamp("c", F.lit(f)) for f in formats])
+    for kind in (T.DateType(), T.TimestampType(), T.TimestampNTZType()):
+        rows = df.select("c", plain.cast(kind).cast("string").alias("x"),
+                         landing.parse_cell(F.col("c"), kind).cast("string").alias("y")).collect()
+        assert sum(r.x is not None for r in rows) >= 11
+        assert [r.c for r in rows if r.x != r.y] == []
+
+
+def test_a_cell_is_trimmed_and_parsed_once(spark, tmp_path):
+    (tmp_path / "w.csv").write_text("po_no,line,date_time,merch_amt,user,status,oper_id,unit,origin\n"
+                                    " 7 , 1 ,5/6/2024 7:08,$1.50,u,s,o,n,g\n8,x,5/6/2024 7:08,$1.50,u,s,o,n,g\n")
+    landed = io.land_worklist(spark, str(tmp_path / "w.csv"))
+    plan = landed.rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("trim(") == 9 and plan.count("gettimestamp(") == len(landing.DATE_FORMATS + landing.TIME_FORMATS)
+    row, = landed.rows.collect()
+    assert (row.po_no, row.line, str(row.merch_amt)) == ("7", 1, "1.50")
+    assert [r.errors for r in landed.rejects.collect()] == [["line"]]

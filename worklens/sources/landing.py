@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -52,14 +53,31 @@ def parse_cell(text: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         return text
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        formats = DATE_FORMATS + TIME_FORMATS
-        return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats]).cast(kind)
+        return _parse_time(text).cast(kind)
     if isinstance(kind, T.DecimalType):
         plain = F.regexp_replace(text, r"[$,\s]", "")
         return F.regexp_replace(plain, r"^\((.*)\)$", "-$1").try_cast(kind)
     return text.try_cast(kind)
 
 
+def _parse_time(text: Column) -> Column:
+    """The first format that ``text`` has; only those are tried that its signs allow.
+
+    A format that does not fit costs an exception.  Beside digits, blanks and signs of years
+    a cell has its format's ``/``, ``:`` and ``T`` and, for its ``a``, the M of AM or PM.
+    """
+    def has(sign: str) -> Column:
+        return text.contains(sign) | text.contains(sign.lower()) if sign.isalpha() else text.contains(sign)
+
+    def possible(fmt: str) -> Column:
+        plain = fmt.replace("'", "").replace("M/d", "/").replace("MM", "")
+        wanted = [has(x) if y in plain else ~has(x) for x, y in (("/", "/"), (":", ":"), ("T", "T"), ("M", "a"))]
+        return reduce(Column.__and__, wanted)
+
+    return F.coalesce(*[F.when(possible(f), F.try_to_timestamp(text, F.lit(f)))
+                        for f in DATE_FORMATS + TIME_FORMATS])
+
+
 def land_csv(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str] = (),
              optional: Sequence[str] = (), names: Mapping[str, str] = HEADER_NAMES,
              position: str | None = None) -> Landed:
@@ -84,24 +102,29 @@ def land_csv(spark: SparkSession, path: str, schema: T.StructType, required: Seq
            .option("columnNameOfCorruptRecord", corrupt).option("enforceSchema", "false")
            .option("columnPruning", "false").csv(path))
 
-    def cell(name: str) -> Column:
-        return F.nullif(F.trim(F.col("`" + at[name].replace("`", "``") + "`")), F.lit(""))
-
-    values, errors = [], [F.when(F.col(corrupt).isNotNull(), F.lit("number of cells"))]
+    def quoted(name: str) -> str:
+        return "`" + name.replace("`", "``") + "`"
+
+    # In steps, so that a cell is trimmed and parsed once although its value and its error need it.
+    found = [f for f in schema.fields if f.name in at]
+    record = F.coalesce(F.col(corrupt), F.to_json(F.struct(*map(quoted, header))))
+    cells = raw.select(
+        *[F.nullif(F.trim(F.col(quoted(at[f.name]))), F.lit("")).alias(f"_cell_{f.name}") for f in found],
+        F.col(corrupt).isNotNull().alias("_corrupt"), F.monotonically_increasing_id().alias("_place"),
+        record.alias("_record"), F.col("_metadata.file_path").alias("_file"))
+    values = cells.select("*", *[parse_cell(F.col(f"_cell_{f.name}"), f.dataType).alias(f.name) for f in found])
+    errors, columns = [F.when(F.col("_corrupt"), F.lit("number of cells"))], []
     for f in schema.fields:
         if f.name in at:
-            value = parse_cell(cell(f.name), f.dataType)
-            errors.append(F.when(cell(f.name).isNotNull() & value.isNull(), F.lit(f.name)))
+            cell = F.col(f"_cell_{f.name}")
+            errors.append(F.when(cell.isNotNull() & F.col(f.name).isNull(), F.lit(f.name)))
             if f.name in required:
-                errors.append(F.when(cell(f.name).isNull(), F.lit(f"{f.name} is missing")))
-        elif f.name == position:
-            value = F.monotonically_increasing_id().cast(f.dataType)
+                errors.append(F.when(cell.isNull(), F.lit(f"{f.name} is missing")))
+            columns.append(F.col(f.name))
         else:
-            value = F.lit(None).cast(f.dataType)
-        values.append(value.alias(f.name))
-    record = F.coalesce(F.col(corrupt), F.to_json(F.struct(*["`" + h.replace("`", "``") + "`" for h in header])))
-    parsed = raw.select(*values, F.array_compact(F.array(*errors)).alias("_errors"), record.alias("_record"),
-                        F.col("_metadata.file_path").alias("_file"))
+            value = F.col("_place") if f.name == position else F.lit(None)
+            columns.append(value.cast(f.dataType).alias(f.name))
+    parsed = values.select(*columns, F.array_compact(F.array(*errors)).alias("_errors"), "_record", "_file")
     bad, counts = F.size("_errors") > 0, Observation()
     seen = parsed.observe(counts, F.count(F.lit(1)).alias("n_rows"), F.count_if(bad).alias("n_rejected"))
     return Landed(seen.where(~bad).select(*schema.fieldNames()),
