@@ -251,3 +251,17 @@ def test_keys_expire_after_their_last_listing(spark):
     assert state == {"A", "C"}               # B was last listed on the third
     emitted, state = day(11, "A", "B")
     assert emitted == ["A", "B", "B", "C"] and state == {"A", "B", "C"}
+
+
+def test_kept_trends_compute_the_replayed_rows_once(spark, sf_small, monkeypatch):
+    from worklens.catalog import trends
+    plans = []
+
+    def write(spark, root, at, tables):
+        plans.extend(t._jdf.queryExecution().optimizedPlan().toString() for t in tables.values())
+        return snapshots.write_snapshot(spark, root, at, tables)
+
+    monkeypatch.setattr(trends, "write_snapshot", write)
+    trends.k08_count_by_snapshot_kept(spark, sf_small)
+    assert len(plans) == 2 * len(trends.FIXTURE.history_dates)
+    assert not any("Join" in p or "Aggregate" in p for p in plans)

@@ -13,7 +13,7 @@ from worklens.catalog.run import FIXTURE
 from worklens.plans import archive, throughput
 from worklens.session import scratch_path
 from worklens.sources import fixtures
-from worklens.sources.io import conform
+from worklens.sources.io import conform, materialize
 from worklens.sources.snapshots import write_snapshot
 from worklens.streaming import incremental
 
@@ -103,10 +103,15 @@ _KEPT_SQL = "(select * replace (cast(archive_time as timestamp) as archive_time)
 
 
 def _kept_up(spark: SparkSession, sf_dir: str, kept):
-    """Archive the history one instant at a time, refreshing before and after the last."""
+    """Archive the history one instant at a time, refreshing before and after the last.
+
+    The rows that the snapshots replay are computed once, not per instant.
+    """
     i = Inputs(spark, sf_dir)
     root = scratch_path(spark, "kept-trends")
-    backlog, work = _history(i), _worklist_history(i)
+    dates = i.ctx.history_dates
+    backlog = archive.backlog_history(materialize(i.split, "kept-split"), dates)
+    work = archive.worklist_history(materialize(i.prepared, "kept-prepared"), dates)
     for n, d in enumerate(i.ctx.history_dates):
         if n + 1 == len(i.ctx.history_dates):
             kept(spark, root, i.ctx)
