@@ -657,3 +657,51 @@ def test_verdicts_hold_for_rows_not_ids(spark, tmp_path):
     assert kept == sorted((i or 0, t) for i, t in more if t != junk)
     kept = odd(cp.drop_toxic(spark, docs, str(tmp_path)))
     assert kept == sorted((i or 0, t) for i, t in more if t != "so vile")
+
+
+def test_alike_documents_meet_once_in_a_place():
+    """Regions that would hold nearly all documents each are not made: at most all pairs are looked at."""
+    rng = np.random.default_rng(5)
+    base = np.arange(150, dtype=np.uint32)
+    sets = [np.unique(np.where(rng.random(150) < 0.12, rng.integers(1000, 2**31, 150), base)).astype("<u4")
+            for _ in range(500)]
+    place = jaccard.Place(np.arange(500), sets, 90)
+    looked = jaccard._near(place.counts(), place.n, place.label.copy(), np.zeros(500, np.int32), 0, 0, 90)
+    rows = 0
+    for i, _ in looked:
+        rows += 1
+        assert rows < 2 * 500
+    apart = [np.unique(rng.integers(0, 2**31, 150)).astype("<u4") for _ in range(600)]
+    sets = [np.concatenate([x[:145], y]).astype("<u4") for x in apart for y in (x[145:], x[140:145] + 1)]
+    place = jaccard.Place(np.arange(len(sets)), sets, 90)
+    got = {tuple(sorted(x)) for x in place.links(jaccard._near(
+        place.counts(), place.n, place.label.copy(), np.zeros(len(sets), np.int32), 0, 0, 90), False)}
+    assert got >= {(2 * i, 2 * i + 1) for i in range(600)}
+
+
+def test_components_of_edges_in_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(common, "CHUNK_EDGES", 40)
+    written = []
+    monkeypatch.setattr(common, "materialize", lambda df, name, m=common.materialize: written.append(1) or m(df, name))
+    rng = np.random.default_rng(3)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 900, (500, 2)) if a != b]
+    pairs += [(i, i + 1) for i in range(1000, 1300)] + [(2000, i) for i in range(2001, 2200)] + [(7, 2**62)]
+    up: dict[int, int] = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in pairs:
+        x, y = find(a), find(b)
+        up[max(x, y)] = min(x, y)
+    want = {x: find(x) for x in list(up) if find(x) != x}
+    edges = spark.createDataFrame(pairs * 2, "a long, b long").repartition(5)
+    got = {r.node: r.component for r in common.components(edges, "t").collect()}
+    assert got == want
+    written.clear()
+    stars = spark.createDataFrame([(i, i % 7) for i in range(7, 500)], "a long, b long")
+    assert {r.node: r.component for r in common.components(stars, "t").collect()} == {i: i % 7 for i in range(7, 500)}
+    assert len(written) == 1
+    assert common.components(stars.where("a < 0"), "t").count() == 0

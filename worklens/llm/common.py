@@ -173,12 +173,58 @@ def restrict(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     return docs.join(F.broadcast(ids) if small else ids, key, "left_semi")
 
 
+#: Edges that a task contracts at once.
+CHUNK_EDGES = 200_000
+
+
+def local_stars(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) of the same components: a task joins the nodes of its edges to their smallest.
+
+    ``CHUNK_EDGES`` at a time, so that what a task holds does not grow with its input.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (y := up.setdefault(x, x)) != x:
+                up[x] = x = up[y]
+            return x
+
+        def stars() -> pa.RecordBatch:
+            moved = [(x, r) for x in list(up) if (r := find(x)) != x]
+            up.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array([m[i] for m in moved], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        n = 0
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x, y = find(a), find(b)
+                up[max(x, y)] = min(x, y)
+            n += batch.num_rows
+            if n >= CHUNK_EDGES:
+                n = 0
+                yield stars()
+        yield stars()
+
+    return edges.select("a", "b").mapInArrow(run, "a long, b long")
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node is on one side only and those on the left have one neighbour."""
+    ends = edges.select(F.col("a").alias("x"), F.col("b").alias("to")).unionByName(
+        edges.select(F.col("b").alias("x"), F.lit(None).cast("long").alias("to")))
+    nodes = ends.groupBy("x").agg(F.min("to").alias("lo"), F.max("to").alias("hi"),
+                                  F.bool_or(F.col("to").isNull()).alias("centre"))
+    return nodes.where("lo <> hi or (lo is not null and centre)").isEmpty()
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, component): the smallest node reachable, for edges (a, b) between different nodes.
 
-    Alternates two star contractions until the edges stop changing; each is a
-    map-side minimum per node and an equi-join, so a node with very many edges
-    is one row per task before the shuffle.
+    Edges become stars within tasks, then two star contractions alternate with that until
+    every component is one star; each contraction is a map-side minimum per node and an
+    equi-join, so a node with very many edges is one row per task before the shuffle.
     """
     def contract(e: DataFrame, larger: bool) -> DataFrame:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -191,11 +237,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
                 least.select("a", "m"))
         return moved.where("a <> m").select("a", F.col("m").alias("b")).distinct()
 
-    mark = None
-    while True:
-        edges = materialize(contract(contract(edges, True), False), name)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(now) == mark:
-            return edges.groupBy("a").agg(F.min("b").alias("component")).select(
-                F.col("a").alias("node"), "component")
-        mark = tuple(now)
+    edges = materialize(local_stars(edges), name)
+    while not _are_stars(edges):
+        edges = materialize(local_stars(contract(contract(edges, True), False)), name)
+    return edges.groupBy("a").agg(F.min("b").alias("component")).select(
+        F.col("a").alias("node"), "component")

@@ -227,7 +227,17 @@ def _near(c: np.ndarray, n: np.ndarray, comp: np.ndarray, block: np.ndarray, lo:
           percent: int, depth: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of different components whose counts allow a link; between blocks lo and hi."""
     share = (100 - percent) / (100 + percent)
-    if len(n) <= LEAF or depth >= 4:
+    parts = []
+    if len(n) > LEAF and depth < 4:
+        pivots = np.linspace(0, len(n) - 1, 8).astype(int)
+        d = np.stack([np.abs(c - c[p]).sum(axis=1) for p in pivots], axis=1)
+        home = d.argmin(axis=1)
+        window = 2 * share * 2 * n.max()  # twice the largest difference of a linked pair
+        # boundary documents: this pivot is not farther than the nearest by more than the window
+        near = d - d.min(axis=1, keepdims=True) <= window
+        parts = [np.flatnonzero(near[:, r]) for r in np.unique(home)]
+    # alike documents are near all pivots: regions that do not halve the pairs are not made
+    if not parts or 2 * sum(len(at) ** 2 for at in parts) > len(n) ** 2:
         for i in range(len(n) - 1):
             j = np.arange(i + 1, len(n))
             j = j[(comp[j] != comp[i]) & ((lo == hi) | (block[j] != block[i]))]
@@ -236,21 +246,9 @@ def _near(c: np.ndarray, n: np.ndarray, comp: np.ndarray, block: np.ndarray, lo:
                 j = j[np.abs(c[j] - c[i]).sum(axis=1) <= share * (n[j] + n[i])]
                 yield np.full(len(j), i), j
         return
-    pivots = np.linspace(0, len(n) - 1, 8).astype(int)
-    d = np.stack([np.abs(c - c[p]).sum(axis=1) for p in pivots], axis=1)
-    home = d.argmin(axis=1)
-    window = 2 * share * 2 * n.max()  # twice the largest difference of a linked pair
-    for r in range(len(pivots)):
-        # boundary documents: this pivot is not farther than the nearest by more than the window
-        at = np.flatnonzero(d[:, r] - d[np.arange(len(n)), home] <= window)
-        if not (home[at] == r).any():
-            continue
-        same = len(at) == len(n)
-        for i, j in _near(c[at], n[at], comp[at], block[at], lo, hi, percent,
-                          4 if same else depth + 1):
+    for at in parts:
+        for i, j in _near(c[at], n[at], comp[at], block[at], lo, hi, percent, depth + 1):
             yield at[i], at[j]
-        if same:
-            return  # everything was replicated: this region held all pairs
 
 
 class Place:
