@@ -26,7 +26,8 @@ Inside the regions:
    its hashes, whose common elements are never fewer than those of the sets.  Pivots
    make Voronoi regions recursively in the space of cell counts, whose L1 distance
    never exceeds the symmetric difference; boundary documents are replicated by the
-   triangle inequality's window, small regions are compared outright, and a pair of
+   triangle inequality's window, documents whose regions would not halve their pairs and small
+   regions are compared outright, and a pair of
    different components that is within reach is compared by its halves at once.  A
    pair that passes joins the two components, so at most one link fewer than
    documents leaves a place, however alike its documents are.  A place above
