@@ -705,3 +705,59 @@ def test_components_of_edges_in_several_tasks(spark, monkeypatch):
     assert {r.node: r.component for r in common.components(stars, "t").collect()} == {i: i % 7 for i in range(7, 500)}
     assert len(written) == 1
     assert common.components(stars.where("a < 0"), "t").count() == 0
+
+
+def test_stages_hand_texts_on_in_bounded_batches(spark, monkeypatch):
+    import corpus_pipeline as cp
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 2000, 1, 1).selectExpr("id as doc_id", "repeat('ten bytes ', 1000) as text")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+    monkeypatch.setattr(cp.packing, "pack", lambda docs, path: docs.mapInArrow(sizes, "n long"))
+    try:
+        got = [r.n for r in cp.STAGES[-1][1](spark, docs, "").collect()]
+        assert sum(got) >= 2000 * 10_000 and max(got) <= common.BATCH_BYTES + 20_000
+        spark.conf.set(size, "1000000b")  # a session's own size stays
+        got = [r.n for r in cp.STAGES[-1][1](spark, docs, "").collect()]
+        assert sum(got) >= 2000 * 10_000 and max(got) <= 1_020_000
+    finally:
+        spark.conf.unset(size)
+
+
+def test_passes_return_arrow_memory_at_their_end(monkeypatch):
+    done = []
+    pool = type("Pool", (), {"release_unused": lambda self: done.append(len(seen))})
+    monkeypatch.setattr(pa, "default_memory_pool", pool)
+    seen: list[int] = []
+    for x in common.frugal(lambda batches: (2 * b for b in batches))(iter([1, 2, 3])):
+        assert not done
+        seen.append(x)
+    assert seen == [2, 4, 6] and done == [3]
+
+
+def test_ngrams_are_counted_over_batches(spark, monkeypatch):
+    """However the texts are cut into batches, a task passes each n-gram on once per COUNT_WORDS."""
+    rows = [("de" if i % 3 else "", text(i, 30)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    want = collections.Counter()
+    for lang, t in rows:
+        g, _ = kneser_ney.grams(t.encode().split())
+        want.update((lang, int(x)) for x in g)
+
+    def passed(df):  # rows on their way into the shuffle
+        monkeypatch.setattr(type(df), "groupBy", lambda self, *c: type("Rows", (), {"agg": lambda _, *a: self}))
+        out = kneser_ney.count_grams(df)
+        monkeypatch.undo()
+        return out.count()
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    try:
+        spark.conf.set(size, 7)
+        assert passed(docs) == len(want)
+        monkeypatch.setattr(kneser_ney, "COUNT_WORDS", 50)
+        got = {(r.lang, r.g): r.c for r in kneser_ney.count_grams(docs).collect()}
+    finally:
+        spark.conf.set(size, before)
+    assert got == dict(want)

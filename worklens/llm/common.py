@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,30 @@ def ship(spark: SparkSession) -> None:
     sc._worklens_shipped = True
 
 
+#: Bytes of rows handed to a Python worker at once, see ``bound_batches``.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of ``BATCH_BYTES``, unless the session has a size of its own.
+
+    Executor and worker each hold whole batches of what goes in and comes out.
+    """
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(size, spark.conf.get(size, str(BATCH_BYTES)))
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def frugal(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run``, with Arrow's free memory returned at the end: workers outlive their tasks."""
+    def frugally(batches: Batches) -> Batches:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+    return frugally
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

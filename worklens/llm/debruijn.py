@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from worklens.llm.common import (BROADCAST_IDS, RangeHash, hashed_texts, materialize, mix,
+from worklens.llm.common import (BROADCAST_IDS, RangeHash, frugal, hashed_texts, materialize, mix,
                                  restrict, signed, utf8_column)
 
 SPAN, K = 50, 12
@@ -97,7 +97,7 @@ def path_rows(texts: DataFrame, span: int, k: int) -> DataFrame:
                     [pa.array(np.concatenate(c)) for c in cols],
                     names=["edge", "p", "doc_id", "place", "windows", "after"])
     return texts.mapInArrow(
-        run, "edge long, p long, doc_id long, place long, windows int, after long")
+        frugal(run), "edge long, p long, doc_id long, place long, windows int, after long")
 
 
 def attach(rows: DataFrame, facts: DataFrame, keys: list[str], total: int,
@@ -234,7 +234,7 @@ def spell(texts: DataFrame, sources: DataFrame, span: int) -> DataFrame:
                      pa.array(np.full(len(which), first, np.int64)), pa.array(nth),
                      pa.array(w[:, 0]), pa.array(w[:, 1])], names=names)
     return source.mapInArrow(
-        run, "edge long, p long, first long, nth int, w1 long, w2 long")
+        frugal(run), "edge long, p long, first long, nth int, w1 long, w2 long")
 
 
 def repeated_spans(texts: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:

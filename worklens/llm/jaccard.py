@@ -61,7 +61,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from worklens.llm.common import (components, hashed_texts, materialize, mix, powers, restrict,
+from worklens.llm.common import (components, frugal, hashed_texts, materialize, mix, powers, restrict,
                                  signed)
 
 BAND_RATIO, COUNTS, LEAF = 1.25, 64, 256
@@ -149,7 +149,7 @@ def _scan(docs: DataFrame, schema: str, make) -> DataFrame:
                 cols = make(part.column(0).to_pylist(), hashed_texts(part, "text", lower=True))
                 if len(cols[0]):
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(frugal(run), schema)
 
 
 def describe(docs: DataFrame, k: int) -> DataFrame:
@@ -221,7 +221,7 @@ def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(
-        run, "a long, b long")
+        frugal(run), "a long, b long")
 
 
 def _near(c: np.ndarray, n: np.ndarray, comp: np.ndarray, block: np.ndarray, lo: int, hi: int,
@@ -314,7 +314,7 @@ def halves(sets: DataFrame) -> DataFrame:
             h = [np.frombuffer(s.as_buffer(), np.uint64).astype("<u4").tobytes() for s in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(h, pa.binary())],
                                              names=["doc_id", "h"])
-    return sets.mapInArrow(run, "doc_id long, h binary")
+    return sets.mapInArrow(frugal(run), "doc_id long, h binary")
 
 
 def region_pairs(members: DataFrame, sets: DataFrame, percent: int,
@@ -352,7 +352,7 @@ def region_pairs(members: DataFrame, sets: DataFrame, percent: int,
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], names=["a", "b"])
 
-    return groups.mapInArrow(run, "a long, b long").distinct()
+    return groups.mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def has_repeated_ids(docs: DataFrame) -> bool:

@@ -44,12 +44,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from worklens.llm.common import MEMO_WORDS, materialize, restrict, utf8_column
+from worklens.llm.common import MEMO_WORDS, frugal, materialize, restrict, utf8_column
 
 ORDER, BITS = 5, 12
 START, END = 1, 2
 HIGH, SPREAD, FOLDS, PRIOR_CHARS = 0.95, 4.0, 5, 50
 BROADCAST_ROWS = 6_000_000
+#: Distinct words that a task counts before it passes their n-grams on.
+COUNT_WORDS = 100_000
 
 
 def symbols(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -78,12 +80,11 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_grams(trusted: DataFrame) -> DataFrame:
-    """(lang, g, c): counts of the highest order, a row per distinct n-gram and batch first."""
+    """(lang, g, c): counts of the highest order, a row per distinct n-gram and ``COUNT_WORDS`` first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            words: dict[str, Counter] = {}
-            for lang, text in zip(b.column(0).to_pylist(), utf8_column(b, "text"), strict=True):
-                words.setdefault(lang, Counter()).update(text.split())
+        words: dict[str, Counter] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
             for lang, counter in words.items():
                 if not counter:
                     continue
@@ -94,7 +95,15 @@ def count_grams(trusted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(keys)), pa.array(keys), pa.array(total)],
                     names=["lang", "g", "c"])
-    return trusted.mapInArrow(run, "lang string, g long, c long").groupBy("lang", "g").agg(
+            words.clear()
+
+        for b in batches:
+            for lang, text in zip(b.column(0).to_pylist(), utf8_column(b, "text"), strict=True):
+                words.setdefault(lang, Counter()).update(text.split())
+            if sum(map(len, words.values())) >= COUNT_WORDS:
+                yield from counted()
+        yield from counted()
+    return trusted.mapInArrow(frugal(run), "lang string, g long, c long").groupBy("lang", "g").agg(
         F.sum("c").alias("c"))
 
 
@@ -250,7 +259,7 @@ def score_broadcast(docs: DataFrame, model: DataFrame | Broadcast,
                 yield pa.RecordBatch.from_arrays(
                     [*map(b.column, carry), pa.array([n for _, n in rated], pa.int64()),
                      pa.array([x for x, _ in rated], pa.float64())], names=schema.names)
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(frugal(run), schema)
 
 
 def share(model: DataFrame) -> Broadcast:
@@ -273,7 +282,7 @@ def score_joined(docs: DataFrame, model: DataFrame,
                          pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(n)],
                         names=["row", "lang", "g", "n"])
     todo = docs.select("row", "lang", "text").mapInArrow(
-        run, "row long, lang string, g long, n long")
+        frugal(run), "row long, lang string, g long, n long")
     wanted = todo.select("lang", "g").distinct()
     langs = model.where("kind = 'p0'").select("lang", F.col("v").alias("v0"))
     at = wanted.join(F.broadcast(langs), "lang").select(  # a row per language

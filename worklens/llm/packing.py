@@ -34,12 +34,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from worklens.llm.common import record_batches, utf8_column
+from worklens.llm.common import frugal, record_batches, utf8_column
 
 SEQUENCE = 4096
 GROUP_TOKENS = 1 << 22
 #: Parts remembered per Python worker before its memo starts anew.
-MEMO_PARTS = 1_000_000
+MEMO_PARTS = 250_000
 
 SCHEMA = pa.schema([(c, pa.int64()) for c in (
     "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
@@ -218,4 +218,4 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, sequence: int =
             yield pack_group(group, nxt, sequence, linear, quadratic)[0]
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return source.mapInArrow(run, ", ".join(f"{f.name} long" for f in SCHEMA))
+    return source.mapInArrow(frugal(run), ", ".join(f"{f.name} long" for f in SCHEMA))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from worklens.llm.common import Memo, materialize, utf8_column
+from worklens.llm.common import Memo, frugal, materialize, utf8_column
 
 BITS = 18
 MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_BYTES = 3000, 6000, 20_000
@@ -104,7 +104,7 @@ def word_counts(sample: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.where(word == 1 << BITS, -1, word).astype(np.int32)),
              pa.array(counts[1, word]), pa.array(docs[word])], names=["word", "toxic", "docs"])
-    return sample.mapInArrow(run, "word int, toxic long, docs long").groupBy("word").agg(
+    return sample.mapInArrow(frugal(run), "word int, toxic long, docs long").groupBy("word").agg(
         F.sum("toxic").alias("toxic"), F.sum("docs").alias("docs"))
 
 
@@ -122,7 +122,7 @@ def telling_bags(sample: DataFrame, often: np.ndarray) -> DataFrame:
                 [pa.array([label], pa.int32()), pa.array([sizes], pa.list_(pa.int32())),
                  pa.array([[w for f in found for w in f]], pa.list_(pa.int32()))],
                 names=["label", "sizes", "words"])
-    return sample.mapInArrow(run, "label int, sizes array<int>, words array<int>")
+    return sample.mapInArrow(frugal(run), "label int, sizes array<int>, words array<int>")
 
 
 def telling(inside: np.ndarray, docs: np.ndarray, n1: int, n0: int) -> np.ndarray:
@@ -228,8 +228,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], sentence_at: float =
             ], names=["doc_id", "score", "n_sentences", "offending"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, score double, n_sentences long, "
-             "offending array<struct<start: long, end: long, score: double>>")
+        frugal(run), "doc_id long, score double, n_sentences long, "
+                     "offending array<struct<start: long, end: long, score: double>>")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -250,4 +250,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array([score_text(t, memo, bias, 0.5)[0] < 0.5
                                      for t in utf8_column(b, "text")], pa.bool_()))
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frugal(run), docs.schema)
