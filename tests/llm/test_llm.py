@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import tracemalloc
 import zlib
 
@@ -97,6 +98,45 @@ def test_word_ids_are_those_of_whole_texts():
     assert not packing.finds_words({"normalizer": None, "model": {"type": "BPE"}})
 
 
+def test_words_are_cut_as_by_the_pre_tokenizer():
+    draw = random.Random(3)
+    tok = packing.WordTokenizer(tokenizer_file("word_bpe_49k.json"))
+    signs = list("'strevemldSTX \n019.,<|>\u00e9\u00d7\u00f7\u00aa\u00b5\u00df\u017f\u2014")
+    texts = ["", "'", "'s", "x's's'll'", "''s", "don't'", "\n"] + [
+        "".join(draw.choices(signs, k=draw.choice([1, 2, 3, 8, 60]))) for _ in range(200)]
+    assert all(map(tok.has_words, texts))
+    split = tok.tok.pre_tokenizer.pre_tokenize_str
+    for t, ids in zip(texts, tok.ids([t.encode() for t in texts]), strict=True):
+        units, at, begins = packing.find_words(t.lower())
+        assert begins.tolist() == [x for _, (x, _) in split(t.lower())], t
+        assert np.diff(at).tolist() == [y - x for _, (x, y) in split(t.lower())], t
+        assert ids.tolist() == tok.tok.encode(t, add_special_tokens=False).ids, t
+
+
+def test_known_words_outlive_a_full_memo(monkeypatch):
+    """What the texts at hand have in the memo is kept when it overflows, not encoded again."""
+    monkeypatch.setattr(packing, "MEMO_PARTS", 4)
+    tok, seen = packing.WordTokenizer(tokenizer_file("word_bpe_49k.json")), []
+    encode = tok.encode_words
+    monkeypatch.setattr(tok, "encode_words", lambda words: seen.extend(words) or encode(words))
+    for text in ["the and of", "the and more words", "the and", "a b c d e f"]:
+        ids, = tok.ids([text.encode()])
+        assert ids.tolist() == tok.tok.encode(text, add_special_tokens=False).ids
+        assert len(tok.memo) <= 4
+    assert sorted(seen) == sorted("the and of more words a b c d e f".split())
+
+
+def test_texts_are_looked_up_in_chunks_of_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "CHUNK_BYTES", 10)
+    texts = ["abcd", None, "x" * 30, "", "a" * 6, "\u00e9\u00e9", "b"]
+    batch = pa.record_batch({"doc_id": [*range(6), None], "text": texts})
+    got = list(packing.chunks(batch))
+    assert [len(t) for _, t in got] == [3, 3, 1]
+    assert [d for ds, _ in got for d in ds] == [0, 1, 2, 3, 4, 5, None]
+    assert [t for _, ts in got for t in ts] == [(t or "").encode() for t in texts]
+    assert list(packing.chunks(batch.slice(0, 0))) == []
+
+
 def test_packing_takes_the_lowest_cost_sequence():
     lengths = np.array([60, 40, 30, 30])
     got = list(packing.place(lengths, np.arange(4), np.array([80, 80]), 1.0, 0.1))

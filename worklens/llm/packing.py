@@ -25,8 +25,9 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,26 +39,58 @@ from worklens.llm.common import frugal, record_batches, utf8_column
 
 SEQUENCE = 4096
 GROUP_TOKENS = 1 << 22
-#: Parts remembered per Python worker before its memo starts anew.
+#: Parts remembered per Python worker.
 MEMO_PARTS = 250_000
+#: Bytes of texts whose parts are looked up at once.
+CHUNK_BYTES = 1 << 20
 
 SCHEMA = pa.schema([(c, pa.int64()) for c in (
     "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
 
-#: Pre-tokenizer and normalizer of the tokenizers files whose words ``WORDS`` finds.
+#: Pre-tokenizer and normalizer of the tokenizers files whose words ``find_words`` finds.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
           {"type": "Lowercase"}]
 #: Texts of which NFC changes nothing and ``str.lower`` every character by itself: Latin
-#: letters, common punctuation, spaces and line feeds.  ``WORDS``: the pre-tokens of one in lower case.
+#: letters, common punctuation, spaces and line feeds; the letters of one in lower case.
 LATIN = re.compile("[\n -~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u012f\u0131-\u017f\u2010-\u2027]*")
-LETTERS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f"
-WORDS = re.compile(f"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^{LETTERS}0-9 \n]+")
+LETTERS = re.compile("[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f]")
+BLANK, LETTER, DIGIT, OTHER = range(4)
+#: What each character of a lower-cased ``LATIN`` text is.
+KIND = np.array([BLANK if c in "\n " else DIGIT if c in "0123456789" else
+                 LETTER if LETTERS.match(c) else OTHER for c in map(chr, range(0x2028))], np.uint8)
+#: Byte -> its character in the byte-level alphabet; a line feed, which no word holds, stays.
+BYTE_CHAR = np.arange(256, dtype="<u2")
+BYTE_CHAR[[*range(33), *range(127, 161), 173]] = range(256, 324)
+BYTE_CHAR[10] = 10
+
+
+def find_words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pre-tokens of a lower-cased ``LATIN`` text by the rules of ``SPLIT``.
+
+    Returns their UTF-16 units one after the other, where each begins among
+    those (and the end), and where each begins in the text.
+    """
+    units = np.frombuffer(text.encode("utf-16-le"), "<u2")
+    kind = KIND[units]
+    begins = kind != BLANK
+    begins[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    # a run of other characters that begins with an apostrophe may be a contraction
+    for i in np.flatnonzero(begins & (units == ord("'"))).tolist():
+        tail = text[i + 1:i + 3]
+        n = 2 if tail in ("re", "ve", "ll") else 1 if tail[:1] and tail[0] in "stmd" else 0
+        if n:
+            begins[i + 1] = False
+            if i + n + 1 < len(text) and kind[i + n + 1] == LETTER:
+                begins[i + n + 1] = True
+    inside = kind != BLANK
+    units = units[inside]
+    return units, np.append(np.flatnonzero(begins[inside]), len(units)), np.flatnonzero(begins)
 
 
 def finds_words(spec: dict) -> bool:
-    """Whether ``WORDS`` cuts lower-cased ``LATIN`` texts as a tokenizers file does."""
+    """Whether ``find_words`` cuts lower-cased ``LATIN`` texts as a tokenizers file does."""
     steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
     return (spec.get("normalizer") == {"type": "Sequence", "normalizers": NORMAL}
             and steps[0] == {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed",
@@ -73,14 +106,17 @@ class WordTokenizer:
     No pre-token spans a space or line feed, so the ids of a text are those of
     its parts between them.  Where the file's rules are those of ``finds_words``,
     the parts of a ``LATIN`` text without added tokens are its pre-tokens in lower
-    case, of which there are fewer.  Parts are remembered, up to
-    ``MEMO_PARTS``; those not met before are encoded a batch at a time.
+    case, of which there are fewer; its model alone encodes those.  The distinct
+    parts of the texts at hand are looked up once.  Parts are remembered, up to
+    ``MEMO_PARTS``; beyond that only those of the texts at hand.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is all it has
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
+        self.lines = Tokenizer(self.tok.model)  # of words in the byte-level alphabet
+        self.lines.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.memo: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -93,11 +129,8 @@ class WordTokenizer:
         self.last = np.zeros(max(vocab.values()) + 1, np.bool_)
         self.last[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
 
-    def parts(self, text: str) -> tuple[list[str], bool]:
-        """The parts of a text, and whether they are pre-tokens."""
-        if self.finds_words and LATIN.fullmatch(text) and not self.added.search(text):
-            return WORDS.findall(text.lower()), True
-        return text.replace("\n", " ").split(" "), False
+    def has_words(self, text: str) -> bool:
+        return bool(self.finds_words and LATIN.fullmatch(text) and not self.added.search(text))
 
     def encode(self, parts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes()
@@ -108,7 +141,9 @@ class WordTokenizer:
         out = []
         for i in range(0, len(words), 1000):
             some = words[i:i + 1000]
-            ids, = self.tok.encode_batch_fast(["\n".join(some)], add_special_tokens=False)
+            lines = BYTE_CHAR[np.frombuffer("\n".join(some).encode(), np.uint8)]
+            ids, = self.lines.encode_batch_fast([lines.tobytes().decode("utf-16-le")],
+                                                add_special_tokens=False)
             ids = np.array(ids.ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(some) and ends[-1] == len(ids):
@@ -118,24 +153,56 @@ class WordTokenizer:
                 out += self.encode(some)
         return out
 
+    def recall(self, parts: list[str], encode: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """The ids of distinct parts, from the memo or by ``encode``."""
+        got = list(map(self.memo.get, parts))
+        new = [p for p, ids in zip(parts, got, strict=True) if ids is None]
+        found = encode(new)
+        rest = iter(found)
+        got = [next(rest) if ids is None else ids for ids in got]
+        if len(self.memo) + len(new) > MEMO_PARTS:
+            self.memo.clear()
+            new, found = parts[:MEMO_PARTS], got[:MEMO_PARTS]
+        self.memo.update(zip(new, found, strict=True))
+        return got
+
+    def words(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of texts that ``has_words`` holds for."""
+        units, at, begins = find_words("\n".join(texts).lower())
+        ends = np.searchsorted(begins, np.cumsum([len(t) + 1 for t in texts]))
+        words = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(begins), [None, pa.py_buffer(2 * at), pa.py_buffer(units)])
+        words = words.dictionary_encode()
+        _, at, units = words.dictionary.buffers()
+        at = (np.frombuffer(at, np.int64)[:len(words.dictionary) + 1] // 2).tolist()
+        joined = units.to_pybytes()[:2 * at[-1]].decode("utf-16-le") if units else ""
+        distinct = [joined[x:y] for x, y in zip(at, at[1:])]
+        return gather(self.recall(distinct, self.encode_words), words.indices.to_numpy(), ends)
+
+    def parts(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of any texts."""
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        ends = np.cumsum(list(map(len, split)))
+        parts = pa.array(chain.from_iterable(split), pa.large_string()).dictionary_encode()
+        return gather(self.recall(parts.dictionary.to_pylist(), self.encode),
+                      parts.indices.to_numpy(), ends)
+
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [self.parts(t.decode("utf-8", "replace")) for t in texts]
-        memo = self.memo
-        got = [list(map(memo.get, s)) for s, _ in split]
+        whole = [t.decode("utf-8", "replace") for t in texts]
+        easy = list(map(self.has_words, whole))
+        got = {kind: run([t for t, e in zip(whole, easy, strict=True) if e == kind])
+               for kind, run in ((True, self.words), (False, self.parts)) if kind in easy}
+        return [next(got[e]) for e in easy]
 
-        def new(words: bool) -> list[str]:
-            return list({p for (s, w), g in zip(split, got, strict=True) if w == words and None in g
-                         for p, i in zip(s, g, strict=True) if i is None})
 
-        words, parts = new(True), new(False)
-        if len(memo) + len(words) + len(parts) > MEMO_PARTS:
-            memo.clear()
-            got = [[None] * len(s) for s, _ in split]
-            words, parts = new(True), new(False)
-        memo.update(zip(words, self.encode_words(words), strict=True))
-        memo.update(zip(parts, self.encode(parts), strict=True))
-        return [np.frombuffer(b"".join(map(memo.__getitem__, s) if None in g else g), "<u4")
-                for (s, _), g in zip(split, got, strict=True)]
+def gather(values: list[bytes], codes: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
+    """The ids of texts; ``codes`` are places in ``values``, up to each of ``ends`` one text's."""
+    size = np.fromiter(map(len, values), np.int64, len(values)) // 4
+    flat, first, n = np.frombuffer(b"".join(values), "<u4"), np.cumsum(size) - size, size[codes]
+    stop = np.cumsum(n)
+    ids = flat[np.repeat(first[codes] - stop + n, n) + np.arange(n.sum())]
+    cuts = np.append(0, stop)[ends].tolist()
+    return (ids[x:y] for x, y in zip([0, *cuts], cuts))
 
 
 @lru_cache(maxsize=2)
@@ -194,6 +261,20 @@ def pack_group(docs: list[tuple[int | None, np.ndarray]], first_sequence: int, s
     return record_batches(SCHEMA, zip(*rows, strict=True)), nxt + len(room)
 
 
+def chunks(batch: pa.RecordBatch) -> Iterator[tuple[list[int | None], list[bytes]]]:
+    """The ids and texts of a batch, about ``CHUNK_BYTES`` of texts at a time."""
+    doc_ids, texts, size = [], [], 0
+    for doc_id, text in zip(batch.column(0).to_pylist(), utf8_column(batch, "text"), strict=True):
+        doc_ids.append(doc_id)
+        texts.append(text)
+        size += len(text)
+        if size >= CHUNK_BYTES:
+            yield doc_ids, texts
+            doc_ids, texts, size = [], [], 0
+    if texts:
+        yield doc_ids, texts
+
+
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, sequence: int = SEQUENCE,
          group_tokens: int = GROUP_TOKENS, linear: float = 1.0,
          quadratic: float = 1 / SEQUENCE) -> DataFrame:
@@ -204,10 +285,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, sequence: int =
         nxt = TaskContext.get().partitionId() << 32  # sequence ids of this task
         group, size = [], 0
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):  # bounds the parts held at once
-                part = batch.slice(i, 256)
-                texts = tok.ids(list(utf8_column(part, "text")))
-                for doc_id, ids in zip(part.column(0).to_pylist(), texts, strict=True):
+            for doc_ids, texts in chunks(batch):
+                for doc_id, ids in zip(doc_ids, tok.ids(texts), strict=True):
                     group.append((doc_id, np.concatenate([ids, end])))
                     size += len(ids) + 1
                     if size >= group_tokens:
