@@ -42,7 +42,7 @@ GROUP_TOKENS = 1 << 22
 #: Parts remembered per Python worker.
 MEMO_PARTS = 250_000
 #: Bytes of texts whose parts are looked up at once.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 SCHEMA = pa.schema([(c, pa.int64()) for c in (
     "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
@@ -295,6 +295,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, sequence: int =
                         group, size = [], 0
         if group:
             yield pack_group(group, nxt, sequence, linear, quadratic)[0]
+        tok.memo.clear()  # the worker may go on with another pass
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return source.mapInArrow(frugal(run), ", ".join(f"{f.name} long" for f in SCHEMA))
